@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from tidepool.plans import lakehouse
+from tidepool.plans import ingest, lakehouse
 
 QUERIES = {}
 ORACLE = {}
-for _mod in (lakehouse,):
+for _mod in (lakehouse, ingest):
     QUERIES.update(_mod.QUERIES)
     ORACLE.update(_mod.ORACLE)

@@ -23,6 +23,19 @@ def driver_table(spark: SparkSession, sf_dir: str, name: str, *columns: str) ->
     return df.select(*columns) if columns else df
 
 
+def widen(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Spread a scan that came back in fewer partitions than the cluster has cores.
+
+    Used before CPU-heavy per-row work (contract rules, sentence splitting).
+    A big input already arrives in many splits and is left untouched (no
+    shuffle); a single-row-group file gets a round-robin spread.
+    """
+    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
 def scan(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
     """Snapshot scan of a table."""
     return spark.read.format(fmt).load(path)
