@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from tidepool.plans import ingest, lakehouse
+from tidepool.plans import ingest, lakehouse, retrieval
 
 QUERIES = {}
 ORACLE = {}
-for _mod in (lakehouse, ingest):
+for _mod in (lakehouse, ingest, retrieval):
     QUERIES.update(_mod.QUERIES)
     ORACLE.update(_mod.ORACLE)
