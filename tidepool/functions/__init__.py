@@ -5,4 +5,4 @@ from tidepool.functions.text import (  # noqa: F401
 )
 from tidepool.functions.numeric import exact_avg_round, money_sum  # noqa: F401
 from tidepool.functions.ids import chunk_id, uuid5  # noqa: F401
-from tidepool.functions.embed import hashed_embedding, dot  # noqa: F401
+from tidepool.functions.embed import dot, with_hashed_embedding  # noqa: F401

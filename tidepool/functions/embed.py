@@ -8,7 +8,7 @@ is computed per row (no shuffle).  A model-backed embedding can replace it: any
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 DEFAULT_DIM = 64
@@ -22,16 +22,35 @@ def token_bucket(token: Column, dim: int = DEFAULT_DIM) -> Column:
     return (F.conv(F.substring(F.sha2(token, 256), 1, 8), 16, 10).cast("bigint") % dim).cast("int")
 
 
-def hashed_embedding(tokens, dim: int = DEFAULT_DIM) -> Column:
-    """Unit ``array<float>`` of length ``dim`` from an ``array<string>`` of tokens.
+def bucket_counts(tokens, dim: int = DEFAULT_DIM) -> Column:
+    """``array<double>`` of token counts per bucket, in one pass over the tokens.
 
-    An empty token list gives the zero vector.
+    The bucket array is the ``aggregate`` input, so each token is hashed once.
     """
     buckets = F.transform(_col(tokens), lambda t: token_bucket(t, dim))
-    counts = F.transform(F.sequence(F.lit(0), F.lit(dim - 1)),
-                         lambda i: F.size(F.filter(buckets, lambda b: b == i)).cast("double"))
-    norm = F.sqrt(F.aggregate(counts, F.lit(0.0), lambda acc, x: acc + x * x))
-    return F.transform(counts, lambda x: F.when(norm > 0, x / norm).otherwise(F.lit(0.0)).cast("float"))
+    return F.aggregate(buckets, F.array_repeat(F.lit(0.0), dim),
+                       lambda acc, b: F.transform(acc, lambda v, i: F.when(i == b, v + 1.0).otherwise(v)))
+
+
+def unit_float(counts) -> Column:
+    """L2-normalise a count vector to ``array<float>``; the zero vector stays zero.
+
+    ``counts`` should be a column reference: it is used twice and must not be
+    recomputed inside the lambda.
+    """
+    c = _col(counts)
+    norm = F.sqrt(F.aggregate(c, F.lit(0.0), lambda acc, x: acc + x * x))
+    return F.transform(c, lambda x: F.when(norm > 0, x / norm).otherwise(F.lit(0.0)).cast("float"))
+
+
+def with_hashed_embedding(df: DataFrame, tokens: str, out: str, dim: int = DEFAULT_DIM) -> DataFrame:
+    """Add ``out``: the unit hashed-token embedding of the ``tokens`` column.
+
+    Two projections: counts are materialised first, so normalising reads them
+    as a column instead of re-hashing the tokens for every element.
+    """
+    tmp = f"_{out}_counts"
+    return df.withColumn(tmp, bucket_counts(tokens, dim)).withColumn(out, unit_float(tmp)).drop(tmp)
 
 
 def dot(a, b) -> Column:

@@ -8,11 +8,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidepool.functions.text import WS_CLASS
-from tidepool.operators import bm25, chunking
+from tidepool.functions.embed import with_hashed_embedding
+from tidepool.functions.text import WS_CLASS, tokenize
+from tidepool.operators import bm25, chunking, fusion, vector
 from tidepool.sources.tables import driver_table, widen
 
 TOP_K = 10
+RERANK_K = 3
 
 
 def documents(spark: SparkSession, sf: str) -> DataFrame:
@@ -28,6 +30,44 @@ def chunks(spark: SparkSession, sf: str) -> DataFrame:
     return chunking.chunk(documents(spark, sf))
 
 
+def chunk_vectors(spark: SparkSession, sf: str) -> DataFrame:
+    """Chunks with tokens and default embeddings, written once to the checkpoint
+    folder: BM25, dense search and rerank all read the same materialised set."""
+    from tidepool.session import checkpoint_root
+    checkpoint_root(spark)
+    ch = chunks(spark, sf).withColumn("c_tokens", tokenize(F.col("text")))
+    return with_hashed_embedding(ch, "c_tokens", "cvec").checkpoint(eager=True)
+
+
+def query_vectors(spark: SparkSession, sf: str) -> DataFrame:
+    q = query_table(spark, sf).withColumn("q_tokens", tokenize(F.col("text")))
+    return with_hashed_embedding(q, "q_tokens", "qvec")
+
+
+class Retrieval:
+    """The whole funnel for one corpus and query table: dense + BM25 -> RRF -> rerank."""
+
+    def __init__(self, spark: SparkSession, sf: str, k: int = TOP_K, rerank_k: int = RERANK_K):
+        self.cv = chunk_vectors(spark, sf)
+        self.qv = query_vectors(spark, sf)
+        self.k, self.rerank_k = k, rerank_k
+
+    def dense(self) -> DataFrame:
+        return vector.exact_top_k(self.cv, self.qv, self.k, "cvec", keep=["chunk_id"],
+                                  order_cols=["doc_id", "start"])
+
+    def keyword(self) -> DataFrame:
+        return bm25.search(self.cv, self.qv, self.k)
+
+    def fused(self) -> DataFrame:
+        return fusion.rrf(self.dense(), self.keyword(), top_k=self.k)
+
+    def reranked(self) -> DataFrame:
+        cand = self.fused().join(self.cv.select("chunk_id", "text", "c_tokens", "cvec"), "chunk_id") \
+            .join(self.qv.select("query_id", "q_tokens", "qvec"), "query_id")
+        return fusion.rerank(cand, self.rerank_k)
+
+
 def q_doc_concat(spark, sf):
     conv = driver_table(spark, sf, "conversations", "conv_id", "turn", "text")
     return chunking.concat_pages(conv, doc_col="conv_id", page_col="turn")
@@ -60,7 +100,84 @@ def q_bm25_topk(spark, sf):
     return bm25_hits(spark, sf).select("query_id", "chunk_id", "rank", F.round("score", 6).alias("score"))
 
 
+def q_embed_hash(spark, sf):
+    cv = chunk_vectors(spark, sf)
+    return cv.select("chunk_id", F.posexplode("cvec").alias("dim", "value")) \
+        .where(F.col("value") != 0).withColumn("value", F.round(F.col("value").cast("double"), 6))
+
+
+def q_dense_topk(spark, sf):
+    return Retrieval(spark, sf).dense().select("query_id", "chunk_id", "rank",
+                                               F.round("score", 6).alias("score"))
+
+
+def _embeddings(spark, sf):
+    return widen(driver_table(spark, sf, "embeddings", "vec_id", "embedding", "label"))
+
+
+def q_knn_topk(spark, sf):
+    emb = _embeddings(spark, sf)
+    cents = vector.centroids(emb, "label", "embedding")
+    return vector.exact_top_k(emb, cents, TOP_K, "embedding", keep=["vec_id"], order_cols=["vec_id"]) \
+        .select("query_id", "vec_id", "rank", F.round("score", 6).alias("score"))
+
+
+def q_knn_lsh(spark, sf):
+    emb = _embeddings(spark, sf)
+    cents = vector.centroids(emb, "label", "embedding")
+    return vector.lsh_top_k(emb, cents, TOP_K, "embedding", "vec_id")
+
+
+def q_rrf(spark, sf):
+    return Retrieval(spark, sf).fused().select("query_id", "chunk_id", "rank",
+                                               F.round("rrf_score", 6).alias("rrf_score"))
+
+
+def q_rerank_topk(spark, sf):
+    return Retrieval(spark, sf).reranked().select(
+        "query_id", "chunk_id", "rerank_rank", F.round("rerank_score", 6).alias("rerank_score"))
+
+
+def q_prompts(spark, sf):
+    r = Retrieval(spark, sf)
+    return fusion.prompts(r.reranked(), r.qv)
+
+
+def q_retrieval_metrics(spark, sf):
+    return fusion.metrics(Retrieval(spark, sf).reranked())
+
+
+def q_low_precision(spark, sf):
+    return fusion.low_precision(fusion.metrics(Retrieval(spark, sf).reranked()))
+
+
+def q_stage_counts(spark, sf):
+    r = Retrieval(spark, sf)
+    stages = [("vector", r.dense()), ("bm25", r.keyword()), ("fused", r.fused()), ("reranked", r.reranked())]
+    out = None
+    for name, df in stages:
+        c = df.groupBy("query_id").agg(F.count(F.lit(1)).alias("n_candidates")) \
+            .withColumn("stage", F.lit(name))
+        out = c if out is None else out.unionByName(c)
+    return out
+
+
+def q_preview(spark, sf):
+    return fusion.preview(Retrieval(spark, sf).reranked())
+
+
 QUERIES = {
+    "embed_hash": q_embed_hash,
+    "dense_topk": q_dense_topk,
+    "knn_topk": q_knn_topk,
+    "knn_lsh": q_knn_lsh,
+    "rrf": q_rrf,
+    "rerank_topk": q_rerank_topk,
+    "prompts": q_prompts,
+    "retrieval_metrics": q_retrieval_metrics,
+    "low_precision": q_low_precision,
+    "stage_counts": q_stage_counts,
+    "preview": q_preview,
     "doc_concat": q_doc_concat,
     "sentences": q_sentences,
     "chunks": q_chunks,
@@ -129,9 +246,105 @@ bm25 AS (
   WHERE rank <= {TOP_K})
 """
 
+_HEX = "'0123456789abcdef'"
+
+
+def _bucket(x: str) -> str:
+    h = f"sha256({x})"
+    return (f"(((strpos({_HEX}, substr({h}, 7, 1)) - 1) * 16 + strpos({_HEX}, substr({h}, 8, 1)) - 1) % 64)")
+
+
+_DENSE = rf"""
+cb AS (
+  SELECT chunk_id, b, count(*) AS cnt
+  FROM (SELECT chunk_id, unnest(list_transform(t, lambda x: {_bucket('x')})) AS b FROM ctoks) x
+  GROUP BY chunk_id, b),
+cvec AS (SELECT chunk_id, b, CAST(cnt / sqrt(sum(cnt * cnt) OVER (PARTITION BY chunk_id)) AS FLOAT) AS v FROM cb),
+qt AS (
+  SELECT query_id, text, list_filter(string_split(
+    regexp_replace(regexp_replace(lower(text), '{WS_CLASS}+', ' ', 'g'), '^ | $', '', 'g'), ' '),
+    lambda t: t <> '') AS t FROM queries),
+qb AS (
+  SELECT query_id, b, count(*) AS cnt
+  FROM (SELECT query_id, unnest(list_transform(t, lambda x: {_bucket('x')})) AS b FROM qt) x
+  GROUP BY query_id, b),
+qvec AS (SELECT query_id, b, CAST(cnt / sqrt(sum(cnt * cnt) OVER (PARTITION BY query_id)) AS FLOAT) AS v FROM qb),
+dots AS (
+  SELECT q.query_id, c.chunk_id, sum(CAST(q.v AS DOUBLE) * CAST(c.v AS DOUBLE)) AS score
+  FROM qvec q JOIN cvec c ON q.b = c.b GROUP BY q.query_id, c.chunk_id),
+dense AS (
+  SELECT * FROM (
+    SELECT q.query_id, ch.chunk_id, ch.doc_id, ch.start, coalesce(d.score, 0.0) AS score,
+           row_number() OVER (PARTITION BY q.query_id
+                              ORDER BY round(coalesce(d.score, 0.0), 9) DESC, ch.doc_id, ch.start) AS rank
+    FROM queries q CROSS JOIN chunks ch
+    LEFT JOIN dots d ON d.query_id = q.query_id AND d.chunk_id = ch.chunk_id)
+  WHERE rank <= {TOP_K}),
+fused AS (
+  SELECT * FROM (
+    SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY rrf_score DESC, seen) AS rank FROM (
+      SELECT query_id, chunk_id, doc_id, start,
+             coalesce(CAST(1 AS DOUBLE) / (60 + min(v_rank)), 0.0)
+               + coalesce(CAST(1 AS DOUBLE) / (60 + min(b_rank)), 0.0) AS rrf_score,
+             coalesce(min(v_rank), 1000000 + min(b_rank)) AS seen
+      FROM (SELECT query_id, chunk_id, doc_id, start, rank AS v_rank, CAST(NULL AS BIGINT) AS b_rank FROM dense
+            UNION ALL
+            SELECT query_id, chunk_id, doc_id, start, CAST(NULL AS BIGINT), rank FROM bm25) u
+      GROUP BY query_id, chunk_id, doc_id, start) g)
+  WHERE rank <= {TOP_K}),
+rcand AS (
+  SELECT f.query_id, f.chunk_id, f.rank, ch.text, c.t AS c_tokens, q.t AS q_tokens,
+         CASE WHEN len(list_distinct(q.t)) > 0 THEN
+           CAST(len(list_filter(list_distinct(q.t), lambda x: list_contains(c.t, x))) AS DOUBLE)
+             / len(list_distinct(q.t)) ELSE 0.0 END AS rerank_score
+  FROM fused f JOIN chunks ch ON ch.chunk_id = f.chunk_id JOIN ctoks c ON c.chunk_id = f.chunk_id
+  JOIN qt q ON q.query_id = f.query_id),
+reranked AS (
+  SELECT * FROM (
+    SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY rerank_score DESC, rank) AS rerank_rank FROM rcand)
+  WHERE rerank_rank <= {RERANK_K}),
+sims AS (
+  SELECT r.query_id, r.chunk_id, coalesce(d.score, 0.0) AS sim
+  FROM reranked r LEFT JOIN dots d ON d.query_id = r.query_id AND d.chunk_id = r.chunk_id),
+metrics AS (
+  SELECT query_id, round_even(count_if(sim > 0.3) / count(*), 3) AS context_precision,
+         round_even(avg(sim), 3) AS avg_similarity, count(*) AS chunks_in_context
+  FROM sims GROUP BY query_id)
+"""
+
 _R = "WITH " + _CHUNKS.strip() + "\n"
+_RD = "WITH " + _CHUNKS.strip() + ",\n" + _DENSE.strip() + "\n"
+
+_PROMPT_HEAD_SQL = fusion.PROMPT_HEAD.replace("'", "''").replace("\n", "' || chr(10) || '")
 
 ORACLE = {
+    "embed_hash": _RD + "SELECT chunk_id, CAST(b AS INTEGER) AS dim, round(CAST(v AS DOUBLE), 6) AS value FROM cvec",
+    "dense_topk": _RD + "SELECT query_id, chunk_id, CAST(rank AS INTEGER) AS rank, round(score, 6) AS score FROM dense",
+    "knn_topk": """
+WITH e AS (SELECT vec_id, label, unnest(embedding) AS v, generate_subscripts(embedding, 1) AS i FROM embeddings),
+cent0 AS (SELECT label, i, sum(CAST(v AS DOUBLE)) AS s FROM e GROUP BY label, i),
+cent AS (SELECT label, i, s / sqrt(sum(s * s) OVER (PARTITION BY label)) AS c FROM cent0),
+dots AS (SELECT c.label AS query_id, e.vec_id, sum(c.c * CAST(e.v AS DOUBLE)) AS score
+         FROM cent c JOIN e ON c.i = e.i GROUP BY c.label, e.vec_id)
+SELECT query_id, vec_id, CAST(rank AS INTEGER) AS rank, round(score, 6) AS score FROM (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY round(score, 9) DESC, vec_id) AS rank FROM dots)
+WHERE rank <= 10""",
+    "rrf": _RD + "SELECT query_id, chunk_id, CAST(rank AS INTEGER) AS rank, round(rrf_score, 6) AS rrf_score FROM fused",
+    "rerank_topk": _RD + """SELECT query_id, chunk_id, CAST(rerank_rank AS INTEGER) AS rerank_rank,
+  round(rerank_score, 6) AS rerank_score FROM reranked""",
+    "prompts": _RD + """SELECT r.query_id, '""" + _PROMPT_HEAD_SQL + """' ||
+  string_agg('[Source ' || CAST(rerank_rank AS VARCHAR) || ']: ' || r.text, chr(10) || chr(10) ORDER BY rerank_rank)
+  || chr(10) || chr(10) || 'QUESTION: ' || any_value(q.text) || chr(10) || chr(10) || 'ANSWER:' AS prompt
+FROM reranked r JOIN queries q ON q.query_id = r.query_id GROUP BY r.query_id""",
+    "retrieval_metrics": _RD + "SELECT * FROM metrics",
+    "low_precision": _RD + "SELECT query_id, context_precision, context_precision < 0.5 AS low_precision FROM metrics",
+    "stage_counts": _RD + """
+SELECT query_id, 'vector' AS stage, count(*) AS n_candidates FROM dense GROUP BY query_id UNION ALL
+SELECT query_id, 'bm25', count(*) FROM bm25 GROUP BY query_id UNION ALL
+SELECT query_id, 'fused', count(*) FROM fused GROUP BY query_id UNION ALL
+SELECT query_id, 'reranked', count(*) FROM reranked GROUP BY query_id""",
+    "preview": _RD + """SELECT query_id, CAST(rerank_rank AS INTEGER) AS source_no,
+  substring(text, 1, 120) AS preview FROM reranked""",
     "doc_concat": """
 SELECT conv_id, string_agg(coalesce(text, ''), chr(10) ORDER BY turn) || chr(10) AS text,
        CAST(count(*) AS BIGINT) AS n_pages,
