@@ -244,3 +244,19 @@ ORACLE = {
   "partition" AS source_partition, "offset" AS source_offset FROM validated WHERE rejection_reason <> ''""",
     "json_props": "SELECT event_id, event_type, CAST(json_extract(props, '$.k') AS BIGINT) AS prop_k FROM events",
 }
+
+
+def q_stream_route_counts(spark, sf):
+    """The route as a Structured Streaming query over the order table, drained
+    with ``availableNow``; counts read back from the two sink tables."""
+    from tidepool.session import scratch_path
+    from tidepool.streaming.route import order_file_source, route_counts, start_route
+    base = scratch_path(spark, "stream-route")
+    q = start_route(order_file_source(spark, sf), f"{base}/valid", f"{base}/quarantine", f"{base}/_checkpoint")
+    q.awaitTermination()
+    return route_counts(spark, f"{base}/valid", f"{base}/quarantine")
+
+
+QUERIES["stream_route_counts"] = q_stream_route_counts
+ORACLE["stream_route_counts"] = _V + """SELECT 'valid' AS route, count_if(rejection_reason = '') AS n_rows FROM validated
+UNION ALL SELECT 'quarantine', count_if(rejection_reason <> '') FROM validated"""
