@@ -32,25 +32,28 @@ def bucket_counts(tokens, dim: int = DEFAULT_DIM) -> Column:
                        lambda acc, b: F.transform(acc, lambda v, i: F.when(i == b, v + 1.0).otherwise(v)))
 
 
-def unit_float(counts) -> Column:
-    """L2-normalise a count vector to ``array<float>``; the zero vector stays zero.
+def unit_float(counts, norm) -> Column:
+    """``counts / norm`` as ``array<float>``; the zero vector stays zero.
 
-    ``counts`` should be a column reference: it is used twice and must not be
-    recomputed inside the lambda.
+    Both arguments should be column references; ``norm`` is also used outside
+    the lambda, which keeps the optimizer from re-inlining it per element.
     """
-    c = _col(counts)
-    norm = F.sqrt(F.aggregate(c, F.lit(0.0), lambda acc, x: acc + x * x))
-    return F.transform(c, lambda x: F.when(norm > 0, x / norm).otherwise(F.lit(0.0)).cast("float"))
+    c, n = _col(counts), _col(norm)
+    dim = F.size(c)
+    return F.when(n > 0, F.transform(c, lambda x: (x / n).cast("float"))) \
+        .otherwise(F.transform(F.array_repeat(F.lit(0.0), dim), lambda x: x.cast("float")))
 
 
 def with_hashed_embedding(df: DataFrame, tokens: str, out: str, dim: int = DEFAULT_DIM) -> DataFrame:
     """Add ``out``: the unit hashed-token embedding of the ``tokens`` column.
 
-    Two projections: counts are materialised first, so normalising reads them
-    as a column instead of re-hashing the tokens for every element.
+    Three projections: counts, then their norm, then the scaled vector, so no
+    lambda recomputes the tokens' hashes or the norm per element.
     """
-    tmp = f"_{out}_counts"
-    return df.withColumn(tmp, bucket_counts(tokens, dim)).withColumn(out, unit_float(tmp)).drop(tmp)
+    tmp, nrm = f"_{out}_counts", f"_{out}_norm"
+    return df.withColumn(tmp, bucket_counts(tokens, dim)) \
+        .withColumn(nrm, F.sqrt(F.aggregate(tmp, F.lit(0.0), lambda acc, x: acc + x * x))) \
+        .withColumn(out, unit_float(tmp, nrm)).drop(tmp, nrm)
 
 
 def dot(a, b) -> Column:

@@ -9,9 +9,9 @@ Plan shape for a table of queries against a corpus of chunks:
 3. query tokens join the vocabulary first (small side), then the postings
    (only postings of query tokens survive; the query side is small and
    broadcast when AQE sees it is).
-4. per (query, chunk) sums, summed as decimals so a score never depends on
-   the order partial sums meet; top-k per query via ``row_number`` which
-   Spark runs as a partial ``WindowGroupLimit`` before the shuffle.
+4. per (query, chunk) sums in exact fixed point, so a score never depends on
+   the order partial sums meet; the k zero-score fillers join the same
+   aggregation; top-k per query via ``row_number`` (a ``WindowGroupLimit``).
 """
 
 from __future__ import annotations
@@ -28,17 +28,23 @@ B = 0.75
 EPSILON = 0.25
 
 
-def postings(chunks: DataFrame, id_cols=("chunk_id", "doc_id", "start"), text_col: str = "text") -> DataFrame:
+def _tokens(chunks: DataFrame, text_col: str, tokens_col: str):
+    """Reuse a precomputed token column when the chunk table carries one."""
+    return F.col(tokens_col) if tokens_col in chunks.columns else tokenize(F.col(text_col))
+
+
+def postings(chunks: DataFrame, id_cols=("chunk_id", "doc_id", "start"), text_col: str = "text",
+             tokens_col: str = "c_tokens") -> DataFrame:
     """``(*id_cols, token, tf, dl)``: one row per distinct token of a chunk."""
-    toks = chunks.select(*id_cols, tokenize(F.col(text_col)).alias("_t")) \
+    toks = chunks.select(*id_cols, _tokens(chunks, text_col, tokens_col).alias("_t")) \
         .withColumn("dl", F.size("_t"))
     return toks.select(*id_cols, "dl", F.explode("_t").alias("token")) \
         .groupBy(*id_cols, "dl", "token").agg(F.count(F.lit(1)).alias("tf"))
 
 
-def corpus_stats(chunks: DataFrame, text_col: str = "text") -> DataFrame:
+def corpus_stats(chunks: DataFrame, text_col: str = "text", tokens_col: str = "c_tokens") -> DataFrame:
     """One row: ``n_docs`` (chunks) and ``avgdl`` (mean token count)."""
-    return chunks.select(F.size(tokenize(F.col(text_col))).alias("dl")).agg(
+    return chunks.select(F.size(_tokens(chunks, text_col, tokens_col)).alias("dl")).agg(
         F.count(F.lit(1)).alias("n_docs"), (F.sum("dl") / F.count(F.lit(1))).alias("avgdl"))
 
 
@@ -61,35 +67,59 @@ def query_tokens(queries: DataFrame, id_col: str = "query_id", text_col: str = "
         .groupBy(id_col, "token").agg(F.count(F.lit(1)).alias("qtf"))
 
 
-def score(post: DataFrame, vocab: DataFrame, qtok: DataFrame, avgdl: float,
-          id_cols=("chunk_id", "doc_id", "start")) -> DataFrame:
-    """``(query_id, *id_cols, score)`` for every chunk sharing a token with the query."""
+# Scores are summed as exact fixed-point integers (units of 1e-12): the sum
+# is then independent of the order partial sums meet, and long arithmetic
+# stays in generated code (a decimal(38, s) sum would fall back to BigDecimal).
+SCORE_SCALE = 1e12
+
+
+def contributions(post: DataFrame, vocab: DataFrame, qtok: DataFrame, avgdl: float,
+                  id_cols=("chunk_id", "doc_id", "start")) -> DataFrame:
+    """``(query_id, *id_cols, units)``: one row per (query, chunk, shared token)."""
     qv = qtok.join(vocab.select("token", "idf"), "token")
     joined = post.join(qv, "token")
     tf = F.col("tf").cast("double")
     norm = F.lit(K1) * (F.lit(1 - B) + F.lit(B) * F.col("dl") / F.lit(float(avgdl)))
     contrib = F.col("qtf") * F.col("idf") * (tf * (K1 + 1) / (tf + norm))
-    return joined.groupBy("query_id", *id_cols).agg(
-        F.sum(contrib.cast("decimal(38,18)")).cast("double").alias("score"))
+    return joined.select("query_id", *id_cols, F.floor(contrib * SCORE_SCALE).alias("units"))
+
+
+def score(post: DataFrame, vocab: DataFrame, qtok: DataFrame, avgdl: float,
+          id_cols=("chunk_id", "doc_id", "start")) -> DataFrame:
+    """``(query_id, *id_cols, score)`` for every chunk sharing a token with the query."""
+    return _sum_units(contributions(post, vocab, qtok, avgdl, id_cols), id_cols)
+
+
+def _sum_units(rows: DataFrame, id_cols) -> DataFrame:
+    return rows.groupBy("query_id", *id_cols).agg(
+        (F.sum("units") / F.lit(SCORE_SCALE)).alias("score"))
+
+
+def first_chunks(chunks: DataFrame, k: int, order_cols=("doc_id", "start")) -> list:
+    """The first k chunks in corpus order (a distributed top-k, k rows to the driver)."""
+    return chunks.select("chunk_id", *order_cols).orderBy(*order_cols).limit(k).collect()
 
 
-def top_k(scored: DataFrame, chunks: DataFrame, queries: DataFrame, k: int = 10,
+def top_k(contrib: DataFrame, chunks: DataFrame, queries: DataFrame, k: int = 10,
           order_cols=("doc_id", "start")) -> DataFrame:
     """Best k chunks per query; zero-score chunks fill up to k, ties by chunk order.
 
     Only the first k chunks of the corpus can ever be needed as zero-score
-    fillers, so they (k rows, a proven bound) are attached to every query as
-    literals, minus those already scored.
+    fillers, so they (k rows, a proven bound) are added to every query as
+    zero contributions before the one score aggregation: a chunk that also
+    matched keeps its real score, the others score 0.
     """
-    first = chunks.select("chunk_id", *order_cols).orderBy(*order_cols).limit(k).collect()
-    fill = F.array(*[F.struct(*[F.lit(r[c]).alias(c) for c in ("chunk_id", *order_cols)]) for r in first]) \
-        if first else F.array().cast("array<struct<chunk_id:string,doc_id:bigint,start:int>>")
-    pads = queries.select("query_id", F.explode(fill).alias("_p")).select("query_id", "_p.*") \
-        .join(scored.select("query_id", "chunk_id"), ["query_id", "chunk_id"], "left_anti") \
-        .withColumn("score", F.lit(0.0))
-    cand = scored.unionByName(pads)
+    first = first_chunks(chunks, k, order_cols)
+    cols = ("chunk_id", *order_cols)
+    if first:
+        fill = F.array(*[F.struct(*[F.lit(r[c]).alias(c) for c in cols]) for r in first])
+        pads = queries.select("query_id", F.explode(fill).alias("_p")) \
+            .select("query_id", *[F.col(f"_p.{c}").alias(c) for c in cols]) \
+            .withColumn("units", F.lit(0).cast("bigint"))
+        contrib = contrib.unionByName(pads)
+    scored = _sum_units(contrib, cols)
     w = W.partitionBy("query_id").orderBy(F.desc("score"), *order_cols)
-    return cand.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+    return scored.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
 
 
 def search(chunks: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
@@ -97,5 +127,5 @@ def search(chunks: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
     post = postings(chunks)
     stats = corpus_stats(chunks).collect()[0]
     vocab = vocabulary(post, stats["n_docs"])
-    scored = score(post, vocab, query_tokens(queries), stats["avgdl"])
-    return top_k(scored, chunks, queries, k)
+    contrib = contributions(post, vocab, query_tokens(queries), stats["avgdl"])
+    return top_k(contrib, chunks, queries, k)

@@ -39,6 +39,13 @@ def chunk_vectors(spark: SparkSession, sf: str) -> DataFrame:
     return with_hashed_embedding(ch, "c_tokens", "cvec").checkpoint(eager=True)
 
 
+def chunk_tokens(spark: SparkSession, sf: str) -> DataFrame:
+    """Chunks with tokens, materialised once (BM25 reads them four times)."""
+    from tidepool.session import checkpoint_root
+    checkpoint_root(spark)
+    return chunks(spark, sf).withColumn("c_tokens", tokenize(F.col("text"))).checkpoint(eager=True)
+
+
 def query_vectors(spark: SparkSession, sf: str) -> DataFrame:
     q = query_table(spark, sf).withColumn("q_tokens", tokenize(F.col("text")))
     return with_hashed_embedding(q, "q_tokens", "qvec")
@@ -86,14 +93,14 @@ def q_tokens(spark, sf):
 
 
 def q_bm25_stats(spark, sf):
-    ch = chunks(spark, sf)
+    ch = chunk_tokens(spark, sf)
     post = bm25.postings(ch, id_cols=("chunk_id",))
     n = bm25.corpus_stats(ch).collect()[0]["n_docs"]
     return bm25.vocabulary(post, n).select("token", "df_t", F.round("idf", 6).alias("idf"))
 
 
 def bm25_hits(spark, sf, k=TOP_K):
-    return bm25.search(chunks(spark, sf), query_table(spark, sf), k)
+    return bm25.search(chunk_tokens(spark, sf), query_table(spark, sf), k)
 
 
 def q_bm25_topk(spark, sf):
@@ -229,8 +236,8 @@ qtok AS (
   GROUP BY query_id, token),
 scored AS (
   SELECT q.query_id, p.chunk_id, p.doc_id, p.start,
-         CAST(sum(CAST(q.qtf * v.idf * (CAST(p.tf AS DOUBLE) * 2.5 /
-              (p.tf + 1.5 * (0.25 + 0.75 * p.dl / (SELECT avgdl FROM stats)))) AS DECIMAL(38,18))) AS DOUBLE) AS score
+         sum(CAST(floor(q.qtf * v.idf * (CAST(p.tf AS DOUBLE) * 2.5 /
+              (p.tf + 1.5 * (0.25 + 0.75 * p.dl / (SELECT avgdl FROM stats)))) * 1e12) AS BIGINT)) / 1e12 AS score
   FROM qtok q JOIN vocab v ON q.token = v.token JOIN post p ON p.token = q.token
   GROUP BY q.query_id, p.chunk_id, p.doc_id, p.start),
 firstk AS (SELECT chunk_id, doc_id, start FROM chunks ORDER BY doc_id, start LIMIT {TOP_K}),
