@@ -56,7 +56,11 @@ def bronze(spark: SparkSession, sf_dir: str, keep: tuple[str, ...] = ()) -> Data
     """Raw (Bronze) deliveries, one per order; ``keep`` carries extra order columns."""
     cols = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice"]
     orders = driver_table(spark, sf_dir, "orders", *cols, *[c for c in keep if c not in cols])
-    cz = customer_zones(spark, sf_dir)
+    return bronze_from(orders, customer_zones(spark, sf_dir), keep)
+
+
+def bronze_from(orders: DataFrame, cz: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Bronze rows from an order frame (batch or stream) and the customer zones (static)."""
     k = F.col("o_orderkey")
     status = _case_map("o_orderstatus", STATUS_OF_ORDER)
     return orders.join(cz, orders.o_custkey == cz.c_custkey).select(
@@ -84,7 +88,11 @@ def update_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     Updates: every order still out for delivery arrives completed, 7 minutes later.
     Inserts: every urgent order gets a follow-up delivery ``DEL<key>-R``.
     """
-    b = bronze(spark, sf_dir, keep=("o_orderstatus", "o_orderpriority"))
+    return updates_from(bronze(spark, sf_dir, keep=("o_orderstatus", "o_orderpriority")))
+
+
+def updates_from(b: DataFrame) -> DataFrame:
+    """The MERGE source rows of a Bronze frame carrying order status and priority."""
     updates = b.where(F.col("o_orderstatus") == "O").select(
         "delivery_id", "customer_id", "restaurant_name", "order_amount",
         (F.col("delivery_minutes") + 7).cast("int").alias("delivery_minutes"), "city_zone",

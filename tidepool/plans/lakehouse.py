@@ -78,7 +78,27 @@ def q_corrupt_suite(spark, sf):
     return quality.run_suite(quality.corrupt_first_rows(dv.silver(spark, sf)), quality.SILVER_FULL)
 
 
+def q_stream_upsert(spark, sf):
+    """The MERGE as a stream: order file stream -> Bronze (stream-static join) ->
+    update rows -> foreachBatch upsert into versioned Silver."""
+    from tidepool.session import scratch_path
+    from tidepool.sources.tables import driver_table
+    from tidepool.streaming import upsert as su
+    base = scratch_path(spark, "stream-upsert")
+    su.init_table(dv.silver(spark, sf), base)
+    cols = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority"]
+    schema = driver_table(spark, sf, "orders", *cols).schema
+    stream = spark.readStream.schema(schema).option("pathGlobFilter", "orders.parquet") \
+        .option("maxFilesPerTrigger", 1).parquet(sf)
+    b = dv.bronze_from(stream.select(*cols), dv.customer_zones(spark, sf),
+                       keep=("o_orderstatus", "o_orderpriority"))
+    q = su.start_upsert(dv.updates_from(b), base, KEY, f"{base}/_checkpoint")
+    q.awaitTermination()
+    return su.current_version(spark, base).select(*[f.name for f in DELIVERY_SCHEMA.fields])
+
+
 QUERIES = {
+    "stream_upsert": q_stream_upsert,
     "silver_standardise": q_silver_standardise,
     "union_by_name": q_union_by_name,
     "merge_upsert": q_merge_upsert,
@@ -209,6 +229,7 @@ corrupt AS (
 """
 
 ORACLE = {
+    "stream_upsert": _with("SELECT * FROM merged"),
     "silver_standardise": _with("SELECT * FROM silver"),
     "union_by_name": _with("SELECT * FROM silver UNION ALL SELECT * FROM badrows"),
     "merge_upsert": _with("SELECT * FROM merged"),
