@@ -74,10 +74,15 @@ SCORE_SCALE = 1e12
 
 
 def contributions(post: DataFrame, vocab: DataFrame, qtok: DataFrame, avgdl: float,
-                  id_cols=("chunk_id", "doc_id", "start")) -> DataFrame:
-    """``(query_id, *id_cols, units)``: one row per (query, chunk, shared token)."""
+                  id_cols=("chunk_id", "doc_id", "start"), broadcast_queries: bool = False) -> DataFrame:
+    """``(query_id, *id_cols, units)``: one row per (query, chunk, shared token).
+
+    ``broadcast_queries`` marks the query-token side as size-checked small, so
+    the postings stream through a broadcast hash join and keep their
+    partitioning.
+    """
     qv = qtok.join(vocab.select("token", "idf"), "token")
-    joined = post.join(qv, "token")
+    joined = post.join(F.broadcast(qv) if broadcast_queries else qv, "token")
     tf = F.col("tf").cast("double")
     norm = F.lit(K1) * (F.lit(1 - B) + F.lit(B) * F.col("dl") / F.lit(float(avgdl)))
     contrib = F.col("qtf") * F.col("idf") * (tf * (K1 + 1) / (tf + norm))
@@ -101,7 +106,7 @@ def first_chunks(chunks: DataFrame, k: int, order_cols=("doc_id", "start")) -> l
 
 
 def top_k(contrib: DataFrame, chunks: DataFrame, queries: DataFrame, k: int = 10,
-          order_cols=("doc_id", "start")) -> DataFrame:
+          order_cols=("doc_id", "start"), id_col: str | None = "chunk_id") -> DataFrame:
     """Best k chunks per query; zero-score chunks fill up to k, ties by chunk order.
 
     Only the first k chunks of the corpus can ever be needed as zero-score
@@ -110,7 +115,7 @@ def top_k(contrib: DataFrame, chunks: DataFrame, queries: DataFrame, k: int = 10
     matched keeps its real score, the others score 0.
     """
     first = first_chunks(chunks, k, order_cols)
-    cols = ("chunk_id", *order_cols)
+    cols = ((id_col,) if id_col else ()) + tuple(order_cols)
     if first:
         fill = F.array(*[F.struct(*[F.lit(r[c]).alias(c) for c in cols]) for r in first])
         pads = queries.select("query_id", F.explode(fill).alias("_p")) \
@@ -122,10 +127,51 @@ def top_k(contrib: DataFrame, chunks: DataFrame, queries: DataFrame, k: int = 10
     return scored.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
 
 
-def search(chunks: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
-    """Whole BM25 search: ``(query_id, chunk_id, doc_id, start, score, rank)``."""
-    post = postings(chunks)
+def _query_ids(queries: DataFrame, max_queries: int) -> list | None:
+    """Query ids when the query table is within the broadcast bound, else None."""
+    if queries.limit(max_queries + 1).count() > max_queries:
+        return None
+    return [r[0] for r in queries.select("query_id").collect()]
+
+
+MAX_BROADCAST_QUERIES = 50_000
+
+
+def search(chunks: DataFrame, queries: DataFrame, k: int = 10,
+           order_cols=("doc_id", "start"), max_queries: int = MAX_BROADCAST_QUERIES) -> DataFrame:
+    """Whole BM25 search: ``(query_id, chunk_id, doc_id, start, score, rank)``.
+
+    Scoring runs on the numeric chunk position ``order_cols``.  When the chunk
+    table is hash-partitioned by those columns (as the materialised retrieval
+    corpus is), postings, per-(query, chunk) sums and the zero-score fillers
+    are all partition-local: the only shuffles left are the vocabulary (by
+    token, partial-aggregated) and the per-query top-k (after a partial
+    ``WindowGroupLimit``).  Ids are attached to the k winners per query only.
+    """
+    keys = tuple(order_cols)
+    post = postings(chunks, id_cols=keys)
     stats = corpus_stats(chunks).collect()[0]
     vocab = vocabulary(post, stats["n_docs"])
-    contrib = contributions(post, vocab, query_tokens(queries), stats["avgdl"])
-    return top_k(contrib, chunks, queries, k)
+    qtok = query_tokens(queries)
+    qids = _query_ids(queries, max_queries)
+    contrib = contributions(post, vocab, qtok, stats["avgdl"], id_cols=keys,
+                            broadcast_queries=qids is not None)
+    first = first_chunks(chunks, k, keys)
+    if first:
+        is_first = F.lit(False)
+        for r in first:
+            cond = F.lit(True)
+            for c in keys:
+                cond = cond & (F.col(c) == F.lit(r[c]))
+            is_first = is_first | cond
+        ids = F.array(*[F.lit(q) for q in qids]) if qids is not None else None
+        if ids is not None:
+            pads = chunks.where(is_first).select(*keys, F.explode(ids).alias("query_id"))
+        else:  # past the bound: k rows joined to every query by a broadcast of the k rows
+            pads = queries.select("query_id").join(
+                F.broadcast(chunks.where(is_first).select(*keys)), how="inner", on=F.lit(True))
+        contrib = contrib.unionByName(pads.withColumn("units", F.lit(0).cast("bigint")))
+    scored = _sum_units(contrib, keys)
+    w = W.partitionBy("query_id").orderBy(F.desc("score"), *keys)
+    top = scored.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+    return top.join(chunks.select("chunk_id", *keys), list(keys))

@@ -30,20 +30,31 @@ def chunks(spark: SparkSession, sf: str) -> DataFrame:
     return chunking.chunk(documents(spark, sf))
 
 
+def _corpus_partitions(spark: SparkSession) -> int:
+    """An explicit count, so AQE keeps the hash partitioning (it never coalesces these)."""
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def chunk_vectors(spark: SparkSession, sf: str) -> DataFrame:
     """Chunks with tokens and default embeddings, written once to the checkpoint
-    folder: BM25, dense search and rerank all read the same materialised set."""
+    folder: BM25, dense search and rerank all read the same materialised set.
+
+    Hash-partitioned by chunk position (doc_id, start): spreads one huge
+    document over all tasks and lets BM25 score without a per-token shuffle.
+    """
     from tidepool.session import checkpoint_root
     checkpoint_root(spark)
     ch = chunks(spark, sf).withColumn("c_tokens", tokenize(F.col("text")))
-    return with_hashed_embedding(ch, "c_tokens", "cvec").checkpoint(eager=True)
+    return with_hashed_embedding(ch, "c_tokens", "cvec") \
+        .repartition(_corpus_partitions(spark), "doc_id", "start").checkpoint(eager=True)
 
 
 def chunk_tokens(spark: SparkSession, sf: str) -> DataFrame:
     """Chunks with tokens, materialised once (BM25 reads them four times)."""
     from tidepool.session import checkpoint_root
     checkpoint_root(spark)
-    return chunks(spark, sf).withColumn("c_tokens", tokenize(F.col("text"))).checkpoint(eager=True)
+    return chunks(spark, sf).withColumn("c_tokens", tokenize(F.col("text"))) \
+        .repartition(_corpus_partitions(spark), "doc_id", "start").checkpoint(eager=True)
 
 
 def query_vectors(spark: SparkSession, sf: str) -> DataFrame:

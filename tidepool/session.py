@@ -34,6 +34,9 @@ def get_session(app_name: str = "tidepool", master: str | None = None,
         master = "local[*]"
     if master is not None:
         builder = builder.master(master)
+        if master.startswith("local"):
+            # local mode: the driver JVM is the whole cluster; Spark's 1g default starves 8 tasks
+            builder = builder.config("spark.driver.memory", os.environ.get("TIDEPOOL_DRIVER_MEMORY", "4g"))
     for key, value in _DEFAULTS.items():
         builder = builder.config(key, value)
     if shuffle_partitions is not None:
