@@ -72,3 +72,29 @@ def write_append(df: DataFrame, path: str, fmt: str = "parquet") -> None:
         df.write.mode("append").format(fmt).save(path)
         return
     conform_to_schema(df, target).write.mode("append").format(fmt).save(path)
+
+
+def add_new_by_key(existing: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows of ``new`` whose key is not yet in ``existing`` (re-adding an id is a no-op).
+
+    A left-anti join on the key; appending its result keeps the table keyed.
+    """
+    return new.join(existing.select(*keys), keys, "left_anti")
+
+
+def append_new_by_key(new: DataFrame, path: str, keys: list[str], fmt: str = "parquet") -> int:
+    """S13 as a sink: append only unseen keys; returns how many rows were added."""
+    spark = new.sparkSession
+    try:
+        existing = spark.read.format(fmt).load(path)
+    except AnalysisException:
+        new.write.mode("append").format(fmt).save(path)
+        return spark.read.format(fmt).load(path).count()
+    fresh = add_new_by_key(existing, new, keys)
+    from tidepool.session import scratch_path
+    staged = scratch_path(spark, "append-stage")
+    fresh.write.format(fmt).save(staged)   # decided before the target changes
+    staged_df = spark.read.format(fmt).load(staged)
+    n = staged_df.count()
+    staged_df.write.mode("append").format(fmt).save(path)
+    return n

@@ -83,3 +83,11 @@ def route_counts(spark: SparkSession, valid_path: str, quarantine_path: str) ->
     v = spark.read.parquet(valid_path).select(F.lit("valid").alias("route"))
     q = spark.read.parquet(quarantine_path).select(F.lit("quarantine").alias("route"))
     return v.unionByName(q).groupBy("route").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+def kafka_batch(spark: SparkSession, servers: str, topic: str, starting: str = "earliest",
+                ending: str = "latest") -> DataFrame:
+    """S3: read a topic back as a bounded batch between two offset specs."""
+    return spark.read.format("kafka").option("kafka.bootstrap.servers", servers) \
+        .option("subscribe", topic).option("startingOffsets", starting).option("endingOffsets", ending) \
+        .load().select("topic", "partition", "offset", F.col("value").cast("string").alias("value"))
