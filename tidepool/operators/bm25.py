@@ -127,11 +127,9 @@ def top_k(contrib: DataFrame, chunks: DataFrame, queries: DataFrame, k: int = 10
     return scored.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
 
 
-def _query_ids(queries: DataFrame, max_queries: int) -> list | None:
-    """Query ids when the query table is within the broadcast bound, else None."""
-    if queries.limit(max_queries + 1).count() > max_queries:
-        return None
-    return [r[0] for r in queries.select("query_id").collect()]
+def _within(df: DataFrame, max_rows: int) -> bool:
+    """Size check before a broadcast: at most ``max_rows`` rows (stops counting past it)."""
+    return df.limit(max_rows + 1).count() <= max_rows
 
 
 MAX_BROADCAST_QUERIES = 50_000
@@ -153,25 +151,17 @@ def search(chunks: DataFrame, queries: DataFrame, k: int = 10,
     stats = corpus_stats(chunks).collect()[0]
     vocab = vocabulary(post, stats["n_docs"])
     qtok = query_tokens(queries)
-    qids = _query_ids(queries, max_queries)
-    contrib = contributions(post, vocab, qtok, stats["avgdl"], id_cols=keys,
-                            broadcast_queries=qids is not None)
+    small = _within(queries, max_queries)
+    contrib = contributions(post, vocab, qtok, stats["avgdl"], id_cols=keys, broadcast_queries=small)
     first = first_chunks(chunks, k, keys)
     if first:
-        is_first = F.lit(False)
-        for r in first:
-            cond = F.lit(True)
-            for c in keys:
-                cond = cond & (F.col(c) == F.lit(r[c]))
-            is_first = is_first | cond
-        ids = F.array(*[F.lit(q) for q in qids]) if qids is not None else None
-        if ids is not None:
-            pads = chunks.where(is_first).select(*keys, F.explode(ids).alias("query_id"))
-        else:  # past the bound: k rows joined to every query by a broadcast of the k rows
-            pads = queries.select("query_id").join(
-                F.broadcast(chunks.where(is_first).select(*keys)), how="inner", on=F.lit(True))
+        # the k filler positions (a proven bound) as a literal array on every query row
+        fill = F.array(*[F.struct(*[F.lit(r[c]).alias(c) for c in keys]) for r in first])
+        pads = queries.select("query_id", F.explode(fill).alias("_p")) \
+            .select("query_id", *[F.col(f"_p.{c}").alias(c) for c in keys])
         contrib = contrib.unionByName(pads.withColumn("units", F.lit(0).cast("bigint")))
     scored = _sum_units(contrib, keys)
     w = W.partitionBy("query_id").orderBy(F.desc("score"), *keys)
     top = scored.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
-    return top.join(chunks.select("chunk_id", *keys), list(keys))
+    # the winners are at most (queries x k) rows: broadcast them and stream the corpus once
+    return (F.broadcast(top) if small else top).join(chunks.select("chunk_id", *keys), list(keys))

@@ -69,6 +69,9 @@ class Retrieval:
         self.cv = chunk_vectors(spark, sf)
         self.qv = query_vectors(spark, sf)
         self.k, self.rerank_k = k, rerank_k
+        # the query table is size-checked once; every per-query shortlist is then
+        # bounded by (queries x k) rows and can be broadcast against the corpus
+        self.small = bm25._within(self.qv, bm25.MAX_BROADCAST_QUERIES)
 
     def dense(self) -> DataFrame:
         return vector.exact_top_k(self.cv, self.qv, self.k, "cvec", keep=["chunk_id"],
@@ -81,7 +84,9 @@ class Retrieval:
         return fusion.rrf(self.dense(), self.keyword(), top_k=self.k)
 
     def reranked(self) -> DataFrame:
-        cand = self.fused().join(self.cv.select("chunk_id", "text", "c_tokens", "cvec"), "chunk_id") \
+        fused = self.fused()
+        fused = F.broadcast(fused) if self.small else fused
+        cand = fused.join(self.cv.select("chunk_id", "text", "c_tokens", "cvec"), "chunk_id") \
             .join(self.qv.select("query_id", "q_tokens", "qvec"), "query_id")
         return fusion.rerank(cand, self.rerank_k)
 
