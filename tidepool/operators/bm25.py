@@ -35,11 +35,23 @@ def _tokens(chunks: DataFrame, text_col: str, tokens_col: str):
 
 def postings(chunks: DataFrame, id_cols=("chunk_id", "doc_id", "start"), text_col: str = "text",
              tokens_col: str = "c_tokens") -> DataFrame:
-    """``(*id_cols, token, tf, dl)``: one row per distinct token of a chunk."""
-    toks = chunks.select(*id_cols, _tokens(chunks, text_col, tokens_col).alias("_t")) \
-        .withColumn("dl", F.size("_t"))
-    return toks.select(*id_cols, "dl", F.explode("_t").alias("token")) \
-        .groupBy(*id_cols, "dl", "token").agg(F.count(F.lit(1)).alias("tf"))
+    """``(*id_cols, dl, token, tf)``: one row per distinct token of a chunk.
+
+    Term frequencies are counted inside each chunk row (sort the tokens, then
+    measure the runs), so a chunk's postings never leave its partition: no
+    shuffle here, and downstream per-(query, chunk) partial sums collapse all
+    of a chunk's token contributions before any exchange.
+    """
+    srt = chunks.select(*id_cols, F.array_sort(_tokens(chunks, text_col, tokens_col)).alias("_s")) \
+        .withColumn("dl", F.size("_s"))
+    n = F.col("dl")
+    run_starts = F.filter(F.sequence(F.lit(1), F.greatest(n, F.lit(1))),
+                          lambda i: (i <= n) & ((i == 1) | (F.try_element_at("_s", i) != F.try_element_at("_s", i - 1))))
+    st = srt.withColumn("_st", run_starts)
+    pairs = F.transform("_st", lambda x, j: F.struct(
+        F.try_element_at("_s", x).alias("token"),
+        (F.coalesce(F.try_element_at("_st", j + 2), n + 1) - x).cast("bigint").alias("tf")))
+    return st.select(*id_cols, "dl", F.explode(pairs).alias("_p")).select(*id_cols, "dl", "_p.token", "_p.tf")
 
 
 def corpus_stats(chunks: DataFrame, text_col: str = "text", tokens_col: str = "c_tokens") -> DataFrame:
