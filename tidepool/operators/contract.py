@@ -18,10 +18,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidepool.functions.text import WS_CLASS, strip_ws
+from tidepool.functions.text import strip_ws
 
 # Contract fields in model order, their kinds, and messages.
-TEXT_FIELDS = ("order_id", "customer_id", "restaurant_name", "customer_area")
 FIELDS = (
     ("order_id", "text"),
     ("customer_id", "text"),

@@ -66,10 +66,6 @@ class QualityGateFailed(Exception):
     """Raised when the data fails its quality suite; downstream stages must not run."""
 
 
-def _long_form(rows: list[Column]) -> Column:
-    return F.explode(F.array(*rows))
-
-
 def run_suite(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     """Q8: all rules -> (rule_index, rule, column, element_count, unexpected_count, success)."""
     row_rules = [(i, r) for i, r in enumerate(rules) if r.kind != "unique"]
@@ -78,11 +74,11 @@ def run_suite(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
         aggs = [F.count(F.lit(1)).alias("_n")] + [
             F.count_if(r.unexpected()).alias(f"_u{i}") for i, r in row_rules]
         one = df.agg(*aggs)
-        parts.append(one.select(_long_form([
+        parts.append(one.select(F.explode(F.array(*[
             F.struct(F.lit(i).alias("rule_index"), F.lit(r.name).alias("rule"),
                      F.lit(r.column).alias("column"), F.col("_n").alias("element_count"),
                      F.col(f"_u{i}").alias("unexpected_count"))
-            for i, r in row_rules]).alias("r")).select("r.*"))
+            for i, r in row_rules])).alias("r")).select("r.*"))
     for i, r in enumerate(rules):
         if r.kind != "unique":
             continue

@@ -41,10 +41,6 @@ def union_by_name(base: DataFrame, extra: DataFrame) -> DataFrame:
     return base.unionByName(extra)
 
 
-def _key_match(keys: Sequence[str]) -> list[str]:
-    return list(keys)
-
-
 def merge_upsert(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
     """MERGE ... WHEN MATCHED UPDATE ALL WHEN NOT MATCHED INSERT ALL.
 
@@ -55,7 +51,7 @@ def merge_upsert(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> D
     update batch is small at run time, else it is a sort-merge on the key.
     """
     source = source.select(*target.columns)
-    kept = target.join(source.select(*keys).where(_all_not_null(keys)), _key_match(keys), "left_anti")
+    kept = target.join(source.select(*keys).where(_all_not_null(keys)), list(keys), "left_anti")
     return kept.unionByName(source)
 
 

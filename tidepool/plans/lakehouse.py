@@ -36,6 +36,23 @@ def q_schema_append(spark, sf):
     return target.unionByName(sv.conform_to_schema(dv.late_batch(spark, sf), DELIVERY_SCHEMA))
 
 
+def q_schema_check(spark, sf):
+    """C7 as data: for each schema issue of the rated batch, how many rows carry it."""
+    batch = dv.rated_batch(spark, sf)
+    issues = sv.schema_issues(batch.schema, DELIVERY_SCHEMA)
+    parts = [batch.agg(F.lit(c).alias("column_name"), F.lit(i).alias("issue"),
+                       F.count(F.col(c)).alias("n_rows")) for c, i in issues]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def q_corrupt_rows(spark, sf):
+    """Q12: the failing batch itself (first three keys corrupted)."""
+    return quality.corrupt_first_rows(dv.silver(spark, sf))
+
+
 def q_gold_zone(spark, sf):
     return gold.zone_metrics(dv.silver(spark, sf), with_completed=False)
 
@@ -105,6 +122,8 @@ QUERIES = {
     "merge_actions": q_merge_actions,
     "merge_conflicts": q_merge_conflicts,
     "schema_append": q_schema_append,
+    "schema_check": q_schema_check,
+    "corrupt_rows": q_corrupt_rows,
     "gold_zone": q_gold_zone,
     "gold_completed": q_gold_completed,
     "gold_after_merge": q_gold_after_merge,
@@ -188,7 +207,6 @@ FROM {source} GROUP BY city_zone ORDER BY city_zone"""
 
 
 def _rule_rows(source: str, rules) -> str:
-    from tidepool.operators.quality import Rule  # noqa: F401
     parts = []
     for i, r in rules:
         c = r.column
@@ -251,6 +269,10 @@ SELECT * FROM silver UNION ALL
 SELECT regexp_replace(delivery_id, '-R$', '-L'), customer_id, CAST(NULL AS VARCHAR), order_amount,
        delivery_minutes, city_zone, delivery_status
 FROM upd WHERE delivery_id LIKE '%-R'"""),
+    "schema_check": _with("""
+SELECT 'driver_rating' AS column_name, 'undeclared column' AS issue,
+       count((delivery_minutes % 50) / 10.0) AS n_rows FROM silver"""),
+    "corrupt_rows": _with(_CORRUPT.rstrip() + "\nSELECT * FROM corrupt"),
     "gold_zone": _with(_gold_sql("silver", False)),
     "gold_completed": _with(_gold_sql("silver", True)),
     "gold_after_merge": _with(_gold_sql("merged", True)),

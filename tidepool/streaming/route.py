@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from tidepool.operators import contract as ct
 from tidepool.plans.ingest import feed_from_orders
+from tidepool.sources.tables import widen
 
 ORDER_COLUMNS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate",
                  "o_orderpriority"]
@@ -44,7 +45,7 @@ def order_file_source(spark: SparkSession, sf_dir: str, max_files_per_trigger: i
 
 def _route_batch(valid_path: str, quarantine_path: str):
     def run(batch: DataFrame, batch_id: int) -> None:
-        v = ct.validate(batch).persist()
+        v = ct.validate(widen(batch)).persist()
         try:
             tag = F.lit(batch_id).cast("bigint").alias("batch_id")
             ct.accepted(v).select("*", tag).write.mode("overwrite") \
