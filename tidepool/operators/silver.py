@@ -83,15 +83,19 @@ def check_merge(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> No
 
 
 def merge_actions(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """How many rows a MERGE would update, insert, and leave unchanged."""
-    tkeys = target.select(*keys).where(_all_not_null(keys)).distinct() \
-        .withColumn("_matched", F.lit(True))
-    src = (source.select(*keys).join(tkeys, list(keys), "left")
-           .select(F.when(F.col("_matched"), "update").otherwise("insert").alias("action")))
-    untouched = (target.select(*keys)
-                 .join(source.select(*keys).where(_all_not_null(keys)), list(keys), "left_anti")
-                 .select(F.lit("unchanged").alias("action")))
-    return src.unionByName(untouched).groupBy("action").agg(F.count(F.lit(1)).alias("n_rows"))
+    """How many rows a MERGE would update, insert, and leave unchanged.
+
+    Semi/anti joins only (no distinct over the target): with a small update
+    batch AQE broadcasts the source keys and the target is streamed once per
+    count.
+    """
+    k = list(keys)
+    skeys = source.select(*k).where(_all_not_null(k))
+    tkeys = target.select(*k)
+    upd = source.select(*k).join(tkeys, k, "left_semi").select(F.lit("update").alias("action"))
+    ins = source.select(*k).join(tkeys, k, "left_anti").select(F.lit("insert").alias("action"))
+    same = tkeys.join(skeys, k, "left_anti").select(F.lit("unchanged").alias("action"))
+    return upd.unionByName(ins).unionByName(same).groupBy("action").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
 def schema_issues(df_schema: T.StructType, table_schema: T.StructType) -> list[tuple[str, str]]:
