@@ -47,13 +47,26 @@ def unit_float(counts, norm) -> Column:
 def with_hashed_embedding(df: DataFrame, tokens: str, out: str, dim: int = DEFAULT_DIM) -> DataFrame:
     """Add ``out``: the unit hashed-token embedding of the ``tokens`` column.
 
-    Three projections: counts, then their norm, then the scaled vector, so no
-    lambda recomputes the tokens' hashes or the norm per element.
+    Per row, in a few projections (each intermediate is a column, so no
+    lambda recomputes another's input): hash every token once, sort the
+    bucket numbers, count the runs into a bucket -> count map, read the map
+    into a dense vector, and scale it by its norm.
     """
-    tmp, nrm = f"_{out}_counts", f"_{out}_norm"
-    return df.withColumn(tmp, bucket_counts(tokens, dim)) \
-        .withColumn(nrm, F.sqrt(F.aggregate(tmp, F.lit(0.0), lambda acc, x: acc + x * x))) \
-        .withColumn(out, unit_float(tmp, nrm)).drop(tmp, nrm)
+    b, st, m, c, nrm = (f"_{out}_{x}" for x in ("b", "st", "m", "c", "n"))
+    n = F.size(b)
+    df = df.withColumn(b, F.array_sort(F.transform(_col(tokens), lambda t: token_bucket(t, dim))))
+    df = df.withColumn(st, F.filter(
+        F.sequence(F.lit(1), F.greatest(n, F.lit(1))),
+        lambda i: (i <= n) & ((i == 1) | (F.try_element_at(b, i) != F.try_element_at(b, i - 1)))))
+    df = df.withColumn(m, F.map_from_arrays(
+        F.transform(st, lambda x: F.try_element_at(b, x)),
+        F.transform(st, lambda x, j: (F.coalesce(F.try_element_at(st, j + 2), n + 1) - x).cast("double"))))
+    zeros = F.array_repeat(F.lit(0.0), dim)
+    df = df.withColumn(c, F.when(F.size(m) > 0, F.transform(
+        F.sequence(F.lit(0), F.lit(dim - 1)),
+        lambda i: F.coalesce(F.try_element_at(m, i), F.lit(0.0)))).otherwise(zeros))
+    df = df.withColumn(nrm, F.sqrt(F.aggregate(c, F.lit(0.0), lambda acc, x: acc + x * x)))
+    return df.withColumn(out, unit_float(c, nrm)).drop(b, st, m, c, nrm)
 
 
 def dot(a, b) -> Column:
