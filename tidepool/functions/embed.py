@@ -22,16 +22,6 @@ def token_bucket(token: Column, dim: int = DEFAULT_DIM) -> Column:
     return (F.conv(F.substring(F.sha2(token, 256), 1, 8), 16, 10).cast("bigint") % dim).cast("int")
 
 
-def bucket_counts(tokens, dim: int = DEFAULT_DIM) -> Column:
-    """``array<double>`` of token counts per bucket, in one pass over the tokens.
-
-    The bucket array is the ``aggregate`` input, so each token is hashed once.
-    """
-    buckets = F.transform(_col(tokens), lambda t: token_bucket(t, dim))
-    return F.aggregate(buckets, F.array_repeat(F.lit(0.0), dim),
-                       lambda acc, b: F.transform(acc, lambda v, i: F.when(i == b, v + 1.0).otherwise(v)))
-
-
 def unit_float(counts, norm) -> Column:
     """``counts / norm`` as ``array<float>``; the zero vector stays zero.
 
