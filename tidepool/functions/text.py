@@ -14,6 +14,10 @@ from pyspark.sql import functions as F
 # Written with \x{..} escapes so Java regex and RE2 read the same class.
 WS_CLASS = (r"[\t\n\x0B\f\r\x1C-\x1F \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}"
             r"\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]")
+# The same set spelled for Java's regex engine, where it runs ~2x faster:
+# Character.isWhitespace plus the four characters it leaves out.  (Checked
+# against str.isspace over every code point in tests/test_text.py.)
+JAVA_WS_CLASS = r"[\p{javaWhitespace}\x{85}\x{A0}\x{2007}\x{202F}]"
 
 
 def _col(c) -> Column:
@@ -22,12 +26,12 @@ def _col(c) -> Column:
 
 def strip_ws(c) -> Column:
     """``str.strip()``: drop Unicode whitespace at both ends (``F.trim`` only drops spaces)."""
-    return F.regexp_replace(_col(c), f"^{WS_CLASS}+|{WS_CLASS}+$", "")
+    return F.regexp_replace(_col(c), f"^{JAVA_WS_CLASS}+|{JAVA_WS_CLASS}+$", "")
 
 
 def collapse_ws(c) -> Column:
     """``re.sub(r"\\s+", " ", t).strip()``."""
-    return strip_ws(F.regexp_replace(_col(c), f"{WS_CLASS}+", " "))
+    return F.trim(F.regexp_replace(_col(c), f"{JAVA_WS_CLASS}+", " "))
 
 
 def sentence_split(c) -> Column:
@@ -44,3 +48,9 @@ def tokenize(c) -> Column:
     """``text.lower().split()``: lower case, split on whitespace runs, no empty tokens."""
     clean = collapse_ws(F.lower(_col(c)))
     return F.filter(F.split(clean, " "), lambda s: s != "")
+
+
+def tokenize_collapsed(c) -> Column:
+    """``tokenize`` for text already in collapsed form (single spaces, no outer
+    whitespace), such as chunk text: one split, no regex pass."""
+    return F.filter(F.split(F.lower(_col(c)), " "), lambda s: s != "")

@@ -198,16 +198,15 @@ def validate(raw: DataFrame, value_col: str = "value") -> DataFrame:
 
 
 def route(raw: DataFrame, value_col: str = "value") -> DataFrame:
-    """Validate once and cut lineage (reliable checkpoint in ``spark.checkpoint.dir``).
+    """Validate once and cut lineage (a table written under ``spark.checkpoint.dir``).
 
     Both outputs are then filters over the written result: the rule tree is
     evaluated once per message, and the optimizer cannot push the route
     predicate back into the scan (which would inline the whole rule tree into
     the filter and evaluate it again for the projection).
     """
-    from tidepool.session import checkpoint_root
-    checkpoint_root(raw.sparkSession)
-    return validate(raw, value_col).checkpoint(eager=True)
+    from tidepool.session import materialize
+    return materialize(validate(raw, value_col), "validated")
 
 
 def accepted(validated: DataFrame) -> DataFrame:

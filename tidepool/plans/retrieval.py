@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidepool.functions.embed import with_hashed_embedding
-from tidepool.functions.text import WS_CLASS, tokenize
+from tidepool.functions.text import WS_CLASS, tokenize, tokenize_collapsed
 from tidepool.operators import bm25, chunking, fusion, vector
 from tidepool.sources.tables import driver_table, widen
 
@@ -42,19 +42,17 @@ def chunk_vectors(spark: SparkSession, sf: str) -> DataFrame:
     Hash-partitioned by chunk position (doc_id, start): spreads one huge
     document over all tasks and lets BM25 score without a per-token shuffle.
     """
-    from tidepool.session import checkpoint_root
-    checkpoint_root(spark)
-    ch = chunks(spark, sf).withColumn("c_tokens", tokenize(F.col("text")))
-    return with_hashed_embedding(ch, "c_tokens", "cvec") \
-        .repartition(_corpus_partitions(spark), "doc_id", "start").checkpoint(eager=True)
+    from tidepool.session import materialize
+    ch = chunks(spark, sf).withColumn("c_tokens", tokenize_collapsed(F.col("text")))
+    return materialize(with_hashed_embedding(ch, "c_tokens", "cvec")
+                       .repartition(_corpus_partitions(spark), "doc_id", "start"), "chunk-vectors")
 
 
 def chunk_tokens(spark: SparkSession, sf: str) -> DataFrame:
     """Chunks with tokens, materialised once (BM25 reads them four times)."""
-    from tidepool.session import checkpoint_root
-    checkpoint_root(spark)
-    return chunks(spark, sf).withColumn("c_tokens", tokenize(F.col("text"))) \
-        .repartition(_corpus_partitions(spark), "doc_id", "start").checkpoint(eager=True)
+    from tidepool.session import materialize
+    return materialize(chunks(spark, sf).withColumn("c_tokens", tokenize_collapsed(F.col("text")))
+                       .repartition(_corpus_partitions(spark), "doc_id", "start"), "chunk-tokens")
 
 
 def query_vectors(spark: SparkSession, sf: str) -> DataFrame:

@@ -72,3 +72,16 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh sub-folder of the checkpoint root for a written intermediate table."""
     import uuid
     return f"{checkpoint_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def materialize(df, name: str):
+    """Cut lineage by writing ``df`` once as a Parquet table under the checkpoint
+    folder and reading it back.
+
+    One computation (an eager ``checkpoint()`` runs the plan twice: once to
+    count, once to write), durable on executor loss, and the read-back is
+    split into as many tasks as its files.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
