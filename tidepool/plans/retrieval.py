@@ -36,23 +36,26 @@ def _corpus_partitions(spark: SparkSession) -> int:
 
 
 def chunk_vectors(spark: SparkSession, sf: str) -> DataFrame:
-    """Chunks with tokens and default embeddings, written once to the checkpoint
-    folder: BM25, dense search and rerank all read the same materialised set.
+    """Chunks with default embeddings, written once under the checkpoint folder:
+    BM25, dense search and rerank all read the same materialised set.
 
-    Hash-partitioned by chunk position (doc_id, start): spreads one huge
-    document over all tasks and lets BM25 score without a per-token shuffle.
+    Hash-partitioned by chunk position (doc_id, start), which spreads one huge
+    document over all tasks.  Tokens are not stored: they are one split of
+    the (already collapsed) chunk text, cheaper to redo on read than to write.
     """
     from tidepool.session import materialize
     ch = chunks(spark, sf).withColumn("c_tokens", tokenize_collapsed(F.col("text")))
-    return materialize(with_hashed_embedding(ch, "c_tokens", "cvec")
-                       .repartition(_corpus_partitions(spark), "doc_id", "start"), "chunk-vectors")
+    vec = with_hashed_embedding(ch, "c_tokens", "cvec").drop("c_tokens")
+    stored = materialize(vec.repartition(_corpus_partitions(spark), "doc_id", "start"), "chunk-vectors")
+    return stored.withColumn("c_tokens", tokenize_collapsed(F.col("text")))
 
 
 def chunk_tokens(spark: SparkSession, sf: str) -> DataFrame:
-    """Chunks with tokens, materialised once (BM25 reads them four times)."""
+    """The chunk corpus for keyword search, materialised once (BM25 reads it four times)."""
     from tidepool.session import materialize
-    return materialize(chunks(spark, sf).withColumn("c_tokens", tokenize_collapsed(F.col("text")))
-                       .repartition(_corpus_partitions(spark), "doc_id", "start"), "chunk-tokens")
+    stored = materialize(chunks(spark, sf).repartition(_corpus_partitions(spark), "doc_id", "start"),
+                         "chunk-text")
+    return stored.withColumn("c_tokens", tokenize_collapsed(F.col("text")))
 
 
 def query_vectors(spark: SparkSession, sf: str) -> DataFrame:
