@@ -30,5 +30,5 @@ def exact_avg_round(name: str, digits: int = 2) -> Column:
     scale = 10 ** digits
     s = f"sum(cast(`{name}` as bigint))"
     n = f"count(`{name}`)"
-    return F.expr(f"cast(sign({s}) as bigint) * ((abs({s}) * {2 * scale} + {n}) div (2 * {n}))"
-                  f" / {scale}.0")
+    return F.expr(f"cast(cast(sign({s}) as bigint) * ((abs({s}) * {2 * scale} + {n}) div (2 * {n}))"
+                  f" as double) / {scale}.0D")

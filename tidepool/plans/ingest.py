@@ -236,8 +236,8 @@ ORACLE = {
   "partition" AS source_partition, "offset" AS source_offset FROM validated WHERE rejection_reason <> ''""",
     "contract_reasons": _V + """SELECT rejection_reason, count(*) AS n_rows FROM validated
   WHERE rejection_reason <> '' GROUP BY rejection_reason""",
-    "route_summary": _V + """SELECT count(*) AS produced, count_if(rejection_reason = '') AS accepted,
-  count_if(rejection_reason <> '') AS quarantined,
+    "route_summary": _V + """SELECT count(*) AS produced, CAST(count_if(rejection_reason = '') AS BIGINT) AS accepted,
+  CAST(count_if(rejection_reason <> '') AS BIGINT) AS quarantined,
   coalesce(bool_and(CASE WHEN rejection_reason <> '' THEN rejection_reason <> '' END), true)
     AS all_rejects_have_reason FROM validated""",
     "quarantine_order_ids": _V + """SELECT json_extract_string(value, '$.order_id') AS order_id,
@@ -258,5 +258,5 @@ def q_stream_route_counts(spark, sf):
 
 
 QUERIES["stream_route_counts"] = q_stream_route_counts
-ORACLE["stream_route_counts"] = _V + """SELECT 'valid' AS route, count_if(rejection_reason = '') AS n_rows FROM validated
-UNION ALL SELECT 'quarantine', count_if(rejection_reason <> '') FROM validated"""
+ORACLE["stream_route_counts"] = _V + """SELECT 'valid' AS route, CAST(count_if(rejection_reason = '') AS BIGINT) AS n_rows
+FROM validated UNION ALL SELECT 'quarantine', CAST(count_if(rejection_reason <> '') AS BIGINT) FROM validated"""

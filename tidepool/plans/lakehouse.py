@@ -196,7 +196,7 @@ def _with(body: str) -> str:
 
 
 def _gold_sql(source: str, completed: bool) -> str:
-    extra = ", count_if(delivery_status = 'completed') AS completed_deliveries" if completed else ""
+    extra = ", CAST(count_if(delivery_status = 'completed') AS BIGINT) AS completed_deliveries" if completed else ""
     return f"""
 SELECT city_zone, count(delivery_id) AS total_deliveries,
        CAST(sum(CAST(order_amount AS DECIMAL(18,2))) AS DOUBLE) AS total_order_value,
@@ -226,7 +226,7 @@ FROM (SELECT {c} AS k, count(*) AS n FROM {source} GROUP BY {c}) g""")
         else:
             pred = f"{c} IS NOT NULL AND length({c}) < {r.value}"
         parts.append(f"""SELECT {i} AS rule_index, '{r.name}' AS rule, '{c}' AS "column",
-  count(*) AS element_count, count_if({pred}) AS unexpected_count FROM {source}""")
+  count(*) AS element_count, CAST(count_if({pred}) AS BIGINT) AS unexpected_count FROM {source}""")
     body = "\nUNION ALL\n".join(parts)
     return f"SELECT *, unexpected_count = 0 AS success FROM (\n{body}\n) t"
 

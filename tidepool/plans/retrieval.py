@@ -232,7 +232,7 @@ chunks AS (
 ctoks AS (SELECT chunk_id, doc_id, start, list_filter(string_split(lower(text), ' '), lambda t: t <> '') AS t
           FROM chunks),
 post AS (
-  SELECT chunk_id, doc_id, start, len(t) AS dl, tok AS token, count(*) AS tf
+  SELECT chunk_id, doc_id, start, CAST(len(t) AS INTEGER) AS dl, tok AS token, count(*) AS tf
   FROM (SELECT chunk_id, doc_id, start, t, unnest(t) AS tok FROM ctoks) x
   GROUP BY chunk_id, doc_id, start, dl, token),
 stats AS (SELECT count(*) AS n_docs, sum(len(t)) / count(*) AS avgdl FROM ctoks),
