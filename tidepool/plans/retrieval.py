@@ -73,13 +73,24 @@ class Retrieval:
         # the query table is size-checked once; every per-query shortlist is then
         # bounded by (queries x k) rows and can be broadcast against the corpus
         self.small = bm25._within(self.qv, bm25.MAX_BROADCAST_QUERIES)
+        self._dense = self._keyword = None
 
     def dense(self) -> DataFrame:
-        return vector.exact_top_k(self.cv, self.qv, self.k, "cvec", keep=["chunk_id"],
-                                  order_cols=["doc_id", "start"])
+        if self._dense is None:
+            self._dense = self._keep(vector.exact_top_k(
+                self.cv, self.qv, self.k, "cvec", keep=["chunk_id"], order_cols=["doc_id", "start"]), "dense")
+        return self._dense
 
     def keyword(self) -> DataFrame:
-        return bm25.search(self.cv, self.qv, self.k)
+        if self._keyword is None:
+            self._keyword = self._keep(bm25.search(self.cv, self.qv, self.k), "bm25")
+        return self._keyword
+
+    def _keep(self, shortlist: DataFrame, name: str) -> DataFrame:
+        """A shortlist (at most queries x k rows) written once, so fusion, rerank
+        and the stage counts reuse it instead of searching again."""
+        from tidepool.session import materialize
+        return materialize(shortlist, f"shortlist-{name}")
 
     def fused(self) -> DataFrame:
         return fusion.rrf(self.dense(), self.keyword(), top_k=self.k)
