@@ -19,7 +19,13 @@ def _col(c) -> Column:
 
 
 def token_bucket(token: Column, dim: int = DEFAULT_DIM) -> Column:
-    return (F.conv(F.substring(F.sha2(token, 256), 1, 8), 16, 10).cast("bigint") % dim).cast("int")
+    """``int(sha256(token)[:8], 16) % dim``.
+
+    For a dim dividing 256 only the last two of those eight hex digits matter
+    (16**k is a multiple of 256 for k >= 2), so only they are parsed.
+    """
+    digits = 2 if 256 % dim == 0 else 8
+    return (F.conv(F.substring(F.sha2(token, 256), 9 - digits, digits), 16, 10).cast("bigint") % dim).cast("int")
 
 
 def unit_float(counts, norm) -> Column:
