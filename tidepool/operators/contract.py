@@ -92,21 +92,33 @@ def iso_timestamp_ok(ts: Column) -> Column:
 
     Grammar by regular expression, then calendar and clock ranges checked on
     the captured parts (Spark's own cast accepts forms such as ``2026-07``).
+    One regex pass: a full match is rewritten to ``"@" + the captured parts``
+    joined by ``|``; anything else comes back unchanged (no leading ``@``).
     """
+    return iso_ok_from_parts(iso_parts(ts))
+
+
+def iso_parts(ts: Column) -> Column:
+    """The captured ISO parts as ``"@|y|m|d|y|m|d|week|hh|mm|ss"``, or the text unchanged."""
     t = F.regexp_replace(ts, "Z", "+00:00")
+    return F.regexp_replace(t, ISO_PATTERN, "@|$2|$3|$4|$5|$6|$7|$9|$14|$16|$18")
+
+
+def iso_ok_from_parts(parts: Column) -> Column:
+    """Calendar and clock checks on the output of ``iso_parts``."""
+    matched = parts.startswith("@|")
+    g = F.split(parts, r"\|")
 
-    def g(i):
-        return F.regexp_extract(t, ISO_PATTERN, i)
+    def part(i):
+        return F.try_element_at(g, F.lit(i + 2))
 
-    ymd = F.when(g(2) != "", F.concat_ws("-", g(2), g(3), g(4))) \
-        .otherwise(F.concat_ws("-", g(5), g(6), g(7)))
-    week = g(9)
+    y1, m1, d1, y2, m2, d2, week, hh, mm, ss = (part(i) for i in range(10))
+    ymd = F.when(y1 != "", F.concat_ws("-", y1, m1, d1)).otherwise(F.concat_ws("-", y2, m2, d2))
     date_ok = F.when(week != "", week.cast("int").between(1, 53)) \
         .otherwise(F.try_to_date(ymd, "yyyy-MM-dd").isNotNull())
-    hh, mm, ss = g(14), g(16), g(18)
     time_ok = ((hh == "") | (hh.cast("int") <= 23)) & ((mm == "") | (mm.cast("int") <= 59)) & \
         ((ss == "") | (ss.cast("int") <= 59))
-    return F.coalesce(t.rlike(ISO_PATTERN) & date_ok & time_ok, F.lit(False))
+    return F.coalesce(matched & date_ok & time_ok, F.lit(False))
 
 
 def validate(raw: DataFrame, value_col: str = "value") -> DataFrame:
@@ -136,7 +148,7 @@ def validate(raw: DataFrame, value_col: str = "value") -> DataFrame:
         if kind in ("text", "status"):
             vals[f"_x_{name}"] = strip_ws(s)
         elif kind == "timestamp":
-            vals[f"_ok_{name}"] = iso_timestamp_ok(s)
+            vals[f"_iso_{name}"] = iso_parts(s)
         elif kind == "float":
             txt = _num_text(s)
             vals[f"_p_{name}"] = F.when(F.lower(txt).rlike(_NUM_TEXT), txt.try_cast("double"))
@@ -160,7 +172,7 @@ def validate(raw: DataFrame, value_col: str = "value") -> DataFrame:
                 rule = _err(name, ~value.isin(*ALLOWED_STATUSES), MSG_STATUS)
             else:
                 value = s
-                rule = _err(name, ~F.col(f"_ok_{name}"), MSG_TS)
+                rule = _err(name, ~iso_ok_from_parts(F.col(f"_iso_{name}")), MSG_TS)
             err = _first(_err(name, missing, MSG_REQUIRED), _err(name, not_str, MSG_STRING), rule)
         elif kind == "float":
             parsed = F.col(f"_p_{name}")
