@@ -1,7 +1,6 @@
 """Sources, sinks and streaming: keyed add, guarded scan, batch route = streaming route."""
 
 import pytest
-from pyspark.sql import functions as F
 
 from tidepool.operators import contract as ct
 from tidepool.plans import ingest
