@@ -18,7 +18,10 @@ RERANK_K = 3
 
 
 def documents(spark: SparkSession, sf: str) -> DataFrame:
-    return widen(driver_table(spark, sf, "documents", "doc_id", "text"))
+    # documents range from one word to tens of thousands: more, smaller
+    # partitions than cores keep the sentence splitting balanced
+    par = spark.sparkContext.defaultParallelism
+    return widen(driver_table(spark, sf, "documents", "doc_id", "text"), 4 * par)
 
 
 def query_table(spark: SparkSession, sf: str) -> DataFrame:
@@ -44,9 +47,10 @@ def chunk_vectors(spark: SparkSession, sf: str) -> DataFrame:
     the (already collapsed) chunk text, cheaper to redo on read than to write.
     """
     from tidepool.session import materialize
-    ch = chunks(spark, sf).withColumn("c_tokens", tokenize_collapsed(F.col("text")))
+    ch = chunks(spark, sf).repartition(_corpus_partitions(spark), "doc_id", "start") \
+        .withColumn("c_tokens", tokenize_collapsed(F.col("text")))
     vec = with_hashed_embedding(ch, "c_tokens", "cvec").drop("c_tokens")
-    stored = materialize(vec.repartition(_corpus_partitions(spark), "doc_id", "start"), "chunk-vectors")
+    stored = materialize(vec, "chunk-vectors")
     return stored.withColumn("c_tokens", tokenize_collapsed(F.col("text")))
 
 
