@@ -63,13 +63,16 @@ def corpus_stats(chunks: DataFrame, text_col: str = "text", tokens_col: str = "c
 def vocabulary(post: DataFrame, n_docs: int) -> DataFrame:
     """``(token, df_t, idf_raw, idf)`` with the epsilon floor applied.
 
-    The mean idf is a scalar subquery over the same vocabulary aggregate.
+    The document frequencies are written once under the checkpoint folder:
+    the mean idf (one number) and the idf column both read that table
+    instead of aggregating the postings twice.
     """
-    df = post.groupBy("token").agg(F.count(F.lit(1)).alias("df_t"))
+    from tidepool.session import materialize
+    df = materialize(post.groupBy("token").agg(F.count(F.lit(1)).alias("df_t")), "vocabulary")
     raw = F.log(F.lit(float(n_docs)) - F.col("df_t") + 0.5) - F.log(F.col("df_t") + 0.5)
     vocab = df.withColumn("idf_raw", raw)
-    mean_idf = vocab.select(F.avg("idf_raw")).scalar()
-    return vocab.withColumn("idf", F.when(F.col("idf_raw") < 0, mean_idf * EPSILON)
+    mean_idf = vocab.agg(F.avg("idf_raw")).collect()[0][0] or 0.0
+    return vocab.withColumn("idf", F.when(F.col("idf_raw") < 0, F.lit(mean_idf * EPSILON))
                             .otherwise(F.col("idf_raw")))
 
 
