@@ -30,3 +30,13 @@ def test_text_functions_match_python(spark):
     clean = df.select(collapse_ws("t").alias("c"))
     a = clean.select(tokenize("c").alias("a"), tokenize_collapsed("c").alias("b")).collect()
     assert all(r.a == r.b for r in a)
+
+
+def test_strip_is_str_strip_on_every_whitespace(spark):
+    import random
+    ws = "".join(chr(c) for c in range(0x110000) if chr(c).isspace())
+    rnd = random.Random(5)
+    pool = list(ws) + list("ab é中​")
+    cases = ["".join(rnd.choice(pool) for _ in range(rnd.randint(0, 8))) for _ in range(500)] + [ws, "x" + ws + "y"]
+    df = spark.createDataFrame([(c,) for c in cases], "s string")
+    assert [r[0] for r in df.select(strip_ws("s")).collect()] == [c.strip() for c in cases]

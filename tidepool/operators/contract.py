@@ -73,7 +73,9 @@ def _is_int_kind(kind: Column) -> Column:
 
 
 def _num_text(s: Column) -> Column:
-    return F.regexp_replace(strip_ws(s), r"(?<=\d)_(?=\d)", "")
+    """Numeric text as the contract reads it: stripped, ``_`` between digits dropped."""
+    t = strip_ws(s)
+    return F.when(F.instr(t, "_") > 0, F.regexp_replace(t, r"(?<=\d)_(?=\d)", "")).otherwise(t)
 
 
 def _err(field: str, cond: Column, msg: str) -> tuple[Column, Column]:
