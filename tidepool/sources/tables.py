@@ -27,13 +27,14 @@ def widen(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     """Spread a scan that came back in fewer partitions than the cluster has cores.
 
     Used before CPU-heavy per-row work (contract rules, sentence splitting).
-    A big input already arrives in many splits and is left untouched (no
-    shuffle); a single-row-group file gets a round-robin spread.
+    An input with at least one split per core is left untouched (no shuffle);
+    a narrower one (e.g. a single-row-group file) gets a round-robin spread
+    to ``min_partitions`` (default: the number of cores).
     """
-    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= want:
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= cores:
         return df
-    return df.repartition(want)
+    return df.repartition(max(min_partitions or cores, cores))
 
 
 def scan(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
