@@ -75,3 +75,21 @@ def test_stream_upsert_replay_is_idempotent(spark):
     assert run() == first     # restarted query: offsets in the checkpoint, nothing applied twice
     want = merge_upsert(dv.silver(spark, SF001), dv.update_batch(spark, SF001), ["delivery_id"])
     assert first == sorted(map(tuple, want.collect()))
+
+
+def test_widen_only_spreads_narrow_inputs(spark):
+    cores = spark.sparkContext.defaultParallelism
+    narrow = spark.range(100).coalesce(1)
+    assert tables.widen(narrow).rdd.getNumPartitions() == cores
+    assert tables.widen(narrow, 3 * cores).rdd.getNumPartitions() == 3 * cores
+    wide = spark.range(100).repartition(cores + 1)
+    assert tables.widen(wide).rdd.getNumPartitions() == cores + 1
+
+
+def test_materialize_writes_under_checkpoint_dir(spark):
+    from tidepool.session import checkpoint_root, materialize
+    df = materialize(spark.range(10), "unit")
+    assert df.count() == 10
+    from urllib.parse import urlparse
+    root = urlparse(checkpoint_root(spark)).path
+    assert df.inputFiles() and all(urlparse(f).path.startswith(root + "/") for f in df.inputFiles())
