@@ -7,7 +7,7 @@ from collections.abc import Callable
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -112,8 +112,7 @@ def running_start(df: DataFrame, order: list[str], size: str, name: str) -> Data
     ordered = df.repartitionByRange(*order).sortWithinPartitions(*order)
     summed = materialize(ordered.mapInArrow(run, fields), name)
     totals = summed.groupBy("_part").agg(F.max(F.col("_local") + F.col(size)).alias("_total"))
-    later = totals.select(F.col("_part").alias("_p"), "_total")
-    before = (totals.alias("t").join(F.broadcast(later), later["_p"] < F.col("t._part"), "left")
-              .groupBy("t._part").agg(F.coalesce(F.sum(later["_total"]), F.lit(0)).alias("_before")))
+    earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    before = totals.select("_part", F.coalesce(F.sum("_total").over(earlier), F.lit(0)).alias("_before"))
     return (summed.join(F.broadcast(before), "_part")
             .withColumn("start", F.col("_before") + F.col("_local")).drop("_part", "_local", "_before"))
