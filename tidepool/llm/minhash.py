@@ -6,13 +6,16 @@ cut into ``BANDS * ROWS`` bins (one permutation); an empty bin borrows from the
 that a fixed probe sequence names first among those filled (optimal densification),
 the same for every document.  ``ROWS`` bins make a band, a band's hash a bucket.
 
-Candidates are stars: in each bucket a hub is compared with the others.  Links are
-confirmed on the full sets.  As long as a bucket holds members of several
-components, further rounds compare new hubs (four times as many each round, taken
-from the bucket's rarest components first) with every member of other components;
-a hub leaves its bucket afterwards.  So no link between members of one bucket is
-lost, and a bucket of mutually similar documents costs pairs in proportion to its
-size, not its square.  There is no cap on buckets or partners.
+Candidates are stars: in each bucket a hub is compared with the members of other
+components, and then leaves the bucket.  Links are confirmed on the full sets.
+Rounds go on until no bucket holds members of two components, so no link between
+members of one bucket is lost, and there is no cap on buckets or partners.  The
+first rounds take hubs from a bucket's largest component: what belongs to a family
+of similar documents soon joins it, at a few pairs per member.  Later rounds take
+the few that are left as hubs, more of them each round.  A pair goes on to the full
+sets only if 1024-bit sketches allow the similarity: each bit that one document has
+and the other lacks is a shingle not shared, so this loses nothing.  A family of
+similar documents so costs pairs in proportion to its size, not its square.
 
 Probability that two documents at similarity 0.75 share none of the 64 buckets of
 six bins: (1 - 0.75 ** 6) ** 64, below 4 in a million.
@@ -24,7 +27,7 @@ from hashlib import blake2b
 
 import numpy as np
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidepool.llm.common import Memo, map_slices, mix64
@@ -34,6 +37,8 @@ from tidepool.session import materialize
 WORDS, SIMILARITY = 5, 75  # words of a shingle; least similarity in hundredths
 BANDS, ROWS = 64, 6
 PROBES = 1024
+FROM_LARGEST = (1, 4)  # hubs of a bucket in the first rounds; afterwards 16, 256 and so on
+WIDTH = 16  # 64-bit words of a sketch
 
 _MUL = np.uint64(0x9E3779B97F4A7C15)
 
@@ -96,26 +101,34 @@ class Signature:
         return out.view(np.int64)
 
 
+def sketch(hashes: np.ndarray) -> np.ndarray:
+    """A bitmap of the hashes, as ``WIDTH`` words."""
+    bits = np.zeros(WIDTH * 64, np.uint8)
+    bits[hashes % np.uint64(WIDTH * 64)] = 1
+    return np.packbits(bits).view(np.int64)
+
+
 def _signing(bands: int, rows: int, words: int):
     def make():
         seen, sign = Memo(xxhash.xxh3_64_intdigest), Signature(bands, rows)
 
         def step(cols):
-            out = {"doc_id": cols["doc_id"], "text_hash": cols["text_hash"], "n_shingles": [], "set_hash": [], "bands": []}
+            out = {"doc_id": cols["doc_id"], "text_hash": cols["text_hash"], "n_shingles": [], "set_hash": [], "bands": [], "sketch": []}
             for text in cols["text"]:
                 sh = shingles(text, seen, words)
                 out["n_shingles"].append(len(sh))
                 out["set_hash"].append(blake2b(sh.tobytes(), digest_size=16).digest() if len(sh) else None)
                 out["bands"].append(sign.keys(sh) if len(sh) else None)
+                out["sketch"].append(sketch(sh))
             return out
         return step
     return make
 
 
 def signatures(docs: DataFrame, bands: int = BANDS, rows: int = ROWS, words: int = WORDS) -> DataFrame:
-    """(doc_id, text_hash, n_shingles, set_hash, bands) of every row."""
+    """(doc_id, text_hash, n_shingles, set_hash, bands, sketch) of every row."""
     return map_slices(docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash")), _signing(bands, rows, words),
-                      "doc_id long, text_hash long, n_shingles long, set_hash binary, bands array<long>")
+                      "doc_id long, text_hash long, n_shingles long, set_hash binary, bands array<long>, sketch array<long>")
 
 
 def _shingling(words: int):
@@ -145,6 +158,11 @@ def confirm(pairs: DataFrame, sets: DataFrame, similarity: int = SIMILARITY) ->
     return map_slices(joined.select("a", "b", "sa", "sb"), _confirming(similarity), "a long, b long, linked boolean", rows=128)
 
 
+def only(words: list[str], here: str, there: str) -> Column:
+    """Bits of one sketch that the other lacks."""
+    return F.expr(" + ".join(f"bit_count({here}{w} & ~{there}{w})" for w in words))
+
+
 def near_links(docs: DataFrame, signed: DataFrame, bands: int = BANDS, rows: int = ROWS, words: int = WORDS,
                similarity: int = SIMILARITY) -> DataFrame:
     """(node, component) over class representatives that are linked with another one."""
@@ -156,24 +174,30 @@ def near_links(docs: DataFrame, signed: DataFrame, bands: int = BANDS, rows: int
     ids = members.select(F.col("id").alias("doc_id")).distinct()
     sets = materialize(map_slices(docs.select("doc_id", "text").join(ids, "doc_id", "left_semi"), _shingling(words),
                                   "id long, shingles binary"), "shingles")
-    spark, slots = docs.sparkSession, 1
-    failed = spark.createDataFrame([], "a long, b long")
-    found = spark.createDataFrame([], "node long, component long")
-    members = members.withColumn("component", F.col("id"))
+    sketch = [F.col("sketch")[i].alias(f"s{i}") for i in range(WIDTH)]
+    members = materialize(members.join(heads.select(F.col("doc_id").alias("id"), *sketch).dropDuplicates(["id"]), "id")
+                          .withColumn("component", F.col("id")), "buckets")
+    failed, found, turn = None, docs.sparkSession.createDataFrame([], "node long, component long"), 0
+    words = [f"s{i}" for i in range(WIDTH)]
+    common = F.least(F.col("n") - only(words, "", "hub_"), F.col("hub_n") - only(words, "hub_", ""))
+    possible = (100 + similarity) * common >= similarity * (F.col("n") + F.col("hub_n"))
     while not members.isEmpty():
+        largest = turn < len(FROM_LARGEST)
+        slots = FROM_LARGEST[turn] if largest else 16 ** (turn - len(FROM_LARGEST) + 1)
         rarity = members.groupBy("key", "component").agg(F.count("*").alias("many"))
-        hubs = (members.join(rarity, ["key", "component"])
-                .groupBy("key", F.pmod(F.xxhash64("id"), F.lit(slots)).alias("slot"))
-                .agg(F.min(F.struct("many", "id", "component", "n")).alias("hub"))
-                .select("key", F.col("hub.id").alias("hub"), F.col("hub.component").alias("hub_component"), F.col("hub.n").alias("hub_n")))
-        hubs = materialize(hubs, "hubs")
+        rank = F.struct(F.col("many") if largest else -F.col("many"), F.xxhash64("id", F.lit(turn)), "id", "component", "n", *words)
+        hubs = materialize((members.join(rarity, ["key", "component"])
+                            .groupBy("key", F.pmod(F.xxhash64("id"), F.lit(slots)).alias("slot")).agg(F.max(rank).alias("hub"))
+                            .select("key", F.col("hub.id").alias("hub"), F.col("hub.component").alias("hub_component"),
+                                    F.col("hub.n").alias("hub_n"), *[F.col(f"hub.{w}").alias(f"hub_{w}") for w in words])), "hubs")
         pairs = (members.join(hubs, "key")
-                 .where((F.col("component") != F.col("hub_component"))
-                        & (100 * F.least("n", "hub_n") >= similarity * F.greatest("n", "hub_n")))
+                 .where((F.col("component") != F.col("hub_component")) & possible)
                  .select(F.least("id", "hub").alias("a"), F.greatest("id", "hub").alias("b")).distinct())
-        tested = materialize(confirm(pairs.join(failed, ["a", "b"], "left_anti"), sets, similarity), "pairs")
-        fresh = tested.where("linked").select("a", "b")
-        failed = failed.union(tested.where("not linked").select("a", "b"))
+        if failed is not None:
+            pairs = pairs.join(failed, ["a", "b"], "left_anti")
+        tested = materialize(confirm(pairs, sets, similarity), "pairs")
+        fresh, missed = tested.where("linked").select("a", "b"), tested.where("not linked").select("a", "b")
+        failed = missed if failed is None else failed.union(missed)
         if not fresh.isEmpty():
             found = components(found.select(F.col("node").alias("a"), F.col("component").alias("b")).union(fresh), "a", "b")
         members = (members.drop("component").join(hubs.select("key", F.col("hub").alias("id")), ["key", "id"], "left_anti")
@@ -182,7 +206,7 @@ def near_links(docs: DataFrame, signed: DataFrame, bands: int = BANDS, rows: int
         mixed = (members.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"))
                  .where("low <> high").select("key"))
         members = materialize(members.join(mixed, "key", "left_semi"), "buckets")
-        slots *= 4
+        turn += 1
     return found
 
 
