@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidepool.llm import bpe, embedding, minhash, packing, pii, quality
+from tidepool.llm import bpe, embedding, minhash, packing, pii, quality, urls
 from tidepool.llm.common import table
 
 QUERIES: dict = {}
@@ -84,6 +84,72 @@ FROM embeddings e JOIN lowest ON lowest.a = e.vec_id LEFT JOIN counted ON counte
 """
 
 
+URL_RULES = [("org/", "allow"), ("example.org/es/", "block"), ("example.org/en/1", "block"), ("com/fr/", "allow"), ("com/de/", "block")]
+
+
+@query
+def op7_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # a label row and a page of one number are taken as one item; low quality or toxicity is the bad outcome
+    labels = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("page_id"), F.expr("quality = 0 or toxic = 1").alias("bad"))
+    return urls.judge(table(spark, sf_dir, "pages"), labels, URL_RULES)
+
+
+ORACLE["op7_urls"] = r"""
+WITH rest AS (
+  SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS r FROM pages),
+named AS (
+  SELECT page_id, translate(regexp_extract(r, '^[^/?#]*', 0), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    regexp_extract(r, '^[^/?#]*([^?#]*)', 1) AS path FROM rest),
+outcome AS (
+  SELECT doc_id, max((quality = 0 OR toxic = 1)::INT) AS bad FROM labels
+  WHERE doc_id IS NOT NULL AND (quality = 0 OR toxic = 1) IS NOT NULL GROUP BY doc_id),
+counted AS (
+  SELECT host, count(bad) AS n, coalesce(sum(bad), 0)::BIGINT AS b FROM named LEFT JOIN outcome ON page_id = doc_id GROUP BY host),
+parts AS (SELECT *, string_split(host, '.') AS p FROM counted),
+suffixed AS (
+  SELECT *, CASE WHEN array_to_string(p[-2:], '.') IN ('example.com', 'example.net', 'example.org')
+    THEN array_to_string(p[-2:], '.') ELSE p[-1] END AS suffix FROM parts),
+hosts AS (
+  SELECT host, n, b, suffix, array_to_string(CASE WHEN strpos(suffix, '.') > 0 THEN p[-3:] ELSE p[-2:] END, '.') AS domain FROM suffixed),
+seen AS (SELECT * FROM hosts WHERE n > 0),
+domains AS (SELECT domain, suffix, sum(n)::BIGINT AS n, sum(b)::BIGINT AS b FROM seen GROUP BY ALL),
+tops AS (SELECT suffix, sum(n)::BIGINT AS n, sum(b)::BIGINT AS b FROM seen GROUP BY ALL),
+root AS (SELECT (coalesce(sum(b), 0) + 1)::DOUBLE / (coalesce(sum(n), 0) + 2) AS m FROM seen),
+levels AS (
+  SELECT 'host' AS level, n, b FROM seen UNION ALL SELECT 'domain', n, b FROM domains UNION ALL SELECT 'top', n, b FROM tops),
+sums AS (
+  SELECT level, count(*) AS k, sum(n)::DOUBLE AS n, sum(n * n)::DOUBLE AS nn, sum(b)::DOUBLE / sum(n)::DOUBLE AS m,
+    sum((b * b / n)::DECIMAL(28, 12))::DOUBLE AS q FROM levels GROUP BY level),
+spreads AS (SELECT *, q - m * m * n - (k - 1) * m * (1 - m) AS spread, n - nn / n AS room FROM sums),
+strengths AS (
+  SELECT level, CASE WHEN room <= 0 OR spread <= 0 OR m <= 0 OR m >= 1 THEN 1000.0
+    ELSE least(1000.0::DOUBLE, greatest(1.0::DOUBLE, m * (1 - m) / (spread / room) - 1)) END::DOUBLE AS s FROM spreads),
+s AS (
+  SELECT coalesce(max(s) FILTER (level = 'top'), 1000.0)::DOUBLE AS st, coalesce(max(s) FILTER (level = 'domain'), 1000.0)::DOUBLE AS sd,
+    coalesce(max(s) FILTER (level = 'host'), 1000.0)::DOUBLE AS sh FROM strengths),
+tops2 AS (SELECT suffix, (b + st * m) / (n + st) AS top_mean FROM tops, s, root),
+doms AS (
+  SELECT h.host, h.n, h.b, sh,
+    (coalesce(d.b, 0) + sd * coalesce(top_mean, m)) / (coalesce(d.n, 0) + sd) AS dm
+  FROM hosts h LEFT JOIN tops2 USING (suffix) LEFT JOIN domains d ON d.domain = h.domain AND d.suffix = h.suffix, s, root),
+ab AS (SELECT host, b + sh * dm AS alpha, n - b + sh * (1 - dm) AS beta FROM doms),
+means AS (SELECT host, alpha / (alpha + beta) AS mean, alpha + beta AS size FROM ab),
+bounds AS (SELECT host, mean, mean - 1.645::DOUBLE * sqrt(mean * (1 - mean) / (size + 1)) AS low FROM means),
+ruled AS (
+  SELECT *, CASE
+    WHEN (host = 'example.org' OR ends_with(host, '.example.org')) AND starts_with(path, '/en/1') THEN 'example.org/en/1'
+    WHEN (host = 'example.org' OR ends_with(host, '.example.org')) AND starts_with(path, '/es/') THEN 'example.org/es/'
+    WHEN (host = 'com' OR ends_with(host, '.com')) AND starts_with(path, '/fr/') THEN 'com/fr/'
+    WHEN (host = 'com' OR ends_with(host, '.com')) AND starts_with(path, '/de/') THEN 'com/de/'
+    WHEN (host = 'org' OR ends_with(host, '.org')) AND starts_with(path, '/') THEN 'org/' END AS rule
+  FROM named)
+SELECT page_id, host, path, rule,
+  CASE WHEN rule IN ('org/', 'com/fr/') THEN 'allow' WHEN rule IS NOT NULL THEN 'block' WHEN low > 0.5 THEN 'block' ELSE 'allow' END AS verdict,
+  round(mean, 6) AS p_bad, round(low, 6) AS bound
+FROM ruled JOIN bounds USING (host)
+"""
+
+
 @query
 def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find(table(spark, sf_dir, "documents"))
