@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidepool.llm import bpe, embedding, minhash, packing, pii, quality, urls
+from tidepool.llm import bpe, embedding, html_layout, minhash, packing, pii, quality, urls, warc
 from tidepool.llm.common import table
 
 QUERIES: dict = {}
@@ -84,6 +84,11 @@ FROM embeddings e JOIN lowest ON lowest.a = e.vec_id LEFT JOIN counted ON counte
 """
 
 
+@query
+def op6_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_layout.extract(table(spark, sf_dir, "pages"))
+
+
 URL_RULES = [("org/", "allow"), ("example.org/es/", "block"), ("example.org/en/1", "block"), ("com/fr/", "allow"), ("com/de/", "block")]
 
 
@@ -158,3 +163,11 @@ def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+CRAWL_DATE = "2024-01-01T00:00:00Z"  # pages carry no time of their own
+
+
+@query
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.build(table(spark, sf_dir, "pages"), CRAWL_DATE)
