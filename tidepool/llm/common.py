@@ -21,7 +21,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def map_slices(df: DataFrame, make: Callable, schema: str, rows: int = 256) -> DataFrame:
+def map_slices(df: DataFrame, make: Callable, schema: str | T.StructType, rows: int = 256) -> DataFrame:
     """Run a step over small slices of each partition.
 
     ``make()`` is called once per task and returns ``step(columns)``, which takes
@@ -29,7 +29,7 @@ def map_slices(df: DataFrame, make: Callable, schema: str, rows: int = 256) -> D
     arrays.  Slices bound the memory of a task whatever the partition's size.
     """
     ship_package(df.sparkSession)
-    fields = T._parse_datatype_string(schema)
+    fields = T._parse_datatype_string(schema) if isinstance(schema, str) else schema
     arrow = to_arrow_schema(fields)
 
     def run(batches):

@@ -237,3 +237,11 @@ def near_duplicates(docs: DataFrame, bands: int = BANDS, rows: int = ROWS, words
             .select("doc_id", "n_shingles", F.coalesce("class_component", "doc_id").alias("component_id"), "text_hash")
             .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
             .select("doc_id", "n_shingles", "component_id", "kept", "text_hash"))
+
+
+def kept_rows(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose document ``near_duplicates`` keeps, with all their columns: one document of each
+    group.  Rows that repeat a doc_id with the same text stay or go together."""
+    kept = near_duplicates(docs).where("kept").select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).distinct()
+    same = docs["doc_id"].eqNullSafe(kept["_id"]) & (F.xxhash64(docs["text"]) == kept["_hash"])
+    return docs.join(kept, same, "left_semi")

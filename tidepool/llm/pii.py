@@ -403,4 +403,4 @@ def _masking(table: str):
 def masked(docs: DataFrame, table: str = LABELLED) -> DataFrame:
     """``docs`` (with text and n_chars) with every span replaced by its kind in angle brackets and n_chars counted
     anew; other columns and null texts stay as they are, and rows keep their number."""
-    return map_slices(docs, _masking(table), docs.schema.simpleString()[len("struct<"):-1])
+    return map_slices(docs, _masking(table), docs.schema)

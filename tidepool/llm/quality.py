@@ -15,6 +15,7 @@ from dataclasses import dataclass
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidepool.llm.common import WORD_SPACE, map_slices
 from tidepool.session import materialize
@@ -158,6 +159,11 @@ def judge(docs: DataFrame, rules: tuple[Rule, ...] = RULES, rounds: int = ROUNDS
     empty table gives an empty result.
     """
     voted = materialize(metrics(docs).select("*", *[r.vote() for r in rules]), "votes")
+    return _scored(voted, rules, rounds, certain)
+
+
+def _scored(voted: DataFrame, rules: tuple[Rule, ...], rounds: int, certain: float) -> DataFrame:
+    """Add posterior, base_failed and kept to rows with ``METRICS`` and votes."""
     names = [r.name for r in rules]
     patterns = voted.groupBy(*names).agg(F.count("*").alias("n")).orderBy(*names).collect()  # 3 ** len(rules) rows at most
     table = np.array([list(p) for p in patterns], np.float64).reshape(len(patterns), len(names) + 1)
@@ -168,3 +174,26 @@ def judge(docs: DataFrame, rules: tuple[Rule, ...] = RULES, rounds: int = ROUNDS
     failed = F.expr("n_words < 50 or 100 * n_repeat_words > 50 * n_words")
     return (voted.withColumn("posterior", 1 / (1 + F.exp(-odds))).withColumn("base_failed", failed)
             .withColumn("kept", ~F.col("base_failed") & (F.col("posterior") >= certain)))
+
+
+def _measuring_rows(text: str):
+    def make():
+        def step(cols):
+            rows = [measure(t) for t in cols[text]]
+            return cols | {k: [r[i] for r in rows] for i, k in enumerate(METRICS)}
+        return step
+    return make
+
+
+def kept_rows(docs: DataFrame, rules: tuple[Rule, ...] = RULES, rounds: int = ROUNDS, certain: float = CERTAIN) -> DataFrame:
+    """The rows of ``docs`` that ``judge`` keeps, with all their columns.
+
+    The rows are written once beside their measures and filtered when read again, so no
+    text is shuffled.  Columns are numbered meanwhile: names that a measure or rule also
+    has do no harm.
+    """
+    numbered = docs.toDF(*[f"_column_{i}" for i in range(len(docs.columns))])
+    text = numbered.columns[docs.columns.index("text")]
+    fields = T.StructType([*numbered.schema.fields, *[T.StructField(k, T.LongType()) for k in METRICS]])
+    voted = materialize(map_slices(numbered, _measuring_rows(text), fields).select("*", *[r.vote() for r in rules]), "votes")
+    return _scored(voted, rules, rounds, certain).where("kept").select(*[F.col(n).alias(c) for n, c in zip(numbered.columns, docs.columns)])

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidepool.llm import bpe, embedding, html_layout, minhash, packing, pii, quality, urls, warc
+from tidepool.llm import bpe, embedding, html_layout, minhash, packing, pii, quality, quotes, urls, warc
 from tidepool.llm.common import table
 
 QUERIES: dict = {}
@@ -84,6 +84,42 @@ FROM embeddings e JOIN lowest ON lowest.a = e.vec_id LEFT JOIN counted ON counte
 """
 
 
+@query
+def op5_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quotes.link(table(spark, sf_dir, "conversations"))
+
+
+ORACLE["op5_quotes"] = r"""
+WITH RECURSIVE split AS (
+  SELECT conv_id, turn, role, regexp_split_to_array(text, '\r?\n') AS ls FROM conversations),
+lines AS (SELECT conv_id, turn, unnest(ls) AS line FROM split),
+parts AS (
+  SELECT conv_id, turn, length(regexp_replace(regexp_extract(line, '^[ \t]*>(?:[ \t]*>)*'), '[^>]', '', 'g')) AS depth,
+    lower(trim(regexp_replace(regexp_replace(line, '^[ \t]*>(?:[ \t]*>)*', ''), '[ \t]+', ' ', 'g'), ' ')) AS plain FROM lines),
+quoted AS (SELECT conv_id, turn, depth, plain, count(*) AS times FROM parts WHERE depth > 0 AND plain <> '' GROUP BY ALL),
+wrote AS (SELECT conv_id, plain, min(turn) AS origin FROM parts WHERE depth = 0 AND plain <> '' GROUP BY ALL),
+found AS (SELECT q.*, origin FROM quoted q JOIN wrote w ON q.conv_id = w.conv_id AND q.plain = w.plain WHERE origin < turn),
+linked AS (SELECT conv_id, turn, sum(times)::BIGINT AS n_linked FROM found GROUP BY ALL),
+weights AS (SELECT conv_id, turn, origin, sum(length(plain) * times) AS weight FROM found WHERE depth = 1 GROUP BY ALL),
+answers AS (
+  SELECT conv_id, turn, origin AS parent_turn FROM weights
+  QUALIFY row_number() OVER (PARTITION BY conv_id, turn ORDER BY weight DESC, origin DESC) = 1),
+chain AS (
+  SELECT conv_id, turn, parent_turn AS up, 1 AS steps FROM answers
+  UNION ALL SELECT c.conv_id, c.turn, a.parent_turn, steps + 1 FROM chain c JOIN answers a ON a.conv_id = c.conv_id AND a.turn = c.up),
+roots AS (SELECT conv_id, turn, arg_max(up, steps) AS thread_root, max(steps) AS reply_depth FROM chain GROUP BY ALL)
+SELECT s.conv_id, s.turn, role, parent_turn, coalesce(thread_root, s.turn) AS thread_root, coalesce(reply_depth, 0)::BIGINT AS reply_depth,
+  coalesce(len(list_filter(ls, lambda x: regexp_matches(x, '^[ \t]*>'))), 0)::BIGINT AS n_quoted,
+  coalesce(list_max(list_transform(ls, lambda x: length(regexp_replace(regexp_extract(x, '^[ \t]*>(?:[ \t]*>)*'), '[^>]', '', 'g')))), 0)::BIGINT AS max_depth,
+  coalesce(n_linked, 0) AS n_linked,
+  array_to_string(list_filter(ls, lambda x, i: NOT regexp_matches(x, '^[ \t]*>') AND NOT (
+    regexp_matches(x, '^[ \t]*(?:On .* wrote:|Am .* schrieb .*:|Le .* a écrit ?:|El .* escribió:)[ \t]*$')
+    AND coalesce(regexp_matches(ls[i + 1], '^[ \t]*>'), false))), chr(10)) AS body
+FROM split s LEFT JOIN answers a ON a.conv_id = s.conv_id AND a.turn = s.turn
+LEFT JOIN roots r ON r.conv_id = s.conv_id AND r.turn = s.turn LEFT JOIN linked l ON l.conv_id = s.conv_id AND l.turn = s.turn
+"""
+
+
 @query
 def op6_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_layout.extract(table(spark, sf_dir, "pages"))
