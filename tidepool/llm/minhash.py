@@ -37,7 +37,7 @@ from tidepool.session import materialize
 WORDS, SIMILARITY = 5, 75  # words of a shingle; least similarity in hundredths
 BANDS, ROWS = 64, 6
 PROBES = 1024
-FROM_LARGEST = (1, 4)  # hubs of a bucket in the first rounds; afterwards 16, 256 and so on
+FROM_LARGEST = (1, 8)  # hubs of a bucket in the first rounds; afterwards 1024, 1024 squared and so on
 WIDTH = 16  # 64-bit words of a sketch
 
 _MUL = np.uint64(0x9E3779B97F4A7C15)
@@ -183,11 +183,12 @@ def near_links(docs: DataFrame, signed: DataFrame, bands: int = BANDS, rows: int
     possible = (100 + similarity) * common >= similarity * (F.col("n") + F.col("hub_n"))
     while not members.isEmpty():
         largest = turn < len(FROM_LARGEST)
-        slots = FROM_LARGEST[turn] if largest else 16 ** (turn - len(FROM_LARGEST) + 1)
-        rarity = members.groupBy("key", "component").agg(F.count("*").alias("many"))
+        slots = FROM_LARGEST[turn] if largest else 1024 ** (turn - len(FROM_LARGEST) + 1)
+        ranked = members.withColumn("many", F.lit(1))  # nothing is linked before the first round
+        if turn:
+            ranked = members.join(members.groupBy("key", "component").agg(F.count("*").alias("many")), ["key", "component"])
         rank = F.struct(F.col("many") if largest else -F.col("many"), F.xxhash64("id", F.lit(turn)), "id", "component", "n", *words)
-        hubs = materialize((members.join(rarity, ["key", "component"])
-                            .groupBy("key", F.pmod(F.xxhash64("id"), F.lit(slots)).alias("slot")).agg(F.max(rank).alias("hub"))
+        hubs = materialize((ranked.groupBy("key", F.pmod(F.xxhash64("id"), F.lit(slots)).alias("slot")).agg(F.max(rank).alias("hub"))
                             .select("key", F.col("hub.id").alias("hub"), F.col("hub.component").alias("hub_component"),
                                     F.col("hub.n").alias("hub_n"), *[F.col(f"hub.{w}").alias(f"hub_{w}") for w in words])), "hubs")
         pairs = (members.join(hubs, "key")
@@ -231,8 +232,9 @@ def near_duplicates(docs: DataFrame, bands: int = BANDS, rows: int = ROWS, words
                        .select("node", F.col("doc_id").alias("component")), "ties")
     if not ties.isEmpty():
         found = components(found.union(ties), "node", "component")
-    by_class = (classes.join(found, "node", "left")
-                .select("set_hash", F.coalesce("component", "node").alias("class_component")))
+    # written, so that a class of very many copies can be split in the join below
+    by_class = materialize(classes.join(found, "node", "left")
+                           .select("set_hash", F.coalesce("component", "node").alias("class_component")), "classes")
     return (signed.join(by_class, "set_hash", "left")
             .select("doc_id", "n_shingles", F.coalesce("class_component", "doc_id").alias("component_id"), "text_hash")
             .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))

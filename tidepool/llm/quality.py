@@ -22,7 +22,8 @@ from tidepool.session import materialize
 
 SYMBOLS = b"#*$%&|<>"
 ENDINGS = (".", "!", "?", ":", '"', "'", "”", "»", "…", ")")
-ROUNDS, START, PRIOR, CERTAIN = 50, 0.75, 0.8, 0.5  # EM rounds, first accuracy and share, posterior from which a text is kept
+ROUNDS, PRIOR, CERTAIN = 50, 0.8, 0.5  # EM rounds, first share of good rows, posterior from which a text is kept
+ON_GOOD, ON_BAD = 0.97, 0.3  # first accuracies: a rule seldom accuses good text, and catches some of the kinds of bad text
 
 _NOT_LETTER = bytes(b for b in range(128) if not chr(b).isalpha())
 _NOT_DIGIT = bytes(b for b in range(256) if not 48 <= b <= 57)
@@ -132,17 +133,17 @@ def expectation_maximisation(votes: np.ndarray, counts: np.ndarray, rounds: int
 
     Rules are taken as independent given the class; an abstention says nothing.  A
     rule has one accuracy on good rows and one on bad rows, for a rule may catch one
-    kind of bad text and wave the others through.  Ten votes of accuracy ``START`` are
+    kind of bad text and wave the others through.  Ten votes of the first accuracies are
     added to each and ten rows at ``PRIOR``, so a rule that never votes keeps its first
     values and an empty table the first model.
     """
     rules = votes.shape[1]
-    model = Model(PRIOR, np.full(rules, START), np.full(rules, START))
+    model = Model(PRIOR, np.full(rules, ON_GOOD), np.full(rules, ON_BAD))
     for _ in range(rounds):
         good = model.posterior(votes)
         for_good, for_bad = counts * good, counts * (1 - good)
-        on_good = (for_good @ (votes > 0) + 10 * START) / (for_good @ (votes != 0) + 10)
-        on_bad = (for_bad @ (votes < 0) + 10 * START) / (for_bad @ (votes != 0) + 10)
+        on_good = (for_good @ (votes > 0) + 10 * ON_GOOD) / (for_good @ (votes != 0) + 10)
+        on_bad = (for_bad @ (votes < 0) + 10 * ON_BAD) / (for_bad @ (votes != 0) + 10)
         share = float((for_good.sum() + 10 * PRIOR) / (counts.sum() + 10))
         model = Model(min(max(share, 0.01), 0.99), on_good.clip(0.01, 0.99), on_bad.clip(0.01, 0.99))
     return model
