@@ -82,7 +82,7 @@ class ByteBPE:
         self.latin_pieces, self.other_letters = re.compile(LATIN_PIECES), re.compile(r"[^\t\n\r -~À-ɏ]")
         self.split = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
         self.dtype = np.dtype("<u2" if size <= 1 << 16 else "<u4")
-        self.known = Memo(self._encode_piece, 500_000)
+        self.known = Memo(self._encode_piece, 1_000_000)
         self.blob, self.offsets = offset_table(self.bytes)
         self.decimal, self.decimal_offsets = offset_table([b"%d," % i for i in range(size)])
 

@@ -15,6 +15,7 @@ then comes back to its ids by one join on the row number.
 from __future__ import annotations
 
 import os
+import re
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -27,14 +28,20 @@ LENGTH, END_ID = 2048, 1
 BUCKETS, DIMENSIONS, BITS, SPREAD = 512, 3, 16, 4.0  # hashed vector, projection, bits and half width of an axis
 
 
+# Fixed value: the split of lower-cased text into pieces that the word tokenizer never joins, in classes for ASCII and Latin letters.
+LATIN_PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zA-ZÀ-ÖØ-öø-ɏ]+|[0-9]|[^\sa-zA-ZÀ-ÖØ-öø-ɏ0-9]+")
+OTHER_LETTERS = re.compile(r"[^\t\n\r -~À-ɏ]")
+
+
 class WordTokenizer:
-    """Ids of whole texts from a tokenizer that never joins characters over a space or a line end.
+    """Ids of whole texts from the word tokenizer, which lower-cases and never joins characters over white space.
 
-    Distinct words are encoded once and their ids kept as bytes, so that a text's
-    ids are its words' bytes joined.
+    Distinct pieces are encoded once and their ids kept as bytes, so that a text's
+    ids are its pieces' bytes joined.  Pieces are letter runs, digits and sign runs for
+    texts of ASCII and Latin letters, and what lies between spaces for others.
     """
 
-    def __init__(self, path: str, limit: int = 200_000):
+    def __init__(self, path: str, limit: int = 1_000_000):
         from tokenizers import Tokenizer
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -43,17 +50,40 @@ class WordTokenizer:
         self.tokenizer.no_padding()
         self.size = self.tokenizer.get_vocab_size()
         self.dtype = np.dtype("<u2" if self.size <= 1 << 16 else "<u4")
+        special = [re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.special = re.compile("|".join(special or ["(?!)"]))
+        self.ends_word = np.zeros(self.size, bool)
+        self.ends_word[[i for word, i in self.tokenizer.get_vocab().items() if word.endswith("</w>")]] = True
         self.known: dict[str, bytes] = {}
         self.limit = limit
 
+    def _pieces(self, text: str) -> tuple[bool, list[str]]:
+        """Whether the pieces are single ones, and the pieces."""
+        if OTHER_LETTERS.search(text) or self.special.search(text):
+            return False, text.replace("\n", " ").split(" ")
+        return True, LATIN_PIECES.findall(text.lower())
+
+    def _learn(self, pieces: list[str]) -> None:
+        """Keep the ids of single pieces, encoded as one text: each piece's last token, and no other, ends a word."""
+        for at in range(0, len(pieces), 1000):
+            some = pieces[at:at + 1000]
+            ids = np.array(self.tokenizer.encode(" ".join(some), add_special_tokens=False).ids, self.dtype)
+            ends = ((np.flatnonzero(self.ends_word[ids]) + 1) * ids.itemsize).tolist()
+            raw = ids.tobytes()
+            self.known.update(zip(some, [raw[a:b] for a, b in zip([0, *ends], ends)], strict=True))
+
     def encode(self, texts: list[str | None]) -> list[bytes]:
         if len(self.known) > self.limit:
             self.known.clear()
-        words = [(t or "").replace("\n", " ").split(" ") for t in texts]
-        fresh = list({w for ws in words for w in ws if w not in self.known})
-        for w, e in zip(fresh, self.tokenizer.encode_batch_fast(fresh, add_special_tokens=False)):
-            self.known[w] = np.array(e.ids, self.dtype).tobytes()
-        return [b"".join(map(self.known.__getitem__, ws)) for ws in words]
+        split = [self._pieces(t or "") for t in texts]
+        fresh: dict[bool, set] = {True: set(), False: set()}
+        for single, pieces in split:
+            fresh[single].update(p for p in set(pieces) if p not in self.known)
+        self._learn(list(fresh[True]))
+        chunks = list(fresh[False].difference(fresh[True]))
+        for p, e in zip(chunks, self.tokenizer.encode_batch_fast(chunks, add_special_tokens=False)):
+            self.known[p] = np.array(e.ids, self.dtype).tobytes()
+        return [b"".join(map(self.known.__getitem__, pieces)) for _, pieces in split]
 
 
 _TOKENIZERS: dict[str, WordTokenizer] = {}
