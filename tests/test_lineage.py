@@ -1,9 +1,9 @@
-"""Lineage fixtures (FIXTURES F9): uuid5, log shapes, orchestrated clean and bad runs."""
+"""Lineage: run ids, log shapes, brace scanning, and the events of a clean and a bad run."""
 
-import os
-import tempfile
+import json
 import uuid
 
+import pytest
 from pyspark.sql import functions as F
 
 from tidepool.functions.ids import uuid5
@@ -14,43 +14,52 @@ from conftest import SF001
 
 
 def test_uuid5_expression(spark):
-    names = ["manual__2026-01-01T00:00:00+00:00", "x", "ünï"]
+    names = ["nightly-0042", "x", "ünï", ""]
     df = spark.createDataFrame([(n,) for n in names], "n string")
-    got = [r.u for r in df.select(uuid5(F.col("n")).alias("u")).collect()]
-    assert got == [str(uuid.uuid5(uuid.NAMESPACE_URL, n)) for n in names]
-    assert got[0] == "85d71231-6d20-5476-bf34-0b1b55468baf"
+    assert [r.u for r in df.select(uuid5(F.col("n")).alias("u")).collect()] == [str(uuid.uuid5(uuid.NAMESPACE_URL, n)) for n in names]
 
 
-def test_log_shapes(spark):
-    d = tempfile.mkdtemp(dir="/tmp")
-    e1 = '{"eventType": "START", "eventTime": "t1", "job": {"name": "j"}}'
-    e2 = '{"eventType": "COMPLETE", "eventTime": "t2", "job": {"name": "j"}}'
-    shapes = {"lines.jsonl": f"{e1}\n{e2}\n", "concat.json": e1 + e2, "comma.json": f"[{e1},{e2}]",
-              "junk.json": f"xx {e1} yy {{bad}} {e2} zz", "empty.json": "", "trunc.json": e1 + '{"eventType": "FA'}
+@pytest.mark.parametrize("text,want", [
+    ('{"a": 1}', [{"a": 1}]), ('{"a": {"b": [{}, {"c": 2}]}}{"d": 3}', [{"a": {"b": [{}, {"c": 2}]}}, {"d": 3}]),
+    ('[{"a": 1}, {"b": 2}]', [{"a": 1}, {"b": 2}]), ('noise {bad} {"a": "br}ace{"} more', [{"a": "br}ace{"}]),
+    ('{"a": 1}{"cut": "of', [{"a": 1}]), ('{junk {"inner": 1} }', [{"inner": 1}]), ("", []), ("}{", []), ('{"q": "\\"{"}', [{"q": '"{'}]),
+])
+def test_object_spans(text, want):
+    assert [json.loads(text[a:b]) for a, b in lineage._object_spans(text)] == want
+
+
+def test_log_shapes(spark, tmp_path):
+    lines = [json.dumps({"eventType": s, "eventTime": f"t{i}", "job": {"name": "press"}}) for i, s in enumerate(("START", "COMPLETE"))]
+    shapes = {"per_line": "\n".join(lines) + "\n\n", "joined": "".join(lines), "array": f"[{', '.join(lines)}]", "pretty": json.dumps(json.loads(lines[0]), indent=2),
+              "noisy": f"-- {lines[0]} }} {{oops {lines[1]}", "nothing": "", "cut": lines[0] + "\n" + lines[1][:20]}
     for name, text in shapes.items():
-        with open(os.path.join(d, name), "w") as fh:
-            fh.write(text)
-    ev = lineage.read_events(spark, d)
-    assert ev.count() == 9
-    assert {r.eventType for r in lineage.event_types(ev).collect()} == {"START", "COMPLETE"}
-    assert lineage.missing_states(ev) == ["FAIL"]
-    p = lineage.project(ev).collect()
-    assert all(r.job_name == "j" for r in p)
+        (tmp_path / name).write_text(text)
+    events = lineage.read_events(spark, str(tmp_path))
+    assert {r.eventType: r.n for r in events.groupBy("eventType").agg(F.count(F.lit(1)).alias("n")).collect()} == {"START": 6, "COMPLETE": 4}
+    assert lineage.missing_states(events) == ["FAIL"]
+    with pytest.raises(AssertionError, match="FAIL"):
+        lineage.check_log(events)
+    assert {r.job_name for r in lineage.project(events).collect()} == {"press"}
+
+
+def test_stage_events(spark, tmp_path):
+    log = lineage.LineageLog(spark, str(tmp_path / "log"))
+    uuid.UUID(log.run_id)
+    with log.stage("mix", outputs=[lineage.dataset("dough")]):
+        pass
+    with pytest.raises(RuntimeError), log.stage("bake"):
+        raise RuntimeError("oven is cold")
+    states = {(r.job_name, r.last_state, r.n_events, r.detail) for r in lineage.trail(lineage.read_events(spark, str(tmp_path / "log"))).collect()}
+    assert states == {("mix", "COMPLETE", 2, None), ("bake", "FAIL", 2, "oven is cold")}
 
 
 def test_clean_and_bad_runs(spark):
     log_dir, runs = orchestrated.clean_and_bad_runs(spark, SF001)
-    assert [r.gate_passed for r in runs] == [True, False]
-    assert "2 expectation(s) failed" in runs[1].error
-    ev = lineage.read_events(spark, log_dir)
-    assert lineage.check_log(ev) == 13
-    per_run = {r.run_id: r.n for r in ev.groupBy(F.col("run.runId").alias("run_id"))
-               .agg(F.count(F.lit(1)).alias("n")).collect()}
-    assert per_run == {runs[0].lineage_run_id: 9, runs[1].lineage_run_id: 4}
-    states = {(r.run_id, r.job_name): r.state
-              for r in lineage.stage_states(ev, orchestrated.STAGES).collect()}
-    bad = runs[1].lineage_run_id
-    assert [states[(bad, s)] for s in orchestrated.STAGES] == \
-        ["success", "failed", "upstream_failed", "upstream_failed"]
-    assert all(states[(runs[0].lineage_run_id, s)] == "success" for s in orchestrated.STAGES)
-    assert spark.read.parquet(runs[0].gold_path).count() == 4
+    assert [r.gate_passed for r in runs] == [True, False] and runs[1].gold_path is None
+    events = lineage.read_events(spark, log_dir)
+    per_run = {r.run_id: r.n for r in events.groupBy(F.col("run.runId").alias("run_id")).agg(F.count(F.lit(1)).alias("n")).collect()}
+    # four stages of two events and two of the pipeline; two stages and the pipeline's start
+    assert per_run == {runs[0].lineage_run_id: 10, runs[1].lineage_run_id: 5} and lineage.check_log(events) == 15
+    states = {(r.run_id, r.job_name): r.state for r in lineage.stage_states(events, orchestrated.STAGES).collect()}
+    assert [states[runs[1].lineage_run_id, s] for s in orchestrated.STAGES] == ["success", "failed", "upstream_failed", "upstream_failed"]
+    assert {states[runs[0].lineage_run_id, s] for s in orchestrated.STAGES} == {"success"}

@@ -40,6 +40,7 @@ def run_pipeline(spark: SparkSession, sf_dir: str, run_id: str, base: str, log_d
     log = lineage.LineageLog(spark, log_dir, rid)
     silver_path, gold_path = f"{base}/silver", f"{base}/gold"
     silver_ds, gold_ds = lineage.dataset(silver_path), lineage.dataset(gold_path)
+    log.event(PIPELINE_JOB, "START")
     try:
         with log.stage("load_silver", outputs=[silver_ds]):
             s = dv.silver(spark, sf_dir)
@@ -61,7 +62,7 @@ def run_pipeline(spark: SparkSession, sf_dir: str, run_id: str, base: str, log_d
 
 
 def clean_and_bad_runs(spark: SparkSession, sf_dir: str) -> tuple[str, list[RunResult]]:
-    """The two scheduled runs of the reference scenario, into a fresh folder."""
+    """A clean scheduled run and one with bad rows injected, into a fresh folder."""
     base = scratch_path(spark, "pipeline")
     log_dir = f"{base}/lineage"
     runs = [
@@ -83,6 +84,17 @@ def q_lineage_states(spark, sf):
     return lineage.stage_states(lineage.read_events(spark, log_dir), STAGES)
 
 
+def q_lineage_projection(spark, sf):
+    """The projected events of both runs, without their clock times."""
+    log_dir, _ = clean_and_bad_runs(spark, sf)
+    return lineage.project(lineage.read_events(spark, log_dir)).groupBy("eventType", "job_name").agg(F.count(F.lit(1)).alias("n_events"))
+
+
+def q_lineage_event_types(spark, sf):
+    log_dir, _ = clean_and_bad_runs(spark, sf)
+    return lineage.event_types(lineage.read_events(spark, log_dir))
+
+
 def run_dates(spark: SparkSession, sf: str) -> DataFrame:
     orders = spark.read.parquet(f"{sf}/orders.parquet").select("o_orderdate")
     return orders.select(F.concat(F.lit("scheduled__"), F.date_format("o_orderdate", "yyyy-MM-dd"),
@@ -99,9 +111,39 @@ QUERIES = {
     "lineage_uuid5": q_lineage_uuid5,
     "lineage_trail": q_lineage_trail,
     "lineage_states": q_lineage_states,
+    "lineage_projection": q_lineage_projection,
+    "lineage_event_types": q_lineage_event_types,
 }
 
+# The runs' events as SQL: run 2 holds the bad rows, so its gate fails exactly where such rows exist.
+_EVENTS = """
+WITH ids AS (
+  SELECT n, sha1(unhex('6ba7b8119dad11d180b400c04fd430c8') || encode('manual__2026-01-0' || n || 'T00:00:00+00:00')) AS h
+  FROM (VALUES (1), (2)) r(n)),
+runs AS (
+  SELECT n, substr(h, 1, 8) || '-' || substr(h, 9, 4) || '-5' || substr(h, 14, 3) || '-' ||
+    substr('89ab', ((strpos('0123456789abcdef', substr(h, 17, 1)) - 1) % 4) + 1, 1) || substr(h, 18, 3) || '-' || substr(h, 21, 12) AS run_id,
+    n = 2 AND EXISTS (SELECT 1 FROM customer WHERE c_acctbal < 0) AS bad FROM ids),
+stages AS (SELECT * FROM (VALUES (0, 'load_silver'), (1, 'quality_gate'), (2, 'build_gold'), (3, 'emit_lineage')) s(stage_no, job_name)),
+reached AS (
+  SELECT run_id, stage_no, job_name, CASE WHEN bad AND stage_no = 1 THEN 'FAIL' ELSE 'COMPLETE' END AS last_state
+  FROM runs, stages WHERE NOT bad OR stage_no <= 1),
+events AS (
+  SELECT run_id, job_name, 'START' AS state FROM reached UNION ALL SELECT run_id, job_name, last_state FROM reached
+  UNION ALL SELECT run_id, 'restaurant_delivery_pipeline', 'START' FROM runs
+  UNION ALL SELECT run_id, 'restaurant_delivery_pipeline', 'COMPLETE' FROM runs WHERE NOT bad)
+"""
+
 ORACLE = {
+    "lineage_trail": _EVENTS + """
+SELECT run_id, job_name, count(*) AS n_events, coalesce(max(state) FILTER (state <> 'START'), 'START') AS last_state
+FROM events GROUP BY run_id, job_name""",
+    "lineage_states": _EVENTS + """
+SELECT r.run_id, s.stage_no, s.job_name,
+  CASE last_state WHEN 'COMPLETE' THEN 'success' WHEN 'FAIL' THEN 'failed' ELSE 'upstream_failed' END AS state
+FROM runs r CROSS JOIN stages s LEFT JOIN reached e ON e.run_id = r.run_id AND e.stage_no = s.stage_no""",
+    "lineage_projection": _EVENTS + "SELECT state AS eventType, job_name, count(*) AS n_events FROM events GROUP BY state, job_name",
+    "lineage_event_types": _EVENTS + "SELECT DISTINCT state AS eventType FROM events",
     "lineage_uuid5": """
 WITH r AS (SELECT DISTINCT 'scheduled__' || strftime(o_orderdate, '%Y-%m-%d') || 'T00:00:00+00:00' AS run_id
            FROM orders),
