@@ -2,7 +2,7 @@
 
 At scale the order in which partial sums meet differs run to run; summing
 doubles would make the last digits (and so rounding) drift.  Money is summed as
-``decimal(18,2)`` and averages of whole numbers are rounded half-up from the
+``decimal(28,8)`` and averages of whole numbers are rounded half-up from the
 exact integer ratio.
 """
 
@@ -17,8 +17,14 @@ def _col(c) -> Column:
 
 
 def money_sum(c) -> Column:
-    """``round(sum(x), 2)`` for cent amounts, exact, as double."""
-    return F.sum(_col(c).cast("decimal(18,2)")).cast("double")
+    """``round(sum(x), 2)`` as double: summed at eight decimals, whatever the order, and rounded once.
+
+    Values that a decimal of that scale cannot hold (NaN, infinities, 1e20 and over)
+    make the whole sum a double sum, so none of them is lost.
+    """
+    x = _col(c).cast("double")
+    exact = x.try_cast("decimal(28,8)")
+    return F.when(F.count(exact) == F.count(x), F.round(F.sum(exact), 2).cast("double")).otherwise(F.round(F.sum(x), 2))
 
 
 def exact_avg_round(name: str, digits: int = 2) -> Column:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -26,6 +26,9 @@ class SchemaMismatch(ValueError):
     """An append carries columns or types the table does not declare."""
 
 
+AMBIGUOUS_MERGE = "AMBIGUOUS_MERGE: several source rows match one target row"
+
+
 class MergeConflict(ValueError):
     """Several source rows match one target row."""
 
@@ -44,15 +47,24 @@ def union_by_name(base: DataFrame, extra: DataFrame) -> DataFrame:
 def merge_upsert(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
     """MERGE ... WHEN MATCHED UPDATE ALL WHEN NOT MATCHED INSERT ALL.
 
-    Target rows whose key appears in the source are replaced by the source
-    rows; other source rows are inserted.  Null keys never match, so a null-key
-    source row is inserted and a null-key target row is kept.  The plan is one
-    anti-join plus a union: AQE turns the anti-join into a broadcast when the
-    update batch is small at run time, else it is a sort-merge on the key.
+    One full outer join on the key, so target and source are each read once: matched
+    target rows take the source's values, other source rows are inserted, other target
+    rows stay.  Null keys never match: such rows of the source are inserted, of the
+    target kept.  Duplicates of an unmatched key are all inserted; several source rows
+    for a key that the target has stop the query with ``AMBIGUOUS_MERGE`` (C6a), in
+    the filter, so that no column pruning can lose the check.
     """
-    source = source.select(*target.columns)
-    kept = target.join(source.select(*keys).where(_all_not_null(keys)), list(keys), "left_anti")
-    return kept.unionByName(source)
+    keys, columns = list(keys), target.columns
+    # rows with a null key are spread by their values, so that they do not meet in one task
+    spread = F.when(_all_not_null(keys), F.lit(0)).otherwise(F.pmod(F.xxhash64(*columns), F.lit(1 << 20))).cast("int")
+    keyed = source.select(*columns, spread.alias("_spread"))
+    counted = keyed.select("*", F.count(F.lit(1)).over(Window.partitionBy(*keys, "_spread")).alias("_n"))
+    new = counted.select(*[F.col(c).alias(f"_new_{c}") for c in columns], F.col("_spread").alias("_new_spread"), "_n", F.lit(True).alias("_new"))
+    old = target.select("*", spread.alias("_spread"), F.lit(True).alias("_old"))
+    joined = old.join(new, [*[old[k] == new[f"_new_{k}"] for k in keys], old["_spread"] == new["_new_spread"]], "full_outer")
+    clash = F.col("_old") & F.col("_new") & (F.col("_n") > 1)
+    single = F.when(clash, F.raise_error(F.lit(AMBIGUOUS_MERGE)).cast("boolean")).otherwise(F.lit(True))
+    return joined.where(single).select(*[F.when(F.col("_new"), F.col(f"_new_{c}")).otherwise(F.col(c)).alias(c) for c in columns])
 
 
 def _all_not_null(keys: Sequence[str]) -> Column:
@@ -85,17 +97,18 @@ def check_merge(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> No
 def merge_actions(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
     """How many rows a MERGE would update, insert, and leave unchanged.
 
-    Semi/anti joins only (no distinct over the target): with a small update
-    batch AQE broadcasts the source keys and the target is streamed once per
-    count.
+    Both sides are counted per key (partial aggregation first) and meet in one full
+    outer join; null keys never match.
     """
-    k = list(keys)
-    skeys = source.select(*k).where(_all_not_null(k))
-    tkeys = target.select(*k)
-    upd = source.select(*k).join(tkeys, k, "left_semi").select(F.lit("update").alias("action"))
-    ins = source.select(*k).join(tkeys, k, "left_anti").select(F.lit("insert").alias("action"))
-    same = tkeys.join(skeys, k, "left_anti").select(F.lit("unchanged").alias("action"))
-    return upd.unionByName(ins).unionByName(same).groupBy("action").agg(F.count(F.lit(1)).alias("n_rows"))
+    keys = list(keys)
+    old = target.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_old"))
+    new = source.groupBy(*[F.col(k).alias(f"_new_{k}") for k in keys]).agg(F.count(F.lit(1)).alias("n_new"))
+    met = old.join(new, [old[k] == new[f"_new_{k}"] for k in keys], "full_outer")
+    total = lambda when, n: F.coalesce(F.sum(F.when(when, F.col(n))), F.lit(0))
+    no_old, no_new = F.col("n_old").isNull(), F.col("n_new").isNull()
+    sums = met.agg(total(~no_old & ~no_new, "n_new").alias("u"), total(no_old, "n_new").alias("i"), total(no_new, "n_old").alias("k"))
+    rows = F.array(*[F.struct(F.lit(name).alias("action"), F.col(c).alias("n_rows")) for name, c in (("update", "u"), ("insert", "i"), ("unchanged", "k"))])
+    return sums.select(F.explode(rows).alias("r")).select("r.*").where("n_rows > 0")
 
 
 def schema_issues(df_schema: T.StructType, table_schema: T.StructType) -> list[tuple[str, str]]:

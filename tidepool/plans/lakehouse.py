@@ -109,7 +109,11 @@ def q_stream_upsert(spark, sf):
         .option("maxFilesPerTrigger", 1).parquet(sf)
     b = dv.bronze_from(stream.select(*cols), dv.customer_zones(spark, sf),
                        keep=("o_orderstatus", "o_orderpriority"))
-    q = su.start_upsert(dv.updates_from(b), base, KEY, f"{base}/_checkpoint")
+    # rows without a key, and several rows for one new key: all of them are inserted
+    extra = b.where("o_orderpriority = '5-LOW'").select(*[
+        F.expr("if(delivery_minutes % 2 = 0, null, concat('NEW', customer_id))").alias("delivery_id") if f.name == "delivery_id" else f.name
+        for f in DELIVERY_SCHEMA.fields])
+    q = su.start_upsert(dv.updates_from(b).unionByName(extra), base, KEY, f"{base}/_checkpoint")
     q.awaitTermination()
     return su.current_version(spark, base).select(*[f.name for f in DELIVERY_SCHEMA.fields])
 
@@ -199,7 +203,7 @@ def _gold_sql(source: str, completed: bool) -> str:
     extra = ", CAST(count_if(delivery_status = 'completed') AS BIGINT) AS completed_deliveries" if completed else ""
     return f"""
 SELECT city_zone, count(delivery_id) AS total_deliveries,
-       CAST(sum(CAST(order_amount AS DECIMAL(18,2))) AS DOUBLE) AS total_order_value,
+       round(CAST(sum(CAST(order_amount AS DECIMAL(28,8))) AS DOUBLE), 2) AS total_order_value,
        CAST(CAST(sign(sum(delivery_minutes)) AS BIGINT)
             * ((abs(sum(delivery_minutes)) * 200 + count(delivery_minutes))
                // (2 * count(delivery_minutes))) AS DOUBLE) / 100.0 AS average_delivery_minutes{extra}
@@ -247,7 +251,11 @@ corrupt AS (
 """
 
 ORACLE = {
-    "stream_upsert": _with("SELECT * FROM merged"),
+    "stream_upsert": _with("""
+SELECT * FROM merged UNION ALL
+SELECT CASE WHEN delivery_minutes % 2 = 0 THEN NULL ELSE 'NEW' || customer_id END, customer_id, restaurant_name, order_amount,
+       delivery_minutes, city_zone, delivery_status
+FROM bronze WHERE o_orderpriority = '5-LOW'"""),
     "silver_standardise": _with("SELECT * FROM silver"),
     "union_by_name": _with("SELECT * FROM silver UNION ALL SELECT * FROM badrows"),
     "merge_upsert": _with("SELECT * FROM merged"),

@@ -1,8 +1,8 @@
 """Streaming keyed upsert (C6 per micro-batch).
 
-Each micro-batch is reduced to one row per key, merged into the current
-table version and written as the next version directory ``v=<batch_id+1>``.
-Version ``v=0`` is the initial table.  A batch replayed after a failure reads
+Each micro-batch is merged into the current table version and written as the
+next version directory ``v=<batch_id+1>``; of several rows for one key of the
+table the latest counts.  Version ``v=0`` is the initial table.  A batch replayed after a failure reads
 the same input version and overwrites its own output version, so the sink is
 idempotent; nothing is ever overwritten while it is being read.
 """
@@ -14,15 +14,24 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidepool.operators.silver import merge_upsert
+from tidepool.operators.silver import check_merge, merge_conflicts, merge_upsert
 
 
-def latest_per_key(batch: DataFrame, keys: Sequence[str], order_col: str | None = None) -> DataFrame:
-    """One row per key: the last by ``order_col`` (else the greatest row, deterministic)."""
-    cols = batch.columns
-    row = F.struct(*cols)
-    pick = F.max_by(row, F.col(order_col)) if order_col else F.max(row)
-    return batch.groupBy(*keys).agg(pick.alias("_r")).select("_r.*")
+def settle(batch: DataFrame, current: DataFrame, keys: Sequence[str], order_col: str | None = None) -> DataFrame:
+    """The batch with one row, the latest by ``order_col``, per key that it has several times and the table has too.
+
+    Every other row stays: null keys and duplicates of new keys are all inserted (C6a).
+    Without ``order_col`` there is no latest row, and such a key stops the batch.
+    Rows of one time are ordered by their values, so a replay settles alike.
+    """
+    keys = list(keys)
+    if order_col is None:
+        check_merge(current, batch, keys)
+        return batch
+    several = merge_conflicts(current, batch, keys).select(*keys)
+    latest = (batch.join(several, keys, "left_semi").groupBy(*keys)
+              .agg(F.max(F.struct(F.col(order_col).alias("_order"), F.struct(*batch.columns).alias("_row"))).alias("_last")).select("_last._row.*"))
+    return batch.join(several, keys, "left_anti").unionByName(latest)
 
 
 def version_path(base: str, version: int) -> str:
@@ -31,17 +40,24 @@ def version_path(base: str, version: int) -> str:
 
 def init_table(df: DataFrame, base: str) -> None:
     df.write.mode("overwrite").parquet(version_path(base, 0))
+    _complete(df.sparkSession, base, 0)
 
 
 def _upsert_batch(base: str, keys: Sequence[str], order_col: str | None):
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         current = spark.read.parquet(version_path(base, batch_id))
-        src = latest_per_key(batch, keys, order_col)
-        merge_upsert(current, src, keys).write.mode("overwrite").parquet(version_path(base, batch_id + 1))
+        source = settle(batch, current, keys, order_col).select(*current.columns)
+        merge_upsert(current, source, keys).write.mode("overwrite").parquet(version_path(base, batch_id + 1))
+        _complete(spark, base, batch_id + 1)
     return run
 
 
+def _complete(spark: SparkSession, base: str, version: int) -> None:
+    """Note that a version is whole; written again by a replay, to the same folder."""
+    spark.range(version, version + 1).toDF("v").coalesce(1).write.mode("overwrite").parquet(f"{base}/_complete/version={version}")
+
+
 def start_upsert(source: DataFrame, base: str, keys: Sequence[str], checkpoint: str,
                  order_col: str | None = None, available_now: bool = True):
     w = source.writeStream.foreachBatch(_upsert_batch(base, keys, order_col)) \
@@ -51,6 +67,6 @@ def start_upsert(source: DataFrame, base: str, keys: Sequence[str], checkpoint:
 
 
 def current_version(spark: SparkSession, base: str) -> DataFrame:
-    """The newest complete version of the table."""
-    latest = spark.read.parquet(base).agg(F.max("v")).collect()[0][0]
+    """The newest version noted as whole; a version cut short by a failure is not."""
+    latest = spark.read.parquet(f"{base}/_complete").agg(F.max("version")).first()[0]
     return spark.read.parquet(version_path(base, latest))
