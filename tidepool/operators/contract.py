@@ -52,11 +52,11 @@ MSG_TS = "Value error, event_ts must use a valid ISO-8601 format"
 _NUM_TEXT = r"^[+-]?(\d+(\.\d*)?|\.\d+)([eE][+-]?\d+)?$|^[+-]?(inf|infinity|nan)$"
 _INT_TEXT = r"^[+-]?\d+(\.0*)?$"
 
-# ISO-8601 forms accepted by datetime.fromisoformat after "Z" -> "+00:00".
-_DATE = r"(\d{4})-(\d{2})-(\d{2})|(\d{4})(\d{2})(\d{2})|(\d{4})-?W(\d{2})(-?([1-7]))?"
-_TIME = r"(\d{2})(:?(\d{2})(:?(\d{2})([.,]\d+)?)?)?"
-_OFFSET = r"([+-]\d{2}(:?\d{2}(:?\d{2}([.]\d{1,6})?)?)?)?"
-ISO_PATTERN = rf"^({_DATE})(.({_TIME}){_OFFSET})?$"
+# ISO-8601 forms accepted by datetime.fromisoformat after "Z" -> "+00:00": with separators or without, never mixed.
+_DATES = (r"(\d{4})-(\d{2})-(\d{2})", r"(\d{4})(\d{2})(\d{2})", r"(\d{4})-W(\d{2})(?:-([1-7]))?", r"(\d{4})W(\d{2})([1-7])?")
+_TIMES = (r"(\d{2})(?::(\d{2})(?::(\d{2})(?:[.,]\d+)?)?)?", r"(\d{2})(\d{2})(?:(\d{2})(?:[.,]\d+)?)?")
+_OFFSETS = (r"[+-](\d{2})(?::(\d{2})(?::(\d{2})(?:\.\d{1,6})?)?)?", r"[+-](\d{2})(\d{2})(?:(\d{2})(?:\.\d{1,6})?)?")
+ISO_PATTERN = rf"^(?:{'|'.join(_DATES)})(?:.(?:{'|'.join(_TIMES)})(?:{'|'.join(_OFFSETS)})?)?$"
 
 
 def _kind(v: Column) -> Column:
@@ -101,26 +101,31 @@ def iso_timestamp_ok(ts: Column) -> Column:
 
 
 def iso_parts(ts: Column) -> Column:
-    """The captured ISO parts as ``"@|y|m|d|y|m|d|week|hh|mm|ss"``, or the text unchanged."""
+    """The ISO parts as ``"@|y|m|d|week year|week|hh|mm|ss|offset hh|mm|ss"``, or the text unchanged."""
     t = F.regexp_replace(ts, "Z", "+00:00")
-    return F.regexp_replace(t, ISO_PATTERN, "@|$2|$3|$4|$5|$6|$7|$9|$14|$16|$18")
+    return F.regexp_replace(t, ISO_PATTERN, "@|$1$4|$2$5|$3$6|$7$10|$8$11|$13$16|$14$17|$15$18|$19$22|$20$23|$21$24")
 
 
 def iso_ok_from_parts(parts: Column) -> Column:
-    """Calendar and clock checks on the output of ``iso_parts``."""
+    """Calendar and clock checks on the output of ``iso_parts``: real dates from year 1 on, week 53 only
+    in years that have one, clock times below 24 h and offsets below 24 h."""
     matched = parts.startswith("@|")
     g = F.split(parts, r"\|")
 
     def part(i):
         return F.try_element_at(g, F.lit(i + 2))
 
-    y1, m1, d1, y2, m2, d2, week, hh, mm, ss = (part(i) for i in range(10))
-    ymd = F.when(y1 != "", F.concat_ws("-", y1, m1, d1)).otherwise(F.concat_ws("-", y2, m2, d2))
-    date_ok = F.when(week != "", week.cast("int").between(1, 53)) \
-        .otherwise(F.try_to_date(ymd, "yyyy-MM-dd").isNotNull())
-    time_ok = ((hh == "") | (hh.cast("int") <= 23)) & ((mm == "") | (mm.cast("int") <= 59)) & \
-        ((ss == "") | (ss.cast("int") <= 59))
-    return F.coalesce(matched & date_ok & time_ok, F.lit(False))
+    def number(i):
+        return F.coalesce(part(i).try_cast("int"), F.lit(0))
+
+    year, week_year, week = part(0), part(3), number(4)
+    day = F.try_to_date(F.concat_ws("-", year, part(1), part(2)), "yyyy-MM-dd")
+    # the 28th of December is always in a year's last week
+    weeks = F.weekofyear(F.try_to_date(F.concat(week_year, F.lit("-12-28")), "yyyy-MM-dd"))
+    date_ok = F.when(week_year != "", (week_year != "0000") & week.between(1, 53) & (week <= weeks)).otherwise((year != "0000") & day.isNotNull())
+    time_ok = (number(5) <= 23) & (number(6) <= 59) & (number(7) <= 59)
+    offset_ok = number(8) * 3600 + number(9) * 60 + number(10) < 86400
+    return F.coalesce(matched & date_ok & time_ok & offset_ok, F.lit(False))
 
 
 def validate(raw: DataFrame, value_col: str = "value") -> DataFrame:
@@ -130,6 +135,8 @@ def validate(raw: DataFrame, value_col: str = "value") -> DataFrame:
     coerced values -> errors) so each variant lookup and strip is computed
     once per row and every stage stays small enough for code generation.
     """
+    # of a key given twice the last value counts; without this setting such a message is no JSON
+    raw.sparkSession.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
     df = raw.withColumn("_v", F.try_parse_json(F.col(value_col).cast("string")))
     vcol = F.col("_v")
     probe = {"_top": _kind(vcol)}

