@@ -40,10 +40,33 @@ def test_stream_route_equals_batch_route(spark):
     assert again == got
 
 
-def test_latest_per_key(spark):
-    df = spark.createDataFrame([("a", 1, "old"), ("a", 2, "new"), ("b", 1, "only")], "k string, t int, v string")
-    got = {r.k: r.v for r in upsert.latest_per_key(df, ["k"], "t").collect()}
-    assert got == {"a": "new", "b": "only"}
+def test_route_counts_of_empty_sinks(spark):
+    base = scratch_path(spark, "empty-sinks")
+    for name in ("v", "q"):
+        spark.createDataFrame([], "order_id string, batch_id bigint").write.partitionBy("batch_id").parquet(f"{base}/{name}")
+    assert {r.route: r.n_rows for r in route.route_counts(spark, f"{base}/v", f"{base}/q").collect()} == {"valid": 0, "quarantine": 0}
+
+
+def test_stream_of_several_files_with_a_restart(spark, tmp_path):
+    """Two files, one micro-batch each; a third file arrives before the query is started again."""
+    orders = spark.read.parquet(f"{SF001}/orders.parquet").select(*route.ORDER_COLUMNS)
+    folder, base = tmp_path / "in", str(tmp_path)
+
+    def add(part):
+        orders.where(f"o_orderkey % 3 = {part}").coalesce(1).write.mode("append").parquet(str(folder))
+
+    def run():
+        stream = spark.readStream.schema(orders.schema).option("maxFilesPerTrigger", 1).parquet(str(folder))
+        route.start_route(ingest.feed_from_orders(stream), f"{base}/v", f"{base}/q", f"{base}/ck").awaitTermination()
+        return {r.route: r.n_rows for r in route.route_counts(spark, f"{base}/v", f"{base}/q").collect()}
+
+    add(0)
+    add(1)
+    assert sum(run().values()) == orders.where("o_orderkey % 3 < 2").count()
+    assert spark.read.parquet(f"{base}/v").select("batch_id").distinct().count() == 2
+    add(2)
+    whole = ct.route_summary(ct.validate(ingest.feed_from_orders(orders))).first()
+    assert run() == {"valid": whole.accepted, "quarantine": whole.quarantined}
 
 
 def test_kafka_sink_shape(spark):
@@ -77,13 +100,14 @@ def test_stream_upsert_replay_is_idempotent(spark):
     assert first == sorted(map(tuple, want.collect()))
 
 
-def test_widen_only_spreads_narrow_inputs(spark):
-    cores = spark.sparkContext.defaultParallelism
+def test_spread_follows_its_setting(spark):
     narrow = spark.range(100).coalesce(1)
-    assert tables.widen(narrow).rdd.getNumPartitions() == cores
-    assert tables.widen(narrow, 3 * cores).rdd.getNumPartitions() == 3 * cores
-    wide = spark.range(100).repartition(cores + 1)
-    assert tables.widen(wide).rdd.getNumPartitions() == cores + 1
+    assert tables.spread(narrow).rdd.getNumPartitions() == 1
+    spark.conf.set(tables.SPREAD, "3")
+    try:
+        assert tables.spread(narrow).rdd.getNumPartitions() == 3
+    finally:
+        spark.conf.unset(tables.SPREAD)
 
 
 def test_materialize_writes_under_checkpoint_dir(spark):

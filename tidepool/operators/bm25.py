@@ -104,12 +104,6 @@ def contributions(post: DataFrame, vocab: DataFrame, qtok: DataFrame, avgdl: flo
     return joined.select("query_id", *id_cols, F.floor(contrib * SCORE_SCALE).alias("units"))
 
 
-def score(post: DataFrame, vocab: DataFrame, qtok: DataFrame, avgdl: float,
-          id_cols=("chunk_id", "doc_id", "start")) -> DataFrame:
-    """``(query_id, *id_cols, score)`` for every chunk sharing a token with the query."""
-    return _sum_units(contributions(post, vocab, qtok, avgdl, id_cols), id_cols)
-
-
 def _sum_units(rows: DataFrame, id_cols) -> DataFrame:
     return rows.groupBy("query_id", *id_cols).agg(
         (F.sum("units") / F.lit(SCORE_SCALE)).alias("score"))
@@ -120,53 +114,25 @@ def first_chunks(chunks: DataFrame, k: int, order_cols=("doc_id", "start")) -> l
     return chunks.select("chunk_id", *order_cols).orderBy(*order_cols).limit(k).collect()
 
 
-def top_k(contrib: DataFrame, chunks: DataFrame, queries: DataFrame, k: int = 10,
-          order_cols=("doc_id", "start"), id_col: str | None = "chunk_id") -> DataFrame:
-    """Best k chunks per query; zero-score chunks fill up to k, ties by chunk order.
-
-    Only the first k chunks of the corpus can ever be needed as zero-score
-    fillers, so they (k rows, a proven bound) are added to every query as
-    zero contributions before the one score aggregation: a chunk that also
-    matched keeps its real score, the others score 0.
-    """
-    first = first_chunks(chunks, k, order_cols)
-    cols = ((id_col,) if id_col else ()) + tuple(order_cols)
-    if first:
-        fill = F.array(*[F.struct(*[F.lit(r[c]).alias(c) for c in cols]) for r in first])
-        pads = queries.select("query_id", F.explode(fill).alias("_p")) \
-            .select("query_id", *[F.col(f"_p.{c}").alias(c) for c in cols]) \
-            .withColumn("units", F.lit(0).cast("bigint"))
-        contrib = contrib.unionByName(pads)
-    scored = _sum_units(contrib, cols)
-    w = W.partitionBy("query_id").orderBy(F.desc("score"), *order_cols)
-    return scored.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
-
-
-def _within(df: DataFrame, max_rows: int) -> bool:
-    """Size check before a broadcast: at most ``max_rows`` rows (stops counting past it)."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-MAX_BROADCAST_QUERIES = 50_000
+BROADCAST_BYTES = 16 << 20
 
 
 def search(chunks: DataFrame, queries: DataFrame, k: int = 10,
-           order_cols=("doc_id", "start"), max_queries: int = MAX_BROADCAST_QUERIES) -> DataFrame:
+           order_cols=("doc_id", "start"), broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """Whole BM25 search: ``(query_id, chunk_id, doc_id, start, score, rank)``.
 
-    Scoring runs on the numeric chunk position ``order_cols``.  When the chunk
-    table is hash-partitioned by those columns (as the materialised retrieval
-    corpus is), postings, per-(query, chunk) sums and the zero-score fillers
-    are all partition-local: the only shuffles left are the vocabulary (by
-    token, partial-aggregated) and the per-query top-k (after a partial
-    ``WindowGroupLimit``).  Ids are attached to the k winners per query only.
+    Scoring runs on the numeric chunk position ``order_cols``; the sums per query and
+    chunk are partial-aggregated, then shuffled.  The query side and the winners are
+    broadcast only while their bytes, measured first, are within ``broadcast_bytes``;
+    beyond that Spark joins by shuffle.  Ids are attached to the k winners per query only.
     """
     keys = tuple(order_cols)
     post = postings(chunks, id_cols=keys)
     stats = corpus_stats(chunks).collect()[0]
     vocab = vocabulary(post, stats["n_docs"])
     qtok = query_tokens(queries)
-    small = _within(queries, max_queries)
+    need = qtok.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("token") + 64), F.lit(0))).first()
+    small = need[1] <= broadcast_bytes and queries.count() * k * 64 <= broadcast_bytes
     contrib = contributions(post, vocab, qtok, stats["avgdl"], id_cols=keys, broadcast_queries=small)
     first = first_chunks(chunks, k, keys)
     if first:
@@ -178,5 +144,5 @@ def search(chunks: DataFrame, queries: DataFrame, k: int = 10,
     scored = _sum_units(contrib, keys)
     w = W.partitionBy("query_id").orderBy(F.desc("score"), *keys)
     top = scored.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
-    # the winners are at most (queries x k) rows: broadcast them and stream the corpus once
+    # the winners are at most (queries x k) rows
     return (F.broadcast(top) if small else top).join(chunks.select("chunk_id", *keys), list(keys))

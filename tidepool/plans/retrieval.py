@@ -11,17 +11,14 @@ from pyspark.sql import functions as F
 from tidepool.functions.embed import with_hashed_embedding
 from tidepool.functions.text import WS_CLASS, tokenize, tokenize_collapsed
 from tidepool.operators import bm25, chunking, fusion, vector
-from tidepool.sources.tables import driver_table, widen
+from tidepool.sources.tables import driver_table, spread
 
 TOP_K = 10
 RERANK_K = 3
 
 
 def documents(spark: SparkSession, sf: str) -> DataFrame:
-    # documents range from one word to tens of thousands: more, smaller
-    # partitions than cores keep the sentence splitting balanced
-    par = spark.sparkContext.defaultParallelism
-    return widen(driver_table(spark, sf, "documents", "doc_id", "text"), 4 * par)
+    return spread(driver_table(spark, sf, "documents", "doc_id", "text"))
 
 
 def query_table(spark: SparkSession, sf: str) -> DataFrame:
@@ -33,21 +30,16 @@ def chunks(spark: SparkSession, sf: str) -> DataFrame:
     return chunking.chunk(documents(spark, sf))
 
 
-def _corpus_partitions(spark: SparkSession) -> int:
-    """An explicit count, so AQE keeps the hash partitioning (it never coalesces these)."""
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
-
-
 def chunk_vectors(spark: SparkSession, sf: str) -> DataFrame:
     """Chunks with default embeddings, written once under the checkpoint folder:
     BM25, dense search and rerank all read the same materialised set.
 
-    Hash-partitioned by chunk position (doc_id, start), which spreads one huge
-    document over all tasks.  Tokens are not stored: they are one split of
+    Rebalanced by chunk position (doc_id, start): one huge document is spread over
+    tasks, and partitions are cut by their size, whatever the corpus'.  Tokens are not stored: they are one split of
     the (already collapsed) chunk text, cheaper to redo on read than to write.
     """
     from tidepool.session import materialize
-    ch = chunks(spark, sf).repartition(_corpus_partitions(spark), "doc_id", "start") \
+    ch = chunks(spark, sf).hint("rebalance", F.col("doc_id"), F.col("start")) \
         .withColumn("c_tokens", tokenize_collapsed(F.col("text")))
     vec = with_hashed_embedding(ch, "c_tokens", "cvec").drop("c_tokens")
     stored = materialize(vec, "chunk-vectors")
@@ -57,8 +49,7 @@ def chunk_vectors(spark: SparkSession, sf: str) -> DataFrame:
 def chunk_tokens(spark: SparkSession, sf: str) -> DataFrame:
     """The chunk corpus for keyword search, materialised once (BM25 reads it four times)."""
     from tidepool.session import materialize
-    stored = materialize(chunks(spark, sf).repartition(_corpus_partitions(spark), "doc_id", "start"),
-                         "chunk-text")
+    stored = materialize(chunks(spark, sf).hint("rebalance", F.col("doc_id"), F.col("start")), "chunk-text")
     return stored.withColumn("c_tokens", tokenize_collapsed(F.col("text")))
 
 
@@ -74,9 +65,6 @@ class Retrieval:
         self.cv = chunk_vectors(spark, sf)
         self.qv = query_vectors(spark, sf)
         self.k, self.rerank_k = k, rerank_k
-        # the query table is size-checked once; every per-query shortlist is then
-        # bounded by (queries x k) rows and can be broadcast against the corpus
-        self.small = bm25._within(self.qv, bm25.MAX_BROADCAST_QUERIES)
         self._dense = self._keyword = None
 
     def dense(self) -> DataFrame:
@@ -100,9 +88,9 @@ class Retrieval:
         return fusion.rrf(self.dense(), self.keyword(), top_k=self.k)
 
     def reranked(self) -> DataFrame:
-        fused = self.fused()
-        fused = F.broadcast(fused) if self.small else fused
-        cand = fused.join(self.cv.select("chunk_id", "text", "c_tokens", "cvec"), "chunk_id") \
+        # only the winners are tokenised
+        cand = self.fused().join(self.cv.select("chunk_id", "text", "cvec"), "chunk_id") \
+            .withColumn("c_tokens", tokenize_collapsed(F.col("text"))) \
             .join(self.qv.select("query_id", "q_tokens", "qvec"), "query_id")
         return fusion.rerank(cand, self.rerank_k)
 
@@ -151,7 +139,7 @@ def q_dense_topk(spark, sf):
 
 
 def _embeddings(spark, sf):
-    return widen(driver_table(spark, sf, "embeddings", "vec_id", "embedding", "label"))
+    return spread(driver_table(spark, sf, "embeddings", "vec_id", "embedding", "label"))
 
 
 def q_knn_topk(spark, sf):
@@ -161,12 +149,6 @@ def q_knn_topk(spark, sf):
         .select("query_id", "vec_id", "rank", F.round("score", 6).alias("score"))
 
 
-def q_knn_lsh(spark, sf):
-    emb = _embeddings(spark, sf)
-    cents = vector.centroids(emb, "label", "embedding")
-    return vector.lsh_top_k(emb, cents, TOP_K, "embedding", "vec_id")
-
-
 def q_rrf(spark, sf):
     return Retrieval(spark, sf).fused().select("query_id", "chunk_id", "rank",
                                                F.round("rrf_score", 6).alias("rrf_score"))
@@ -209,7 +191,6 @@ QUERIES = {
     "embed_hash": q_embed_hash,
     "dense_topk": q_dense_topk,
     "knn_topk": q_knn_topk,
-    "knn_lsh": q_knn_lsh,
     "rrf": q_rrf,
     "rerank_topk": q_rerank_topk,
     "prompts": q_prompts,

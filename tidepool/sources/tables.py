@@ -23,18 +23,17 @@ def driver_table(spark: SparkSession, sf_dir: str, name: str, *columns: str) ->
     return df.select(*columns) if columns else df
 
 
-def widen(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Spread a scan that came back in fewer partitions than the cluster has cores.
+SPREAD = "spark.tidepool.spread"
 
-    Used before CPU-heavy per-row work (contract rules, sentence splitting).
-    An input with at least one split per core is left untouched (no shuffle);
-    a narrower one (e.g. a single-row-group file) gets a round-robin spread
-    to ``min_partitions`` (default: the number of cores).
+
+def spread(df: DataFrame) -> DataFrame:
+    """Deal the rows of a scan to as many partitions as the session setting ``spark.tidepool.spread`` says.
+
+    For CPU-heavy per-row work on tables that come as one file of one row group,
+    which Spark cannot split.  Unset, as on tables of many files, nothing is shuffled.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
-        return df
-    return df.repartition(max(min_partitions or cores, cores))
+    partitions = df.sparkSession.conf.get(SPREAD, None)
+    return df.repartition(int(partitions)) if partitions else df
 
 
 def scan(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
