@@ -39,6 +39,7 @@ def map_slices(df: DataFrame, make: Callable, schema: str | T.StructType, rows:
                 part = batch.slice(start, rows)
                 out = step({n: part.column(i).to_pylist() for i, n in enumerate(part.schema.names)})
                 yield pa.RecordBatch.from_arrays([pa.array(out[f.name], type=f.type) for f in arrow], schema=arrow)
+        pa.default_memory_pool().release_unused()  # the worker stays for other tasks
 
     return df.mapInArrow(run, fields)
 
@@ -46,7 +47,7 @@ def map_slices(df: DataFrame, make: Callable, schema: str | T.StructType, rows:
 class Memo(dict):
     """``fn(key)`` remembered per key; ``room()`` empties the memory once it holds ``limit`` keys."""
 
-    def __init__(self, fn: Callable, limit: int = 200_000):
+    def __init__(self, fn: Callable, limit: int = 100_000):
         super().__init__()
         self.fn, self.limit = fn, limit
 

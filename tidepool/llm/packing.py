@@ -41,7 +41,7 @@ class WordTokenizer:
     texts of ASCII and Latin letters, and what lies between spaces for others.
     """
 
-    def __init__(self, path: str, limit: int = 1_000_000):
+    def __init__(self, path: str, limit: int = 300_000):
         from tokenizers import Tokenizer
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -150,14 +150,12 @@ def _tokenizing(path: str):
     return make
 
 
-def _cutting(path: str, length: int, end_id: int):
+def _cutting(length: int, end_id: int):
     def make():
-        dtype = word_tokenizer(path).dtype
-
         def step(cols):
             out = {k: [] for k in ("doc_id", "start", "length", "ids", "doc_tokens", "sequence_id", "offset")}
-            for doc, raw, at in zip(cols["doc_id"], cols["ids"], cols["start"]):
-                ids = np.append(np.frombuffer(raw, dtype), end_id).astype("<u4")
+            for doc, raw, at, tokens in zip(cols["doc_id"], cols["ids"], cols["start"], cols["tokens"]):
+                ids = np.append(np.frombuffer(raw, "<u2" if len(raw) == 2 * (tokens - 1) else "<u4"), end_id).astype("<u4")
                 begin = 0
                 while begin < len(ids):
                     sequence, offset = divmod(at + begin, length)
@@ -183,6 +181,6 @@ def pack(docs: DataFrame, path: str, length: int = LENGTH, end_id: int = END_ID)
     rows = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text")
     coded = materialize(map_slices(rows, _tokenizing(path), "row long, doc_id long, key long, tokens long, ids binary"), "token-ids")
     starts = running_start(coded.select("key", "row", "tokens"), ["key", "row"], "tokens", "curve")
-    placed = coded.select("row", "doc_id", "ids").join(starts.select("row", "start"), "row")
-    return map_slices(placed.select("doc_id", "ids", "start"), _cutting(path, length, end_id),
+    placed = coded.select("row", "doc_id", "ids", "tokens").join(starts.select("row", "start"), "row")
+    return map_slices(placed.select("doc_id", "ids", "start", "tokens"), _cutting(length, end_id),
                       "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long")
