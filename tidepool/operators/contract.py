@@ -219,20 +219,25 @@ def validate(raw: DataFrame, value_col: str = "value") -> DataFrame:
 
 
 def route(raw: DataFrame, value_col: str = "value") -> DataFrame:
-    """Validate once and cut lineage (a table written under ``spark.checkpoint.dir``).
+    """Validate once for several outputs: the result is written under ``spark.checkpoint.dir``, partitioned by route.
 
-    Both outputs are then filters over the written result: the rule tree is
-    evaluated once per message, and the optimizer cannot push the route
-    predicate back into the scan (which would inline the whole rule tree into
-    the filter and evaluate it again for the projection).
+    Each output then reads its own part only, and the rule tree is evaluated once per
+    message.  A single output or a summary needs no such table: use ``validate``.
     """
-    from tidepool.session import materialize
-    return materialize(validate(raw, value_col), "validated")
+    from tidepool.session import scratch_path
+    path = scratch_path(raw.sparkSession, "routed")
+    checked = validate(raw, value_col).drop("original_record")
+    checked.withColumn("rejected", (F.size("errors") > 0).cast("int")).write.partitionBy("rejected").parquet(path)
+    return raw.sparkSession.read.parquet(path)
+
+
+def _is_rejected(validated: DataFrame) -> Column:
+    return F.col("rejected") == 1 if "rejected" in validated.columns else F.size("errors") > 0
 
 
 def accepted(validated: DataFrame) -> DataFrame:
     """The accepted projection (coerced contract fields only)."""
-    return validated.where(F.size("errors") == 0).select(*[n for n, _ in FIELDS])
+    return validated.where(~_is_rejected(validated)).select(*[n for n, _ in FIELDS])
 
 
 def quarantined(validated: DataFrame, with_time: bool = True) -> DataFrame:
@@ -242,12 +247,12 @@ def quarantined(validated: DataFrame, with_time: bool = True) -> DataFrame:
             F.col("offset").alias("source_offset")]
     if with_time:
         cols.append(F.current_timestamp().alias("rejected_at"))
-    return validated.where(F.size("errors") > 0).select(*cols)
+    return validated.where(_is_rejected(validated)).select(*cols)
 
 
 def route_summary(validated: DataFrame) -> DataFrame:
     """produced = accepted + quarantined, and every reject has a reason."""
-    rejected = F.size("errors") > 0
+    rejected = _is_rejected(validated)
     return validated.agg(
         F.count(F.lit(1)).alias("produced"),
         F.count_if(~rejected).alias("accepted"),

@@ -2,8 +2,9 @@
 
 Feed binding: one message per order, Kafka-shaped ``(topic, partition, offset,
 value)`` with ``partition = o_orderkey % 8`` and ``offset = o_orderkey div 8``.
-Orders with ``o_orderkey % 7`` in 1..6 each carry one defect kind (clean
-otherwise), so every contract path is exercised on every scale factor.
+Orders with ``o_orderkey % 7`` in 1..6 each carry one defect kind, and those with
+``o_orderkey % 11`` in 1..4 another: minutes, total or distance over their bounds, or
+a number for a name.  So messages have none, one or two defects on every scale factor.
 """
 
 from __future__ import annotations
@@ -25,22 +26,22 @@ def _q(c):
 
 def feed_from_orders(orders: DataFrame) -> DataFrame:
     k = F.col("o_orderkey")
-    c = k % 7
+    c, m = k % 7, k % 11
     total = F.expr("cast(cast(o_totalprice as decimal(18,2)) / 100 as decimal(18,4))").cast("string")
     dist = F.expr("cast(cast(o_custkey % 500 as decimal(18,0)) / 10 as decimal(18,1))").cast("string")
     minutes = (F.lit(5) + k % 176).cast("string")
     status = F.when(F.col("o_orderstatus") == "F", "DELIVERED") \
         .when(F.col("o_orderstatus") == "O", "PICKED_UP").otherwise("PREPARING")
     ts = F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss'Z'")
-    total_j = F.when(c == 1, F.concat(F.lit("-"), total)).when(c == 4, F.lit('"free"')).otherwise(total)
-    dist_j = F.when(c == 6, F.concat(F.lit('" '), dist, F.lit(' "'))).otherwise(dist)
-    min_j = F.when(c == 5, F.concat(minutes, F.lit(".5"))) \
+    total_j = F.when(m == 2, F.lit("9999.5")).when(c == 1, F.concat(F.lit("-"), total)).when(c == 4, F.lit('"free"')).otherwise(total)
+    dist_j = F.when(m == 3, F.lit("75.5")).when(c == 6, F.concat(F.lit('" '), dist, F.lit(' "'))).otherwise(dist)
+    min_j = F.when(m == 1, F.lit("181")).when(c == 5, F.concat(minutes, F.lit(".5"))) \
         .when(k % 14 == 0, F.concat(F.lit('"'), minutes, F.lit('.0"'))).otherwise(minutes)
     status_j = _q(F.when(c == 2, F.lit("ON_THE_MOON"))
                   .when(k % 14 == 0, F.concat(F.lit(" "), F.lower(status), F.lit(" ")))
                   .otherwise(status))
-    rest_j = _q(F.when(c == 3, F.lit("   "))
-                .otherwise(F.concat(F.lit("Kitchen "), F.substring("o_orderpriority", 3, 40))))
+    rest_j = F.when(m == 4, F.lit("12")).otherwise(_q(
+        F.when(c == 3, F.lit("   ")).otherwise(F.concat(F.lit("Kitchen "), F.substring("o_orderpriority", 3, 40)))))
     area_j = F.when(c == 5, F.lit("")).otherwise(F.concat(
         F.lit('"customer_area": "Area '), (F.col("o_custkey") % 10).cast("string"), F.lit('", ')))
     ts_j = _q(F.when(c == 6, F.lit("2026-07")).otherwise(ts))
@@ -68,15 +69,15 @@ def raw_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def validated(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ct.route(spread(raw_feed(spark, sf_dir)))
+    return ct.validate(spread(raw_feed(spark, sf_dir)))
 
 
 def q_contract_valid(spark, sf):
-    return ct.accepted(validated(spark, sf))
+    return ct.accepted(ct.route(spread(raw_feed(spark, sf))))
 
 
 def q_contract_quarantine(spark, sf):
-    return ct.quarantined(validated(spark, sf), with_time=False)
+    return ct.quarantined(ct.route(spread(raw_feed(spark, sf))), with_time=False)
 
 
 def q_contract_reasons(spark, sf):
@@ -118,20 +119,20 @@ o AS (
          CAST(CAST(CAST(o_custkey % 500 AS DECIMAL(18,0)) / 10 AS DECIMAL(18,1)) AS VARCHAR) AS dist,
          CAST(5 + o_orderkey % 176 AS VARCHAR) AS minutes,
          CASE o_orderstatus WHEN 'F' THEN 'DELIVERED' WHEN 'O' THEN 'PICKED_UP' ELSE 'PREPARING' END AS st,
-         strftime(o_orderdate, '%Y-%m-%dT%H:%M:%SZ') AS ts, o_orderkey % 7 AS c
+         strftime(o_orderdate, '%Y-%m-%dT%H:%M:%SZ') AS ts, o_orderkey % 7 AS c, o_orderkey % 11 AS m
   FROM orders),
 feed AS (
   SELECT 'food_orders_raw' AS topic, CAST(o_orderkey % 8 AS INTEGER) AS "partition",
          o_orderkey // 8 AS "offset",
          '{"order_id": "ORD-' || CAST(o_orderkey AS VARCHAR) || '", "customer_id": "CUS-' ||
-         CAST(o_custkey AS VARCHAR) || '", "restaurant_name": "' ||
-         CASE WHEN c = 3 THEN '   ' ELSE 'Kitchen ' || substr(o_orderpriority, 3, 40) END || '", ' ||
+         CAST(o_custkey AS VARCHAR) || '", "restaurant_name": ' ||
+         CASE WHEN m = 4 THEN '12' WHEN c = 3 THEN '"   "' ELSE '"Kitchen ' || substr(o_orderpriority, 3, 40) || '"' END || ', ' ||
          CASE WHEN c = 5 THEN '' ELSE '"customer_area": "Area ' || CAST(o_custkey % 10 AS VARCHAR) || '", ' END ||
          '"order_total_sar": ' ||
-         CASE WHEN c = 1 THEN '-' || total WHEN c = 4 THEN '"free"' ELSE total END ||
-         ', "delivery_distance_km": ' || CASE WHEN c = 6 THEN '" ' || dist || ' "' ELSE dist END ||
+         CASE WHEN m = 2 THEN '9999.5' WHEN c = 1 THEN '-' || total WHEN c = 4 THEN '"free"' ELSE total END ||
+         ', "delivery_distance_km": ' || CASE WHEN m = 3 THEN '75.5' WHEN c = 6 THEN '" ' || dist || ' "' ELSE dist END ||
          ', "estimated_delivery_minutes": ' ||
-         CASE WHEN c = 5 THEN minutes || '.5' WHEN o_orderkey % 14 = 0 THEN '"' || minutes || '.0"' ELSE minutes END ||
+         CASE WHEN m = 1 THEN '181' WHEN c = 5 THEN minutes || '.5' WHEN o_orderkey % 14 = 0 THEN '"' || minutes || '.0"' ELSE minutes END ||
          ', "status": "' ||
          CASE WHEN c = 2 THEN 'ON_THE_MOON' WHEN o_orderkey % 14 = 0 THEN ' ' || lower(st) || ' ' ELSE st END ||
          '", "event_ts": "' || CASE WHEN c = 6 THEN '2026-07' ELSE ts END || '"' ||

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from tidepool.operators import gold, quality, silver as sv
 from tidepool.plans import deliveries as dv
 from tidepool.schemas import DELIVERY_SCHEMA
+from tidepool.session import materialize, scratch_path
+from tidepool.sources.tables import driver_table, guarded_scan, write_append, write_overwrite
 
 KEY = ["delivery_id"]
 
@@ -86,11 +88,38 @@ def q_dq_failed_list(spark, sf):
 
 
 def q_gated_gold(spark, sf):
-    s = dv.silver(spark, sf)
+    s = materialize(dv.silver(spark, sf), "silver")  # the very table that passes the gate feeds Gold
     quality.enforce(quality.run_suite(s, quality.SILVER_MIN))
     return gold.zone_metrics(s, with_completed=False)
 
 
+def _faulty(spark, sf):
+    """Silver with bad rows, and the slow deliveries twice."""
+    s = dv.silver(spark, sf)
+    return sv.union_by_name(sv.union_by_name(s, dv.bad_rows(spark, sf)), s.where("delivery_minutes > 100"))
+
+
+def q_dq_faulty(spark, sf):
+    """Both suites over a table that breaks several rules, among them uniqueness."""
+    return quality.run_suite(_faulty(spark, sf), quality.SILVER_FULL + quality.SILVER_MIN)
+
+
+def q_table_append(spark, sf):
+    """Overwrite, a refused append, an append that fits, and the guarded read back."""
+    path = scratch_path(spark, "append")
+    write_overwrite(dv.silver(spark, sf), path)
+    try:
+        write_append(dv.rated_batch(spark, sf), path)
+    except sv.SchemaMismatch:
+        write_append(dv.late_batch(spark, sf), path)
+    return guarded_scan(spark, path)
+
+
+def q_sorted_silver(spark, sf):
+    """Silver, range-partitioned and sorted by key."""
+    return sv.sort_by_key(dv.silver(spark, sf), *KEY)
+
+
 def q_corrupt_suite(spark, sf):
     return quality.run_suite(quality.corrupt_first_rows(dv.silver(spark, sf)), quality.SILVER_FULL)
 
@@ -98,8 +127,6 @@ def q_corrupt_suite(spark, sf):
 def q_stream_upsert(spark, sf):
     """The MERGE as a stream: order file stream -> Bronze (stream-static join) ->
     update rows -> foreachBatch upsert into versioned Silver."""
-    from tidepool.session import scratch_path
-    from tidepool.sources.tables import driver_table
     from tidepool.streaming import upsert as su
     base = scratch_path(spark, "stream-upsert")
     su.init_table(dv.silver(spark, sf), base)
@@ -141,6 +168,9 @@ QUERIES = {
     "dq_failed_list": q_dq_failed_list,
     "gated_gold": q_gated_gold,
     "corrupt_suite": q_corrupt_suite,
+    "dq_faulty": q_dq_faulty,
+    "table_append": q_table_append,
+    "sorted_silver": q_sorted_silver,
 }
 
 # ---------------------------------------------------------------------------
@@ -300,3 +330,8 @@ FROM res WHERE NOT success""".replace("WITH ,", "WITH ")),
     "gated_gold": _with(_gold_sql("silver", False)),
     "corrupt_suite": _with(_CORRUPT.rstrip() + "\n" + _rule_rows("corrupt", list(enumerate(quality.SILVER_FULL)))),
 }
+ORACLE["table_append"] = ORACLE["schema_append"]
+ORACLE["sorted_silver"] = ORACLE["silver_standardise"]
+ORACLE["dq_faulty"] = _with(""", faulty AS (
+  SELECT * FROM silver UNION ALL SELECT * FROM badrows UNION ALL SELECT * FROM silver WHERE delivery_minutes > 100)
+""" + _rule_rows("faulty", list(enumerate(quality.SILVER_FULL + quality.SILVER_MIN))))

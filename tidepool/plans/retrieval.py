@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 from tidepool.functions.embed import with_hashed_embedding
 from tidepool.functions.text import WS_CLASS, tokenize, tokenize_collapsed
 from tidepool.operators import bm25, chunking, fusion, vector
-from tidepool.sources.tables import driver_table, spread
+from tidepool.session import scratch_path
+from tidepool.sources.tables import append_new_by_key, driver_table, spread
 
 TOP_K = 10
 RERANK_K = 3
@@ -95,6 +96,17 @@ class Retrieval:
         return fusion.rerank(cand, self.rerank_k)
 
 
+def q_index_add(spark, sf):
+    """The chunk index built in two adds that overlap, and added to once more without effect."""
+    path = scratch_path(spark, "index")
+    whole = chunks(spark, sf)
+    english = driver_table(spark, sf, "documents", "doc_id", "lang").where("lang = 'en'").select("doc_id")
+    append_new_by_key(whole.join(english, "doc_id", "left_semi").select(*whole.columns), path, ["chunk_id"])
+    append_new_by_key(whole, path, ["chunk_id"])
+    append_new_by_key(whole, path, ["chunk_id"])
+    return spark.read.parquet(path)
+
+
 def q_doc_concat(spark, sf):
     conv = driver_table(spark, sf, "conversations", "conv_id", "turn", "text")
     return chunking.concat_pages(conv, doc_col="conv_id", page_col="turn")
@@ -201,6 +213,7 @@ QUERIES = {
     "doc_concat": q_doc_concat,
     "sentences": q_sentences,
     "chunks": q_chunks,
+    "index_add": q_index_add,
     "tokens": q_tokens,
     "bm25_stats": q_bm25_stats,
     "bm25_topk": q_bm25_topk,
@@ -377,3 +390,4 @@ FROM (SELECT doc_id, s, generate_subscripts(s, 1) AS i FROM sents)""",
     "bm25_stats": _R + "SELECT token, df_t, round(idf, 6) AS idf FROM vocab",
     "bm25_topk": _R + "SELECT query_id, chunk_id, CAST(rank AS INTEGER) AS rank, round(score, 6) AS score FROM bm25",
 }
+ORACLE["index_add"] = ORACLE["chunks"]
