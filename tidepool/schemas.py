@@ -2,18 +2,6 @@
 
 from pyspark.sql import types as T
 
-ORDER_EVENT_SCHEMA = T.StructType([
-    T.StructField("order_id", T.StringType()),
-    T.StructField("customer_id", T.StringType()),
-    T.StructField("restaurant_name", T.StringType()),
-    T.StructField("customer_area", T.StringType()),
-    T.StructField("order_total_sar", T.DoubleType()),
-    T.StructField("delivery_distance_km", T.DoubleType()),
-    T.StructField("estimated_delivery_minutes", T.IntegerType()),
-    T.StructField("status", T.StringType()),
-    T.StructField("event_ts", T.StringType()),
-])
-
 DELIVERY_SCHEMA = T.StructType([
     T.StructField("delivery_id", T.StringType(), nullable=False),
     T.StructField("customer_id", T.StringType()),
@@ -27,14 +15,6 @@ DELIVERY_SCHEMA = T.StructType([
 INVALID_DELIVERY_SCHEMA = T.StructType(
     DELIVERY_SCHEMA.fields + [T.StructField("driver_rating", T.DoubleType())])
 
-GOLD_SCHEMA = T.StructType([
-    T.StructField("city_zone", T.StringType()),
-    T.StructField("total_deliveries", T.LongType()),
-    T.StructField("total_order_value", T.DoubleType()),
-    T.StructField("average_delivery_minutes", T.DoubleType()),
-    T.StructField("completed_deliveries", T.LongType()),
-])
-
 DATASET_SCHEMA = T.StructType([
     T.StructField("namespace", T.StringType()),
     T.StructField("name", T.StringType()),
@@ -52,10 +32,3 @@ LINEAGE_SCHEMA = T.StructType([
     T.StructField("detail", T.StringType()),
 ])
 
-RULE_RESULT_SCHEMA = T.StructType([
-    T.StructField("rule", T.StringType()),
-    T.StructField("column", T.StringType()),
-    T.StructField("element_count", T.LongType()),
-    T.StructField("unexpected_count", T.LongType()),
-    T.StructField("success", T.BooleanType()),
-])

@@ -5,9 +5,8 @@ installed, a file stream of the order table turned into the same
 ``(topic, partition, offset, value)`` shape (``order_file_source``).
 
 Sink: ``foreachBatch`` validates each micro-batch once (persisted), appends
-accepted rows to the valid table and rejects to the quarantine table, and
-records the batch counts with ``observe``.  Offsets live in the query
-checkpoint, so a restarted query resumes exactly where it stopped; both
+accepted rows to the valid table and rejects to the quarantine table; batch
+counts are read back from the tables.  Offsets live in the query checkpoint, so a restarted query resumes exactly where it stopped; both
 file sinks are idempotent per batch id (``txnVersion`` style: each batch
 writes under its own ``batch_id`` partition and overwrites it on replay).
 """
