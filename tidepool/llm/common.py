@@ -21,6 +21,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+BATCH_BYTES, DEFAULT_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch", 64 << 20
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Batches of at most 16 MB between the JVM and Python, unless the session has a bound of its own: rows here are
+    whole texts, and a task holds several batches and their copies outside the heap."""
+    if int(spark.conf.get(BATCH_BYTES).rstrip("b")) == DEFAULT_BATCH:
+        spark.conf.set(BATCH_BYTES, "16777216b")
+
+
 def map_slices(df: DataFrame, make: Callable, schema: str | T.StructType, rows: int = 256) -> DataFrame:
     """Run a step over small slices of each partition.
 
@@ -29,6 +39,7 @@ def map_slices(df: DataFrame, make: Callable, schema: str | T.StructType, rows:
     arrays.  Slices bound the memory of a task whatever the partition's size.
     """
     ship_package(df.sparkSession)
+    small_batches(df.sparkSession)
     fields = T._parse_datatype_string(schema) if isinstance(schema, str) else schema
     arrow = to_arrow_schema(fields)
 
