@@ -11,8 +11,9 @@ only a forest that connects the same classes is kept for the components.  A buck
 of more than ``BLOCK`` classes is cut into blocks, and every two blocks meet in a
 task of their own, so no bucket is gathered whole and none is capped.
 
-Probability that two vectors at cosine 0.93 share none of the 96 buckets of 16 bits:
-(1 - (1 - acos(0.93) / pi) ** 16) ** 96, about 2 in a million.
+Probability that two vectors at cosine 0.93 share none of the 160 buckets of 20 bits:
+(1 - (1 - acos(0.93) / pi) ** 20) ** 160, about 2 in a million.  Unrelated vectors of a
+label share a bucket once in a million, so few rows go on with their vectors.
 """
 
 from __future__ import annotations
@@ -28,7 +29,7 @@ from tidepool.llm.common import map_slices, mix64
 from tidepool.llm.components import components, smallest_reachable
 from tidepool.session import materialize, ship_package
 
-COSINE, TABLES, BITS, BLOCK = 0.93, 96, 16, 1024
+COSINE, TABLES, BITS, BLOCK = 0.93, 160, 20, 1024  # at most 32 bits
 CELLS = 4_000_000  # vector components gathered at once in a task
 
 
@@ -51,7 +52,7 @@ def _signing(tables: int, bits: int, seed: int):
                 if len(x) not in planes:
                     planes[len(x)] = np.random.default_rng((seed, len(x))).standard_normal((len(x), tables * bits))
                 on = (x @ planes[len(x)] >= 0).reshape(tables, bits)
-                signs.append((on @ powers).astype("<u2").tobytes())
+                signs.append((on @ powers).astype("<u4").tobytes())
                 units.append(x.astype("<f8").tobytes())
             return {"vec_id": cols["vec_id"], "label": cols["label"], "signs": signs, "unit": units}
         return step
@@ -107,7 +108,7 @@ def _comparing(threshold: float, schema):
             units = [np.frombuffer(x, "<f8") for x in column["unit"].to_pylist()]
             width = max(map(len, units))
             rows = [np.stack([column[k].to_numpy() for k in KEY], axis=1), *[column[k].to_numpy() for k in ("own", "id", "many")],
-                    np.stack([np.frombuffer(x, "<u2") for x in column["signs"].to_pylist()]),
+                    np.stack([np.frombuffer(x, "<u4") for x in column["signs"].to_pylist()]),
                     np.stack([np.pad(x, (0, width - len(x))) for x in units])]
             if held is not None:
                 wide = max(width, held[5].shape[1])
@@ -142,7 +143,7 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE, tables: int = TA
     classes = materialize(whole.groupBy("label", "unit").agg(F.min("vec_id").alias("id"), F.count("*").alias("many"),
                                                              F.first("signs").alias("signs"))
                           .withColumn("dim", F.octet_length("unit")), "classes")
-    sign = F.conv(F.hex(F.expr("substring(signs, 2 * table + 1, 2)")), 16, 10).cast("long").alias("sign")
+    sign = F.conv(F.hex(F.expr("substring(signs, 4 * table + 1, 4)")), 16, 10).cast("long").alias("sign")
     spots = (classes.select("id", "label", "dim", "signs", F.explode(F.sequence(F.lit(0), F.lit(tables - 1))).alias("table"))
              .select("id", "label", "dim", "table", sign))
     bucket = ["label", "dim", "table", "sign"]
