@@ -32,6 +32,28 @@ def test_quotations(spark):
     assert quotes.link(df.limit(0)).collect() == []
 
 
+def test_quotations_wrapped_anew_and_in_part(spark):
+    """Wrapped or partial quotations are linked as whole lines are."""
+    long = "The quick brown fox jumps over the lazy dog while seven wizards box with a jolly zebra near the old stone bridge"
+    rows = [(1, 0, long + "\nSecond line"), (1, 1, "Unrelated words only, nothing else to see here at all"),
+            (1, 2, "> The quick brown fox jumps over\n> the lazy dog while seven wizards\n> box with a jolly zebra near the\n> old stone bridge\nI agree."),
+            (1, 3, "first part of it\nthat goes on\nuntil the end"), (1, 4, "> first part of it that goes on until the end\nyes"),
+            (1, 5, "> seven wizards box with\nwhich ones?"), (1, 6, "> lazy   DOG\nwhose?"), (1, 7, "> nobody ever wrote such a line of words\nhm"),
+            (1, 8, ">> jolly zebra near the old\n>> stone bridge Second\nnested"), (1, 9, "> dog while\n> seven\n> dog while\nrepeats"),
+            (2, 0, "nothing"), (2, 1, "> the quick brown fox jumps\nother conversation"), (3, 0, "x " * 40 + "alpha beta gamma"), (3, 1, "> alpha\n> beta gamma\nok"),
+            (4, 0, "one two three four five six"), (4, 1, "middle\n> one two three\nmore"), (4, 2, "> four five\n> middle more\nend")]
+    df = spark.createDataFrame([(c, t, "r", x, "clash") for c, t, x in rows], MESSAGES)
+    by = {(r.conv_id, r.turn): (r.parent_turn, r.n_quoted, r.n_linked) for r in quotes.link(df).collect()}
+    assert len(by) == len(rows)
+    assert by[1, 2] == (0, 4, 4) and by[1, 4] == (3, 1, 1)
+    assert by[1, 5] == (0, 1, 1) and by[1, 6] == (0, 1, 1)
+    assert by[1, 7] == (None, 1, 0) and by[1, 8] == (None, 2, 2) and by[1, 9] == (0, 3, 3)
+    assert by[2, 1] == (None, 1, 0) and by[3, 1] == (0, 2, 2)
+    assert by[4, 1] == (0, 1, 1) and by[4, 2] == (0, 2, 1)  # what stands on both sides of a quotation is no passage
+    twice = quotes.link(df.where("conv_id = 1 and turn in (0, 2)").union(df.where("conv_id = 1 and turn = 2"))).where("turn = 2").collect()
+    assert [(r.parent_turn, r.n_quoted, r.n_linked) for r in twice] == [(0, 4, 8)] * 2
+
+
 PAGE = """<html><head><title>T</title><style>.x{display:none} #gone, i.y {visibility: hidden} #gone{visibility:hidden}</style></head><body>
 <h1>Head &amp; line</h1><p>One<p>Two <b>bold</b><br>three
 <ul><li>a<li>b<ol start=3><li>x<li>y</ol><li>c</ul>after<table><caption>Cap</caption><tr><th>Name<th>Qty<tr><td>apple pie<td>3<tr><td colspan=2>wide cell here
