@@ -42,6 +42,29 @@ def test_log_shapes(spark, tmp_path):
     assert {r.job_name for r in lineage.project(events).collect()} == {"press"}
 
 
+@pytest.mark.parametrize("text,n", [
+    ('{"eventType": "STA\n' + '{"a": "b"}\n' * 5, 5), ('it\'s 5" wide {"a": 1} and {"b": "x"}', 2), ('{"cut": "in{"a": 1}', 1), ('{"a": {"b": 1}, "c": "{"}, {"d": 2}', 2),
+    ('{"open": [{"a": 1}, {"b": 2}', 2), ('{"a":' * 3000 + "1", 0),
+])
+def test_object_spans_after_faults(text, n):
+    assert len(lineage._object_spans(text)) == n
+
+
+def test_log_shapes_with_several_objects_or_a_cut(spark, tmp_path):
+    lines = [json.dumps({"eventType": s, "eventTime": f"t{i}", "job": {"name": "press"}}) for i, s in enumerate(("START", "COMPLETE"))]
+    shapes = {"comma": ", ".join(lines), "comma_lines": ",\n".join(lines), "brackets": f"{lines[0]}],[{lines[1]}", "cut_string": '{"eventType": "STA\n' + "\n".join(lines * 2),
+              "null": f"{lines[0]}, null", "commas": f"{lines[0]}\n{lines[0]},{lines[1]}\n{lines[1]}",
+              "inner": f'{{"eventType": "START", "inputs": [\n{{"namespace": "n", "name": "x"}}\n]}}'}
+    for name, text in shapes.items():
+        (tmp_path / name).write_text(text)
+    counts = {}
+    for name in shapes:
+        counts[name] = sorted(str(r.eventType) for r in lineage.read_events(spark, str(tmp_path / name)).collect())
+    pair = ["COMPLETE", "START"]
+    assert counts == {"comma": pair, "comma_lines": pair, "brackets": pair, "cut_string": sorted(pair * 2), "null": ["START"], "commas": sorted(pair * 2),
+                      "inner": ["START"]}
+
+
 def test_stage_events(spark, tmp_path):
     log = lineage.LineageLog(spark, str(tmp_path / "log"))
     uuid.UUID(log.run_id)
