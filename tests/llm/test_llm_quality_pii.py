@@ -148,6 +148,22 @@ def test_added_spans():
     assert pii.all_spans([plain], model)[0] == ([], [])
 
 
+def test_added_spans_over_base_spans():
+    """A secret with a card number in it is masked whole, and so are the words beside one that touches a pattern."""
+    model = pii.field()
+    key = "ab3f4111111111111111f0c97de2a45b6c8d9e0f"
+    text = f'token = "{key}" and more'
+    base, spans = pii.all_spans([text], model)[0]
+    assert [k for _, k, _ in base] == ["card"] and ("secret", key) in [(k, text[s:e]) for s, k, e in spans]
+    assert set(base) < set(spans) and pii.mask(text, spans) == 'token = "<secret>" and more'
+    beside = f'token = "{key}"### that.92@mail2.example.com### end'
+    spans = pii.all_spans([beside], model)[0][1]
+    assert {(k, beside[s:e]) for s, k, e in spans} == {("secret", key), ("card", "4111111111111111"), ("email", "that.92@mail2.example.com")}
+    inside = "call +1 (555) 201-3344 after six"
+    base, spans = pii.all_spans([inside], model)[0]
+    assert spans == base and pii.mask(inside, spans) == "call <phone> after six"
+
+
 def test_pii_rows(spark, documents, awkward):
     rows = awkward + [(20, "mail a.b@c.de, ip 10.0.0.1, card 4111 1111 1111 1111, +1 (555) 201-3344"), (21, None)]
     docs = documents(rows).withColumnRenamed("lang", "spans")

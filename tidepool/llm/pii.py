@@ -331,16 +331,25 @@ def _core(text: str, start: int, end: int) -> tuple[int, int]:
 
 
 def all_spans(texts: list[str], model: Field) -> list[tuple[list, list]]:
-    """(base spans, all spans) of each text; an added span that touches a base span or an earlier one is left out."""
+    """(base spans, all spans) of each text; words that lie wholly within a base span are left out of the added ones."""
     out = []
     for text, extra in zip(texts, added_spans(texts, model)):
         base = base_spans(text)
-        taken, spans = sorted((s, e) for s, _, e in base), list(base)
+        taken, spans = [(s, e) for s, _, e in base], list(base)
         for start, kind, end in extra:
-            start, end = _core(text, start, end)
-            if start < end and all(e <= start or s >= end for s, e in taken):
-                spans.append((start, kind, end))
-                taken.append((start, end))
+            open_words, pieces = [m.span() for m in _WORD.finditer(text, start, end)], []
+            for word in open_words:  # words that a pattern has found end a span and begin the next
+                a, b = _core(text, *word)
+                if a < b and any(s <= a and b <= e for s, e in taken):
+                    pieces.append(None)
+                elif pieces and pieces[-1]:
+                    pieces[-1] = (pieces[-1][0], word[1])
+                else:
+                    pieces.append(word)
+            for start, end in filter(None, pieces):
+                start, end = _core(text, start, end)
+                if start < end and not any(s <= start and end <= e for s, e in taken):
+                    spans.append((start, kind, end))
         out.append((base, sorted(spans, key=lambda s: (s[0], KINDS.index(s[1])))))
     return out
 
