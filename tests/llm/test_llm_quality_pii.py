@@ -148,6 +148,36 @@ def test_added_spans():
     assert pii.all_spans([plain], model)[0] == ([], [])
 
 
+def test_added_spans_without_digits():
+    """Words of letters only can be labelled, and other spellings of the at sign are found."""
+    model = pii.field()
+    for text, want in (("the password: CorrectHorseBattery is old", [("secret", "CorrectHorseBattery")]), ("token = \"QXKZJWVLMNBPTRDGHFSC\" then", [("secret", "QXKZJWVLMNBPTRDGHFSC")]),
+                       ("write to anna {at} mail.org today", [("email", "anna {at} mail.org")]), ("write to anna at mail dot org today", [("email", "anna at mail dot org")]),
+                       ("write to bob{at}mail.example.org today", [("email", "bob{at}mail.example.org")]),
+                       ("the password is old and he was at home. The key: first of all, a dot on the map", [])):
+        spans = pii.all_spans([text], model)[0][1]
+        assert [(k, text[s:e]) for s, k, e in spans] == want, text
+
+
+def test_skipped_words_change_nothing():
+    """Decoding the open words only gives the labels of decoding every word."""
+    model = pii.field()
+    for words, _ in pii.labelled_lines():
+        text = " ".join(words)
+        around = pii.contexts(words, {i: k for i, w in enumerate(words) if (k := pii.kind_of(w))})
+        labels = model.decode([(np.array([model.scores(w, around.get(i, ())) for i, w in enumerate(words)]), True)])[0]
+        spans = [m.span() for m in re.finditer(r"\S+", text)]
+        runs = [list(g) for y, g in itertools.groupby(range(len(words)), key=lambda i: labels[i]) if y]
+        assert pii.added_spans([text], model)[0] == [(spans[r[0]][0], pii.LABELS[labels[r[0]]], spans[r[-1]][1]) for r in runs]
+
+
+def test_plain_words_have_the_scores_of_their_class():
+    model = pii.field()
+    for w in ("the", "The", "Haus.", "(house)", "éa", "token", "Key:", "at", "[at]", "dot", "A", "Verantwortungsgemeins", "JavaScript", "word,", '"x"', "***the", "the###", "ab|", "=abc", "Secret!", "ABC"):
+        want, got = model._word(w), model.of_word[w][0]
+        assert (want is None) == (got is None) and (want is None or np.allclose(want, got)) and model.of_word[w][1] == pii.kind_of(w), w
+
+
 def test_added_spans_over_base_spans():
     """A secret with a card number in it is masked whole, and so are the words beside one that touches a pattern."""
     model = pii.field()

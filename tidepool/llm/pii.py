@@ -7,10 +7,11 @@ plus sign, spelt-out email addresses, secrets given after a name and a sign.  It
 trained on the small labelled table below (or another one given), by full-batch
 gradient ascent on the exact likelihood, and decoded by Viterbi.
 
-Words without a digit or a written-out at sign can only be outside, in training as
-in decoding.  So can, exactly, a word whose margin for "outside" is beyond anything
-that the transitions to its two neighbours can give.  Only runs of other words need
-decoding; all runs of a slice go through Viterbi in one numpy batch.
+Any word can have any label, in training as in decoding.  What stands around a word
+counts too: a name of secrets before it, or an address spelt with "at" and "dot".  A
+word is outside, exactly, if its margin for "outside" against each label is beyond
+anything that the transitions to its two neighbours can give.  Only runs of other words
+need decoding; the runs of a slice go through Viterbi in numpy batches of like length.
 """
 
 from __future__ import annotations
@@ -27,6 +28,7 @@ from tidepool.llm.common import Memo, map_slices
 
 BASE_KINDS = ("email", "ip", "card", "phone")
 KINDS = (*BASE_KINDS, "secret")
+CELLS = 200_000  # words of runs decoded at once
 LABELS = ("out", "email", "phone", "secret")  # labels of the field; a run of one label is one span
 
 # The small labelled table: words, each marked |e, |p or |s if it belongs to a spelt-out email address, phone number or secret.
@@ -74,7 +76,30 @@ apikey: 5e884898da28047151d0e56f8dc62927|s stop
 token = "0a1b2c3d4e5f60718293a4b5c6d7e8f901234567"|s the house
 passwd = Xy7Lp0Qa9Zt3Bn|s please
 and password=b7db7aa4a5fcc78305|s is old
+password: CorrectHorseBattery|s and then
+password = SwordFishLantern|s now
+my passwd: qwertyuiopasdfgh|s please
+password=BlueMonkeyTrain|s for the door
+token: XKQZJWVBNMLKHGFDSPRT|s is old
+secret = "kdjfhgqwmzxnvbtyplro"|s here
+api_key: QwXnRtLpZvKmBdHsJf|s stop
+write to anna|e {at}|e mail.example.org|e before noon
+mail sam.low|e [at]|e corp.example.com|e now
+reach kim|e at|e mail|e dot|e org|e by night
+send it to max{at}post.example.net|e now
+or jo.k[at]mail[dot]org|e for more
 the token is a word and the secret is out
+the key: first things and the password = none
+token: the word. secret: nothing to see
+key = value and key: internationally known
+he was at the mail office and the dot on it
+INTERNATIONALISATION AND RESPONSIBILITIES IN CAPITALS
+The House Of The River And The Garden In Spring. It Is Old.
+Der Garten Im Tal Und Die Stadt Am Meer. Das Haus, Ein Dorf; Es War Alt
+La Maison De La Colline Et Le Jardin. Un Jour Les Enfants Sont Venus
+El Camino De Las Flores Y La Casa Del Mar. En Verano Era Grande
+That was it. This is so, He said, and They went to London.
+JavaScript and McDonald and YouTube at GitHub
 a key = a lock and the password: none
 this is plain text about the house and the river
 words, more words; and a longer internationalisation here.
@@ -97,8 +122,14 @@ _IP = re.compile(r"(?<![0-9])([0-9]++)\.([0-9]++)\.([0-9]++)\.([0-9]+)")
 _CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _WORD = re.compile(r"[^ \t-\r]+")
-_AT = re.compile(r"[(\[]at[)\]]", re.IGNORECASE)
-_OPEN = re.compile(r"[0-9]|[(\[]at[)\]]", re.IGNORECASE)  # what a word must hold to be labelled at all
+_AT = re.compile(r"[(\[{<]at[)\]}>]", re.IGNORECASE)
+_OPEN = re.compile(r"[0-9]|[(\[]at[)\]]", re.IGNORECASE)  # words of the forms that are most often personal data
+_NAME = re.compile(r"""["'(]?(?:token|secret|password|passwd|api_?key|key)["']?([:=]{0,2})""", re.IGNORECASE)
+_GLUED = re.compile(r"""["'(]?(?:token|secret|password|passwd|api_?key|key)["']?[:=]["']?[^\s"']{6,}.*""", re.IGNORECASE)
+_TRIM = ".,;:!?\"'()[]<>#*$%&|="  # signs around a word that its shape leaves out
+_SPECIAL = frozenset("token secret password passwd apikey key at dot".split())  # words of letters with a feature of their own
+_DOT = re.compile(r"[(\[{<]?dot[)\]}>]?", re.IGNORECASE)
+_INNER_DOT = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+[.,;:!?]?")
 _NAME_LETTERS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 
 
@@ -146,9 +177,46 @@ def shape(word: str) -> str:
     return "".join(out)
 
 
-def features(word: str) -> list[str]:
-    """Word-shape features; every one says something of any word, none names a word of the language."""
-    core = word.strip(".,;:!?\"'()[]<>#*$%&|=")
+def kind_of(word: str) -> str | None:
+    """What a word says of those around it: a name of secrets (with or without its sign), a sign alone, a spelt at sign or dot."""
+    named = _NAME.fullmatch(word)
+    if named:
+        return "named" if named[1] else "name"
+    if word in ("=", ":", ":=", "=>"):
+        return "sign"
+    if _AT.fullmatch(word):
+        return "at sign"
+    if word.lower() == "at":
+        return "at"
+    return "dot" if _DOT.fullmatch(word) else None
+
+
+def contexts(words: list[str], kinds: dict[int, str]) -> dict[int, tuple[str, ...]]:
+    """Features that words have from the words around them, by place; ``kinds`` has the places of words with a kind."""
+    out: dict[int, tuple[str, ...]] = {}
+
+    def add(i, name):
+        if i < len(words) and name not in out.get(i, ()):
+            out[i] = tuple(sorted((*out.get(i, ()), name)))
+
+    for i, kind in kinds.items():
+        if kind == "named":
+            add(i + 1, "after a name")
+        elif kind == "name" and kinds.get(i + 1) == "sign":
+            add(i + 2, "after a name")
+        elif kind in ("at", "at sign") and 0 < i < len(words) - 1:
+            end = i + 1
+            while kinds.get(end + 1) == "dot" and end + 2 < len(words):
+                end += 2
+            if end > i + 1 or kind == "at sign" and _INNER_DOT.fullmatch(words[end]):
+                for j in range(i - 1, end + 1):
+                    add(j, "spelt address")
+    return out
+
+
+def features(word: str, around: tuple[str, ...] = ()) -> list[str]:
+    """Word-shape features, and those it has from its neighbours; every one says something of any word, none names a word of the language."""
+    core = word.strip(_TRIM)
     s, digits = shape(core), sum(c.isdigit() for c in core)
     letters = sum(c.isalpha() for c in core)
     inner = core.split("=")[-1].strip("\"'")
@@ -162,8 +230,12 @@ def features(word: str) -> list[str]:
         ("phone groups", bool(re.fullmatch(r"[0-9]{3,4}[-.][0-9]{3,4}([-.][0-9]{2,4})?", core))),
         ("year range", bool(re.fullmatch(r"(1[0-9]|20)[0-9]{2}[-.](1[0-9]|20)[0-9]{2}", core))),
         ("date", bool(re.fullmatch(r"[0-9]{4}-[0-9]{2}-[0-9]{2}", core))), ("long", len(core) > 20), ("end sign", word[-1:] in ".,;:!?"),
+        ("open", bool(_OPEN.search(word))), ("glued", bool(_GLUED.fullmatch(word))),
+        ("letters", len(inner) >= 12 and inner.isalpha() and (inner.isupper() or sum(a.islower() and b.isupper() for a, b in zip(inner, inner[1:])) >= 2)),
         ("name sign", bool(re.fullmatch(r"(?i)(token|secret|password|passwd|api_?key|key)[:=]?", word)))) if on]
-    return out
+    if "after a name" in around:  # with what a word of the language seldom is
+        out += [f"named {n}" for n in ("long", "capitals") if (len(inner) >= 12 if n == "long" else any(c.isupper() for c in inner[1:]))]
+    return out + list(around)
 
 
 @dataclass
@@ -177,24 +249,55 @@ class Field:
     def __post_init__(self):
         before = np.vstack((self.moves, self.first))  # a word may also begin the text
         change = before[:, None, 1:] + self.moves[1:].T[None] - before[:, None, :1] - self.moves[:1].T[None]
-        self.safe = float(change.max())
-        self.of_word = Memo(self._word)
+        self.safe = change.max(axis=(0, 1))
+        # lower-case and capitalised words of at most 20 letters differ by their first letter and end sign only
+        self.of_plain = Memo(lambda key: self._word(("Aaa" if key[0] else "aaa") + (key[1] or "")))
+        self.of_word = Memo(self._known)
+        self.of_placed = Memo(lambda placed: self._word(*placed))
 
-    def scores(self, word: str) -> np.ndarray:
+    def scores(self, word: str, around: tuple[str, ...] = ()) -> np.ndarray:
         zero = np.zeros(len(LABELS))
-        return sum((self.weights.get(f, zero) for f in features(word)), zero)
-
-    def _word(self, word: str) -> np.ndarray | None:
-        """Scores of a word's labels; None if the word is outside whatever its neighbours are."""
-        if not _OPEN.search(word):
-            return None
-        s = self.scores(word)
-        return None if s[0] - s[1:].max() > self.safe else s
+        return sum((self.weights.get(f, zero) for f in features(word, around)), zero)
+
+    def _word(self, word: str, around: tuple[str, ...] = ()) -> np.ndarray | None:
+        """Scores of a word's labels; None if the word is outside whatever its neighbours' labels are."""
+        s = self.scores(word, around)
+        return None if (s[0] - s[1:] > self.safe).all() else s
+
+    def _known(self, word: str) -> tuple[np.ndarray | None, str | None]:
+        """Scores (None if outside) and kind of a word."""
+        core = word.strip(_TRIM)
+        if core.isalpha() and len(core) <= 20 and core[1:].islower() and (core[0].isupper() or core[0].islower()) and core.lower() not in _SPECIAL:
+            return self.of_plain[core[0].isupper(), word[-1:] in ".,;:!?" and "."], None
+        return self._word(word), kind_of(word)
+
+    def open_words(self, words: list[str]) -> dict[int, np.ndarray]:
+        """Places and scores of a text's words that need decoding."""
+        known = [self.of_word[w] if len(w) < 64 else (self._word(w), None) for w in words]
+        found = {i: s for i, (s, _) in enumerate(known) if s is not None}
+        kinds = {i: k for i, (_, k) in enumerate(known) if k}
+        for i, around in contexts(words, kinds).items():
+            s = self.of_placed[words[i], around] if len(words[i]) < 64 else self._word(words[i], around)
+            if s is None:
+                found.pop(i, None)
+            else:
+                found[i] = s
+        return dict(sorted(found.items()))
 
     def decode(self, runs: list[tuple[np.ndarray, bool]]) -> list[np.ndarray]:
         """Best labels of each run: (scores of its words, whether it begins a text); outside words surround it."""
-        if not runs:
-            return []
+        out: list = [None] * len(runs)
+        order, begin = sorted(range(len(runs)), key=lambda i: len(runs[i][0])), 0
+        while begin < len(order):
+            end, longest = begin, len(runs[order[begin]][0])
+            while end < len(order) and (end == begin or (end - begin + 1) * len(runs[order[end]][0]) <= CELLS) and len(runs[order[end]][0]) <= 2 * longest:
+                end += 1
+            for i, labels in zip(order[begin:end], self._decode([runs[i] for i in order[begin:end]])):
+                out[i] = labels
+            begin = end
+        return out
+
+    def _decode(self, runs: list[tuple[np.ndarray, bool]]) -> list[np.ndarray]:
         n, longest = len(runs), max(len(r) for r, _ in runs)
         length = np.array([len(r) for r, _ in runs])
         emit = np.zeros((n, longest, len(LABELS)))
@@ -231,19 +334,19 @@ def labelled_lines(table: str = LABELLED) -> list[tuple[list[str], list[int]]]:
 
 def train(lines: list[tuple[list[str], list[int]]], rounds: int = 300, rate: float = 0.1, ridge: float = 0.02) -> Field:
     """Fit a field to labelled lines by gradient ascent (Adam) on the penalised log likelihood."""
-    names = sorted({f for words, _ in lines for w in words for f in features(w)})
+    placed = []
+    for words, _ in lines:
+        around = contexts(words, {t: kind for t, w in enumerate(words) if (kind := kind_of(w))})
+        placed.append([features(w, around.get(t, ())) for t, w in enumerate(words)])
+    names = sorted({f for line in placed for of_word in line for f in of_word})
     index, k = {f: i for i, f in enumerate(names)}, len(LABELS)
     longest = max(len(w) for w, _ in lines)
     on = np.zeros((len(lines), longest, len(names)))
     gold, real = np.zeros((len(lines), longest), int), np.zeros((len(lines), longest), bool)
     for i, (words, labels) in enumerate(lines):
-        for t, (w, y) in enumerate(zip(words, labels)):
-            on[i, t, [index[f] for f in features(w)]] = 1
+        for t, y in enumerate(labels):
+            on[i, t, [index[f] for f in placed[i][t]]] = 1
             gold[i, t], real[i, t] = y, True
-    barred = np.zeros((len(lines), longest, k))
-    for i, (words, _) in enumerate(lines):
-        for t, w in enumerate(words):
-            barred[i, t, 1:] = 0 if _OPEN.search(w) else -1e9
     truth = np.eye(k)[gold] * real[..., None]
     follow = real[:, 1:, None, None] * truth[:, :-1, :, None] * truth[:, 1:, None, :]
     parameters = [np.zeros((len(names), k)), np.zeros((k, k)), np.zeros(k)]
@@ -255,7 +358,7 @@ def train(lines: list[tuple[list[str], list[int]]], rounds: int = 300, rate: flo
 
     for step in range(1, rounds + 1):
         w, moves, first = parameters
-        emit = on @ w + barred
+        emit = on @ w
         ahead, behind = np.zeros_like(emit), np.zeros_like(emit)
         ahead[:, 0] = first + emit[:, 0]
         for t in range(1, longest):
@@ -287,25 +390,22 @@ def field(table: str = LABELLED) -> Field:
 def added_spans(texts: list[str], model: Field) -> list[list[tuple[int, str, int]]]:
     """The field's spans of each text; runs of all texts are decoded together."""
     model.of_word.room()
+    model.of_placed.room()
     runs, where, out = [], [], [[] for _ in texts]
-
-    def score(word):
-        return None if word.isalpha() else model.of_word[word] if len(word) < 64 else model._word(word)
-
     for i, text in enumerate(texts):
-        if not _OPEN.search(text):
+        found = model.open_words(_WORD.findall(text))
+        if not found:
             continue
         words = [m.span() for m in _WORD.finditer(text)]
+        places = list(found)
         at = 0
-        while at < len(words):
-            end, scores = at, []
-            while end < len(words) and (s := score(text[words[end][0]:words[end][1]])) is not None:
-                scores.append(s)
+        while at < len(places):
+            end = at + 1
+            while end < len(places) and places[end] == places[end - 1] + 1:
                 end += 1
-            if scores:
-                runs.append((np.array(scores), at == 0))
-                where.append((i, words[at:end]))
-            at = end + 1
+            runs.append((np.array([found[p] for p in places[at:end]]), places[at] == 0))
+            where.append((i, words[places[at]:places[end - 1] + 1]))
+            at = end
     for labels, (i, words) in zip(model.decode(runs), where):
         t = 0
         while t < len(labels):
