@@ -116,6 +116,17 @@ def test_layout_of_small_pages(page, text):
     assert html_layout.render(page) == text
 
 
+@pytest.mark.parametrize("css,seen", [
+    ("@media print { p, .ad { display:none } }", True), ("@media (max-width: 9em) {p{display:none}} .y{display:none}", True), ("@media screen {p{display:none}}", False),
+    ("@supports (display:grid) {@media all {p{visibility:hidden}}}", True), (".ad{display:none} .ad{display:block}", True), (".ad{visibility:hidden}.ad{visibility:visible}", True),
+    (".ad{display:none!important} .ad{display:block}", False), ("@import 'x'; .ad{color:red;display:none}", False), ("/* } */ @media print{.ad{display:none}} .ad{display:none}", False),
+    ("@media print{.x{color:red}} .ad{display:none}", False),
+])
+def test_styles_under_conditions_and_replaced(css, seen):
+    assert html_layout.render(f"<style>{css}</style><p class=ad>shown</p>end") == ("shown\n\nend" if seen else "end")
+    assert html_layout.render("<style media=print>p{display:none}</style><p>shown") == "shown"
+
+
 @pytest.mark.parametrize("page", ["<div>" * 60000, "<" * 90000, '<a <a "' * 30000 + ">", "<table><tr><td>" * 3000 + "x", "<li>" * 30000, "<!--" * 30000,
                                   "<script>" * 20000, "<p>" * 30000 + "</x>" * 30000, "<table>" + "<tr><td rowspan=100 colspan=100>a" * 600])
 def test_layout_of_hostile_pages(page):

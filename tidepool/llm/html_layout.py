@@ -44,7 +44,7 @@ _TAG = re.compile(r"""<(/?)([A-Za-z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*+)>|<(/
 _OTHER = re.compile(r"<!--(?:(?s:.*?)-->|(?s:.*)\Z)|<[!?/][^>]*>")
 _ATTRIBUTE = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 _SPACE = re.compile(r"[ \t\n\r\f]+")
-_RULE = re.compile(r"([^{}]*)\{([^{}]*)\}")
+_DECLARED = re.compile(r"(?:^|(?<=[;\s]))(display|visibility)\s*:\s*([\w-]+)[^;!]*(!\s*important)?", re.I)
 _GONE = re.compile(r"display\s*:\s*none", re.I)
 _HIDDEN, _SHOWN = re.compile(r"visibility\s*:\s*(?:hidden|collapse)", re.I), re.compile(r"visibility\s*:\s*visible", re.I)
 
@@ -244,20 +244,54 @@ def draw_table(rows: list[list[tuple[list[str], int, int]]]) -> list[str]:
     return out
 
 
+def _on_screen(media: str) -> bool:
+    """Whether a media list surely holds for a screen: it names one or all, or is empty; conditions do not count."""
+    return not media.strip() or any(re.fullmatch(r"\s*(?:only\s+)?(?:screen|all)\s*", m, re.I) for m in media.split(","))
+
+
+def _rules(css: str):
+    """(selectors, declarations) of the rules that hold without a condition, in order; blocks are found by brace depth."""
+    css = re.sub(r"/\*.*?(?:\*/|\Z)", " ", css, flags=re.S)
+    held, at = [], 0  # of each open block, whether rules within it hold
+    for brace in re.finditer(r"[{};]", css):
+        text, sign = css[at:brace.start()], brace.group()
+        if sign == "{":
+            head = text.strip()
+            rule = re.match(r"@([\w-]+)(.*)", head, re.S)
+            inner = rule and (rule[1].lower() == "layer" or rule[1].lower() == "media" and _on_screen(rule[2]))
+            held.append((all(h for h, _, _ in held) and (not rule or bool(inner)), None if rule else head, brace.end()))
+        elif sign == "}":
+            if held:
+                holds, head, begin = held.pop()
+                if holds and head is not None:
+                    yield head, css[begin:brace.start()]
+        elif held and held[-1][1] is not None:
+            continue
+        at = brace.end()
+
+
 def _style_rules(root: Node) -> tuple[set[str], set[str]]:
-    """Simple selectors (tag, .class, #id) of the page's styles that take boxes away, and that hide them."""
-    gone, hidden, nodes = set(), set(), [root]
+    """Simple selectors (tag, .class, #id) of the page's styles that take boxes away, and that hide them.
+
+    Of several values for one selector the last counts, or the last important one;
+    rules under a condition that a screen need not meet are passed over.
+    """
+    values: dict[tuple[str, str], tuple[bool, str]] = {}
+    nodes = [root]
     while nodes:
         node = nodes.pop()
-        for child in node.children:
-            if isinstance(child, Node):
-                nodes.append(child)
-            elif node.tag == "style" and ("none" in child or "hidden" in child):
-                for names, body in _RULE.findall(child):
-                    for kind, wanted in ((gone, _GONE), (hidden, _HIDDEN)):
-                        if wanted.search(body):
-                            kind.update(n.strip() for n in names.split(",") if re.fullmatch(r"\s*[.#]?[\w-]+\s*", n))
-    return gone, hidden
+        if isinstance(node, str):
+            continue
+        if node.tag == "style" and _on_screen(node.get("media") or ""):
+            for names, body in _rules("".join(c for c in node.children if isinstance(c, str))):
+                for name, value, important in _DECLARED.findall(body):
+                    for n in names.split(","):
+                        key = (n.strip(), name.lower())
+                        if re.fullmatch(r"[.#]?[\w-]+", key[0]) and (important or not values.get(key, (False, ""))[0]):
+                            values[key] = (bool(important), value.lower())
+        nodes.extend(reversed(node.children))
+    return ({n for (n, name), (_, v) in values.items() if name == "display" and v == "none"},
+            {n for (n, name), (_, v) in values.items() if name == "visibility" and v in ("hidden", "collapse")})
 
 
 def render(source: str | None) -> str:
