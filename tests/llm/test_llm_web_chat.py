@@ -127,6 +127,17 @@ def test_styles_under_conditions_and_replaced(css, seen):
     assert html_layout.render("<style media=print>p{display:none}</style><p>shown") == "shown"
 
 
+@pytest.mark.parametrize("page,text", [
+    ("so <math><mi>x</mi><mo>=</mo><mn>2</mn><annotation>x=2</annotation></math> holds", "so x=2 holds"),
+    ("a<svg><title>t</title><defs><text>no</text></defs>no<path d='M0'/><g><text>Label <tspan>one</tspan></text><text>two</text></g><desc>no</desc></svg>b", "a Label one two b"),
+    ("<svg><g style='display:none'><text>no</text></g><desc/><text>yes</text></svg>", "yes"),
+    ("Size <select><option>S<option selected>M<option>L</select> now", "Size M now"), ("<select><optgroup label=g><option>S</option></optgroup><option>L</select>", "S"),
+    ("<select multiple><option>S<option>L</select>", "S\nL"), ("<select></select>x", "x"),
+])
+def test_formulas_drawings_and_choices(page, text):
+    assert html_layout.render(page) == text
+
+
 @pytest.mark.parametrize("page", ["<div>" * 60000, "<" * 90000, '<a <a "' * 30000 + ">", "<table><tr><td>" * 3000 + "x", "<li>" * 30000, "<!--" * 30000,
                                   "<script>" * 20000, "<p>" * 30000 + "</x>" * 30000, "<table>" + "<tr><td rowspan=100 colspan=100>a" * 600])
 def test_layout_of_hostile_pages(page):

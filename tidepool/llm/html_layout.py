@@ -3,7 +3,9 @@
 The builder closes what HTML leaves open (list items, paragraphs, cells, rows, the
 head) and nests at most ``DEEPEST`` levels, as browsers do.  The renderer walks the
 tree without recursion.  It leaves out what is not shown: head, scripts, templates,
-closed details, ``hidden``, and ``display:none`` / ``visibility:hidden`` from style
+what noscript, iframe, object, audio, video, canvas, datalist, noembed and noframes
+hold in place of their content, of svg all but its text elements, the annotations of
+math, the options of a select that are not shown at first, closed details, ``hidden``, and ``display:none`` / ``visibility:hidden`` from style
 attributes or from simple rules (one tag, class or id) of the page's own styles.
 Blocks begin on lines of their own, paragraphs and the like stand apart by an empty
 line, list items have markers and indents, and table cells are padded to columns.
@@ -24,7 +26,8 @@ MOST_SPAN = 100  # columns or rows that one cell may span
 
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 RAW = frozenset("script style title textarea xmp iframe noembed noframes".split())
-UNSEEN = frozenset("head script style template noscript iframe object audio video canvas datalist svg math noembed noframes title select".split())
+UNSEEN = frozenset("head script style template noscript iframe object audio video canvas datalist noembed noframes title".split())
+DRAWN_UNSEEN = frozenset("title desc defs metadata symbol clippath mask pattern marker style script".split())  # in svg
 HEAD = frozenset("title meta link base script style noscript template".split())
 APART = frozenset("p h1 h2 h3 h4 h5 h6 ul ol dl table blockquote pre figure fieldset hr".split())  # set off by an empty line
 BLOCK = APART | frozenset("html body div section article aside header footer nav main address li dt dd tr td th caption thead tbody tfoot "
@@ -111,6 +114,8 @@ def parse(source: str) -> Node:
             start("tr", "")
         node = Node(tag, attributes)
         stack[-1].children.append(node)
+        if (depth["svg"] or depth["math"] or tag in ("svg", "math")) and attributes.endswith("/"):
+            return
         if tag not in VOID and len(stack) < DEEPEST:
             stack.append(node)
             depth[tag] += 1
@@ -244,6 +249,37 @@ def draw_table(rows: list[list[tuple[list[str], int, int]]]) -> list[str]:
     return out
 
 
+def _keep_shown(node: Node) -> None:
+    """Of a drawing keep the text elements, of a formula all but its annotations, of a choice the option shown."""
+    if node.tag == "select":
+        options, todo = [], list(reversed(node.children))
+        while todo:
+            child = todo.pop()
+            if isinstance(child, Node):
+                if child.tag == "option":
+                    options.append(child)
+                else:
+                    todo.extend(reversed(child.children))
+        size = node.get("size") or ""
+        if node.get("multiple") is not None or size.isascii() and size.isdigit() and size.strip("0") not in ("", "1"):
+            node.children = options
+        else:
+            chosen = [o for o in options if o.get("selected") is not None][-1:] or options[:1]
+            node.children = [c for o in chosen for c in o.children]
+        return
+    todo = [node]
+    while todo:
+        at = todo.pop()
+        if at.tag in ("annotation", "annotation-xml") or node.tag == "svg" and at.tag in DRAWN_UNSEEN:
+            at.children = []
+        elif node.tag == "svg" and at.tag in ("text", "foreignobject"):
+            at.children = [" ", *(c for c in at.children if isinstance(c, str) or c.tag not in DRAWN_UNSEEN), " "]
+        else:
+            if node.tag == "svg":
+                at.children = [c for c in at.children if isinstance(c, Node)]
+            todo.extend(c for c in at.children if isinstance(c, Node))
+
+
 def _on_screen(media: str) -> bool:
     """Whether a media list surely holds for a screen: it names one or all, or is empty; conditions do not count."""
     return not media.strip() or any(re.fullmatch(r"\s*(?:only\s+)?(?:screen|all)\s*", m, re.I) for m in media.split(","))
@@ -334,6 +370,8 @@ def render(source: str | None) -> str:
                 continue
             if tag in BLOCK and tag not in ("td", "th"):
                 flow.turn(2 if tag in APART and not (tag in ("ul", "ol") and lists) else 1)
+            if tag in ("svg", "math", "select"):
+                _keep_shown(node)
             children = node.children
             if tag == "details" and node.get("open") is None:
                 children = [c for c in children if isinstance(c, Node) and c.tag == "summary"][:1]
