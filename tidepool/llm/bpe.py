@@ -2,7 +2,7 @@
 
 A token sequence is what merging by rank gives exactly if every two neighbours are
 compatible: merging their joined bytes gives these two tokens again.  So the encoder
-takes the longest token at each place, found by an Aho-Corasick automaton.  Where two
+takes the longest token at each place, looked up in an automaton's trie.  Where two
 neighbours are not compatible it tries the next shorter token of that place, and
 steps back over a place from which no way on is left.  A place given up is never
 tried again, so the time is linear in the text.  Decoding joins byte strings through
