@@ -21,13 +21,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-BATCH_BYTES, DEFAULT_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch", 64 << 20
+BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
 def small_batches(spark: SparkSession) -> None:
-    """Batches of at most 16 MB between the JVM and Python, unless the session has a bound of its own: rows here are
-    whole texts, and a task holds several batches and their copies outside the heap."""
-    if int(spark.conf.get(BATCH_BYTES).rstrip("b")) == DEFAULT_BATCH:
+    """Batches of at most 16 MB between the JVM and Python where the session sets no bound of its own: rows here are
+    whole texts, and a task holds several batches and their copies outside the heap.  Spark reads the setting when a
+    plan runs, so it stays with the session; one that has chosen any value, in any spelling, keeps it."""
+    if spark.conf.get(BATCH_BYTES, None) is None:
         spark.conf.set(BATCH_BYTES, "16777216b")
 
 

@@ -59,9 +59,10 @@ class WordTokenizer:
 
     def _pieces(self, text: str) -> tuple[bool, list[str]]:
         """Whether the pieces are single ones, and the pieces."""
-        if OTHER_LETTERS.search(text) or self.special.search(text):
+        low = text.lower()  # some letters of the range have lower-case forms outside
+        if OTHER_LETTERS.search(text) or OTHER_LETTERS.search(low) or self.special.search(text):
             return False, text.replace("\n", " ").split(" ")
-        return True, LATIN_PIECES.findall(text.lower())
+        return True, LATIN_PIECES.findall(low)
 
     def _learn(self, pieces: list[str]) -> None:
         """Keep the ids of single pieces, encoded as one text: each piece's last token, and no other, ends a word."""

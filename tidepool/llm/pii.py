@@ -154,7 +154,8 @@ def base_spans(text: str) -> list[tuple[int, str, int]]:
                 out.append((start, "email", m.end()))
                 free = m.end()
     for m in _IP.finditer(text):
-        if all(int(p) <= 255 for p in m.groups() if len(p.lstrip("0")) < 4) and all(len(p.lstrip("0")) < 4 for p in m.groups()):
+        parts = [p.lstrip("0") for p in m.groups()]  # a part may have any number of leading zeros
+        if all(len(p) < 4 and int(p or "0") <= 255 for p in parts):
             out.append((m.start(), "ip", m.end()))
     for m in _CARD.finditer(text):
         digits = m.group().replace(" ", "").replace("-", "")

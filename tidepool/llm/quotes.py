@@ -31,18 +31,23 @@ from pyspark.sql import functions as F
 
 from tidepool.session import materialize
 
-SIGNS = r"^[ \t]*>(?:[ \t]*>)*"
 WINDOW = 5  # words of a unit of a passage
 # Lines that mail programs put before a quotation, in four languages.
 ATTRIBUTION = r"^[ \t]*(?:On .* wrote:|Am .* schrieb .*:|Le .* a écrit ?:|El .* escribió:)[ \t]*$"
 
 
+def _signs(line: Column) -> Column:
+    """The blanks and ``>`` signs that begin a line, up to the last sign.  One run of a class, cut by a string function:
+    a repeated group would take the regular expression engine a stack frame for each sign."""
+    return F.rtrim(F.regexp_extract(line, r"^[ \t>]*", 0), F.lit(" \t"))
+
+
 def _depth(line: Column) -> Column:
-    return F.length(F.regexp_replace(F.regexp_extract(line, SIGNS, 0), "[^>]", ""))
+    return F.length(F.translate(_signs(line), " \t", ""))
 
 
 def _plain(line: Column) -> Column:
-    return F.lower(F.trim(F.regexp_replace(F.regexp_replace(line, SIGNS, ""), r"[ \t]+", " ")))
+    return F.lower(F.trim(F.regexp_replace(F.substring(line, F.length(_signs(line)) + 1, F.length(line)), r"[ \t]+", " ")))
 
 
 def _lines(messages: DataFrame) -> DataFrame:
@@ -147,7 +152,7 @@ def link(messages: DataFrame) -> DataFrame:
     answers = materialize(answers, "answers")
     chain = threads(answers)
     here = F.expr(r"split(text, '\r?\n')")
-    is_quoted = lambda x: x.rlike(SIGNS)
+    is_quoted = lambda x: x.rlike(r"^[ \t]*>")
     announced = lambda x, i: x.rlike(ATTRIBUTION) & F.coalesce(is_quoted(F.get("_lines", i + 1)), F.lit(False))
     body = F.array_join(F.filter("_lines", lambda x, i: ~is_quoted(x) & ~announced(x, i)), "\n")
     return (messages.select("conv_id", "turn", "role", here.alias("_lines"))
