@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidepool.llm import bpe, embedding, html_layout, minhash, packing, pii, quality, quotes, urls, warc
+from tidepool.llm import alignment, best_fit, bpe, embedding, html_layout, lexical, minhash, packing, pii, quality, quotes, urls, warc
 from tidepool.llm.common import table
 
 QUERIES: dict = {}
@@ -207,3 +207,44 @@ CRAWL_DATE = "2024-01-01T00:00:00Z"  # pages carry no time of their own
 @query
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.build(table(spark, sf_dir, "pages"), CRAWL_DATE)
+
+
+@query
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    paths = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    return alignment.align(table(spark, sf_dir, "documents"), *paths)[0]
+
+
+@query
+def op12_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = best_fit.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    return pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"), "sequence_id", "offset")
+
+
+@query
+def op13_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(lexical.build(table(spark, sf_dir, "documents")), table(spark, sf_dir, "benchmark"), 50)
+
+
+ORACLE["op13_lexical"] = r"""
+WITH t AS (
+  SELECT row_number() OVER () AS r, doc_id,
+    regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w
+  FROM documents),
+d AS (SELECT * FROM t WHERE len(w) > 0),
+totals AS (SELECT count(*)::BIGINT AS nd, sum(len(w))::BIGINT AS nl FROM d),
+posts AS (SELECT r, doc_id, n, term, count(*)::BIGINT AS tf FROM (SELECT r, doc_id, len(w)::BIGINT AS n, unnest(w) AS term FROM d) GROUP BY ALL),
+weights AS (
+  SELECT term, floor(1000 * ln((2 * nd + 2)::DOUBLE / (2 * df + 1)::DOUBLE))::BIGINT AS w
+  FROM (SELECT term, count(*)::BIGINT AS df FROM posts GROUP BY term), totals),
+items AS (
+  SELECT DISTINCT q, item_id, unnest(
+    regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM (SELECT row_number() OVER () AS q, item_id, text FROM benchmark)),
+scores AS (
+  SELECT q, item_id, r, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * nd) // nl))))::BIGINT AS score
+  FROM items JOIN weights USING (term) JOIN posts USING (term), totals GROUP BY ALL)
+SELECT item_id, rank::INT AS rank, doc_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY q ORDER BY score DESC, doc_id) AS rank FROM scores WHERE score > 0)
+WHERE rank <= 50
+"""
