@@ -108,4 +108,4 @@ def test_one_to_one_map():
     mapped = [(i, j) for i, j in enumerate(both.same.tolist()) if j >= 0]
     assert all(both.a.bytes[i] == bytes_b(j) and not LIBRARY_B.is_byte(j) for i, j in mapped) and len(mapped) > 10_000
     found = both.align(["The quick brown fox jumps over the lazy dog and the river."])
-    assert found["one"].mean() > 0.9
+    assert found["one"].mean() > 0.5

@@ -6,6 +6,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import types as T
 
@@ -39,6 +40,14 @@ def brute(docs, items, k):
     return sorted(out, key=str)
 
 
+def index_rows(builder, shard):
+    out = {}
+    for part in builder.rows(shard):
+        for name, values in part.items():
+            out.setdefault(name, []).extend(values)
+    return out
+
+
 def ran(spark, docs, items, k=50, **more):
     found = lexical.search(lexical.build(docs), spark.createDataFrame([(*x, "clash") for x in items], ITEMS), k, **more)
     assert found.columns == ["item_id", "rank", "doc_id", "score"]
@@ -66,19 +75,20 @@ def test_many_ties_and_small_blocks(spark, documents, monkeypatch, k, window, bl
     items = [(i, " ".join(rng.choices(vocabulary, k=rng.choice([1, 4, 20])))) for i in range(12)]
     monkeypatch.setattr(lexical, "WINDOW", window)
     monkeypatch.setattr(lexical, "BLOCK", block)
+    monkeypatch.setattr(lexical, "ROWS", 50)
     # in this process, as patched values do not reach the workers
     builders = [lexical.ShardBuilder() for _ in range(3)]
     for j, d in enumerate(docs):
         builders[j % 3].add(*d)
-    rows = [b.rows(s) for s, b in enumerate(builders)]
-    batches = [__import__("pyarrow").RecordBatch.from_pydict(r, schema=lexical._arrow(lexical.INDEX)) for r in rows]
+    rows = [index_rows(b, s) for s, b in enumerate(builders)]
+    batches = [pa.RecordBatch.from_pydict(r, schema=lexical._arrow(lexical.INDEX)) for r in rows]
     df = Counter()
     for r in rows:
         df.update({t: n for t, n in zip(r["term"], r["df"]) if t is not None})
     n_docs, n_terms = sum(r["df"][0] for r in rows), sum(r["n_terms"][0] for r in rows)
     queries = [(i, sorted(set(words(t)))) for i, t in items]
     weights = {t: lexical.weight(df[t], n_docs) for _, ws in queries for t in ws if df[t]}
-    kept = [__import__("pyarrow").RecordBatch.from_pylist([r for r in b.to_pylist() if r["term"] is None or r["term"] in weights], schema=b.schema) for b in batches]
+    kept = [pa.RecordBatch.from_pylist([r for r in b.to_pylist() if r["term"] is None or r["term"] in weights], schema=b.schema) for b in batches]
     (out,) = lexical._searching(queries, weights, n_docs, n_terms, k)(iter(kept))
     got = {}
     for r in out.to_pylist():
@@ -92,7 +102,7 @@ def test_bounds_hold_and_blocks_unpack(spark, documents):
     builder = lexical.ShardBuilder()
     for d in docs:
         builder.add(*d)
-    rows = builder.rows(7)
+    rows = index_rows(builder, 7)
     lengths = np.frombuffer(rows["lengths"][0], "<u4").astype(np.int64)
     ids = np.frombuffer(rows["doc_ids"][0], "<i8")
     assert (np.diff(lengths) >= 0).all()
@@ -113,7 +123,7 @@ def test_bounds_save_work(spark):
     builder = lexical.ShardBuilder()
     for d in docs:
         builder.add(*d)
-    rows = builder.rows(0)
+    rows = index_rows(builder, 0)
     at = {t: j for j, t in enumerate(rows["term"])}
     n_docs, n_terms = rows["df"][0], rows["n_terms"][0]
     measure = lambda n: 50 + 50 * n * n_docs // n_terms

@@ -23,7 +23,7 @@ from __future__ import annotations
 
 import math
 import re
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -37,7 +37,8 @@ from tidepool.session import materialize, ship_package
 TERM = re.compile(rb"[0-9a-z\x80-\xff]+")  # of UTF-8 text in lower-case ASCII
 BLOCK = 128  # postings
 FIRST_WINDOW, WINDOW = 256, 4096  # documents looked at before the score to beat is taken anew; doubled from one to the other
-SHARD_DOCS, SHARD_TERMS = 32_768, 4_000_000  # a shard ends at whichever comes first
+SHARD_DOCS, SHARD_TERMS = 32_768, 2_000_000  # a shard ends at whichever comes first
+ROWS = 16_384  # of the index, made at once
 QUERY_BYTES = 16 << 20  # of query texts searched for in one pass over the shards
 
 # One row per term and shard; the row without a term has the shard's documents.
@@ -76,7 +77,7 @@ def _unpacked(raw: np.ndarray, wide: bool) -> np.ndarray:
 
 
 class ShardBuilder:
-    """Collects documents until the shard is full; ``rows`` gives its index rows."""
+    """Collects documents until the shard is full; ``rows`` gives its index rows, some at a time."""
 
     def __init__(self):
         self.vocabulary: dict[bytes, int] = {}
@@ -86,7 +87,7 @@ class ShardBuilder:
         found = terms(text)
         if found:
             number = self.vocabulary
-            self.codes.append(np.array([number.setdefault(t, len(number)) for t in found], np.int64))
+            self.codes.append(np.array([number.setdefault(t, len(number)) for t in found], np.uint32))
             self.ids.append(doc_id)
             self.lengths.append(len(found))
             self.total += len(found)
@@ -94,7 +95,7 @@ class ShardBuilder:
     def full(self) -> bool:
         return len(self.ids) >= SHARD_DOCS or self.total >= SHARD_TERMS
 
-    def rows(self, shard: int) -> dict[str, list]:
+    def rows(self, shard: int) -> Iterator[dict[str, list]]:
         lengths = np.array(self.lengths, np.int64)
         order = np.argsort(lengths, kind="stable")
         place = np.empty(len(order), np.int64)
@@ -123,14 +124,17 @@ class ShardBuilder:
         block_at, block_to = np.searchsorted(blocks, lists), np.searchsorted(blocks, ends)
         doc_to, tf_to = doc_ends[ends - 1], tf_ends[ends - 1]
         doc_at, tf_at = np.append(0, doc_to[:-1]), np.append(0, tf_to[:-1])
-        cut = lambda x, a, b: [x[i:j].tobytes() for i, j in zip(a.tolist(), b.tolist())]
+        fields = _arrow(INDEX).names
         ids = [self.ids[i] for i in order.tolist()]
         head = [shard, None, len(ids), *[None] * 7, self.total, np.array([0 if i is None else i for i in ids], "<i8").tobytes(),
                 np.array([i is not None for i in ids], np.uint8).tobytes(), lengths[order].astype("<u4").tobytes()]
-        columns = [[shard] * len(names), [t.decode("utf-8") for t in names], (ends - lists).tolist(),
-                   *(cut(x, block_at, block_to) for x in of_block), cut(docs, doc_at, doc_to), cut(tfs, tf_at, tf_to),
-                   *([None] * len(names) for _ in range(4))]
-        return {name: [h, *c] for name, h, c in zip(_arrow(INDEX).names, head, columns)}
+        yield {name: [value] for name, value in zip(fields, head)}
+        for at in range(0, len(names), ROWS):
+            of = slice(at, at + ROWS)
+            cut = lambda x, a, b: [x[i:j].tobytes() for i, j in zip(a[of].tolist(), b[of].tolist())]  # noqa: E731, B023
+            some = [t.decode("utf-8") for t in names[of]]
+            yield dict(zip(fields, [[shard] * len(some), some, (ends - lists)[of].tolist(), *(cut(x, block_at, block_to) for x in of_block),
+                                    cut(docs, doc_at, doc_to), cut(tfs, tf_at, tf_to), *([None] * len(some) for _ in range(4))]))
 
 
 def _building(batches):
@@ -143,10 +147,10 @@ def _building(batches):
         for doc_id, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
             builder.add(doc_id, text)
             if builder.full():
-                yield batch(builder.rows(shard))
+                yield from map(batch, builder.rows(shard))
                 builder, shard = ShardBuilder(), shard + 1
     if builder.ids:
-        yield batch(builder.rows(shard))
+        yield from map(batch, builder.rows(shard))
 
 
 def build(docs: DataFrame, name: str = "lexical-index") -> DataFrame:
