@@ -107,7 +107,41 @@ def q_lineage_uuid5(spark, sf):
     return run_dates(spark, sf).select("run_id", uuid5(F.col("run_id")).alias("lineage_run_id"))
 
 
+def broken_log(spark: SparkSession, sf: str) -> str:
+    """A log with one event per order, in six shapes by key: alone on a line, over several lines, behind other text, in an
+    array with a value that is no event, cut off in a string, and cut off after an object within it."""
+    from tidepool.session import scratch_path
+    from tidepool.sources.tables import driver_table
+    orders = driver_table(spark, sf, "orders", "o_orderkey", "o_orderstatus", "o_orderdate", "o_orderpriority")
+    state = F.element_at(F.create_map(*[F.lit(x) for x in ("O", "START", "F", "COMPLETE", "P", "FAIL")]), F.col("o_orderstatus"))
+    event = F.to_json(F.struct(state.alias("eventType"), F.date_format("o_orderdate", "yyyy-MM-dd").alias("eventTime"),
+                               F.struct(F.col("o_orderpriority").alias("name")).alias("job")))
+    shape = F.pmod("o_orderkey", F.lit(6))
+    text = (F.when(shape == 0, event)
+            .when(shape == 1, F.replace(event, F.lit(","), F.lit(",\n ")))
+            .when(shape == 2, F.concat(F.lit('worker 3" {ready} '), event, F.lit("}")))
+            .when(shape == 3, F.concat(F.lit("["), event, F.lit(", 7]")))
+            .when(shape == 4, F.concat(F.lit('{"note": "cut {'), F.col("o_orderpriority")))
+            .otherwise(F.concat(F.lit('{"job": {"name": "lost"}, '), event)))
+    path = scratch_path(spark, "broken-log")
+    orders.select(text.alias("value")).write.text(path)
+    return path
+
+
+def q_lineage_broken_log(spark, sf):
+    """What can be read of a log with cut and mixed lines; an object left by a cut event has no type."""
+    events = lineage.project(lineage.read_events(spark, broken_log(spark, sf)))
+    return events.groupBy("eventType", "job_name", "eventTime").agg(F.count(F.lit(1)).alias("n_events"))
+
+
+def q_lineage_check(spark, sf):
+    """How often each required state was logged."""
+    return lineage.state_counts(lineage.read_events(spark, broken_log(spark, sf)))
+
+
 QUERIES = {
+    "lineage_broken_log": q_lineage_broken_log,
+    "lineage_check": q_lineage_check,
     "lineage_uuid5": q_lineage_uuid5,
     "lineage_trail": q_lineage_trail,
     "lineage_states": q_lineage_states,
@@ -134,7 +168,23 @@ events AS (
   UNION ALL SELECT run_id, 'restaurant_delivery_pipeline', 'COMPLETE' FROM runs WHERE NOT bad)
 """
 
+# Of an order whose event was cut after an inner object, that object and the whole event in it are left.
+_LOGGED = """
+WITH logged AS (
+  SELECT o_orderkey % 6 AS shape, CASE o_orderstatus WHEN 'O' THEN 'START' WHEN 'F' THEN 'COMPLETE' WHEN 'P' THEN 'FAIL' END AS state,
+    strftime(o_orderdate, '%Y-%m-%d') AS day, o_orderpriority AS job FROM orders),
+found AS (
+  SELECT state, day, job FROM logged WHERE shape <> 4
+  UNION ALL SELECT NULL, NULL, NULL FROM logged WHERE shape = 5)
+"""
+
 ORACLE = {
+    "lineage_broken_log": _LOGGED + """
+SELECT coalesce(state, 'UNKNOWN') AS eventType, coalesce(job, 'UNKNOWN') AS job_name, coalesce(day, 'UNKNOWN') AS eventTime, count(*) AS n_events
+FROM found GROUP BY ALL""",
+    "lineage_check": _LOGGED + """
+SELECT s AS eventType, count(state) AS n_events, count(state) > 0 AS logged
+FROM (VALUES ('START'), ('COMPLETE'), ('FAIL')) r(s) LEFT JOIN found ON state = s GROUP BY s""",
     "lineage_trail": _EVENTS + """
 SELECT run_id, job_name, count(*) AS n_events, coalesce(max(state) FILTER (state <> 'START'), 'START') AS last_state
 FROM events GROUP BY run_id, job_name""",
