@@ -1,24 +1,14 @@
-"""BM25 keyword retrieval as joins and aggregations.
+"""Tokens and postings for BM25 keyword retrieval.
 
 Okapi BM25 with k1 = 1.5, b = 0.75 and the epsilon floor: a token whose idf
 is negative gets ``epsilon * mean idf`` (mean over the whole vocabulary).
-
-Plan shape for a table of queries against a corpus of chunks:
-1. postings ``(chunk, token, tf, dl)``: explode + partial-aggregated group-by.
-2. vocabulary ``(token, df)``: group-by over postings; corpus stats in one row.
-3. query tokens join the vocabulary first (small side), then the postings
-   (only postings of query tokens survive; the query side is small and
-   broadcast when AQE sees it is).
-4. per (query, chunk) sums in exact fixed point, so a score never depends on
-   the order partial sums meet; the k zero-score fillers join the same
-   aggregation; top-k per query via ``row_number`` (a ``WindowGroupLimit``).
+``search_index`` stores the postings and answers queries from them.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window as W
 
 from tidepool.functions.text import tokenize
 
@@ -39,8 +29,7 @@ def postings(chunks: DataFrame, id_cols=("chunk_id", "doc_id", "start"), text_co
 
     Term frequencies are counted inside each chunk row (sort the tokens, then
     measure the runs), so a chunk's postings never leave its partition: no
-    shuffle here, and downstream per-(query, chunk) partial sums collapse all
-    of a chunk's token contributions before any exchange.
+    shuffle here.
     """
     srt = chunks.select(*id_cols, F.array_sort(_tokens(chunks, text_col, tokens_col)).alias("_s")) \
         .withColumn("dl", F.size("_s"))
@@ -54,95 +43,7 @@ def postings(chunks: DataFrame, id_cols=("chunk_id", "doc_id", "start"), text_co
     return st.select(*id_cols, "dl", F.explode(pairs).alias("_p")).select(*id_cols, "dl", "_p.token", "_p.tf")
 
 
-def corpus_stats(chunks: DataFrame, text_col: str = "text", tokens_col: str = "c_tokens") -> DataFrame:
-    """One row: ``n_docs`` (chunks) and ``avgdl`` (mean token count)."""
-    return chunks.select(F.size(_tokens(chunks, text_col, tokens_col)).alias("dl")).agg(
-        F.count(F.lit(1)).alias("n_docs"), (F.sum("dl") / F.count(F.lit(1))).alias("avgdl"))
-
-
-def vocabulary(post: DataFrame, n_docs: int) -> DataFrame:
-    """``(token, df_t, idf_raw, idf)`` with the epsilon floor applied.
-
-    The document frequencies are written once under the checkpoint folder:
-    the mean idf (one number) and the idf column both read that table
-    instead of aggregating the postings twice.
-    """
-    from tidepool.session import materialize
-    df = materialize(post.groupBy("token").agg(F.count(F.lit(1)).alias("df_t")), "vocabulary")
-    raw = F.log(F.lit(float(n_docs)) - F.col("df_t") + 0.5) - F.log(F.col("df_t") + 0.5)
-    vocab = df.withColumn("idf_raw", raw)
-    mean_idf = vocab.agg(F.avg("idf_raw")).collect()[0][0] or 0.0
-    return vocab.withColumn("idf", F.when(F.col("idf_raw") < 0, F.lit(mean_idf * EPSILON))
-                            .otherwise(F.col("idf_raw")))
-
-
 def query_tokens(queries: DataFrame, id_col: str = "query_id", text_col: str = "text") -> DataFrame:
     """``(query_id, token, qtf)``: query tokens with repeat counts (repeats add up)."""
     return queries.select(id_col, F.explode(tokenize(F.col(text_col))).alias("token")) \
         .groupBy(id_col, "token").agg(F.count(F.lit(1)).alias("qtf"))
-
-
-# Scores are summed as exact fixed-point integers (units of 1e-12): the sum
-# is then independent of the order partial sums meet, and long arithmetic
-# stays in generated code (a decimal(38, s) sum would fall back to BigDecimal).
-SCORE_SCALE = 1e12
-
-
-def contributions(post: DataFrame, vocab: DataFrame, qtok: DataFrame, avgdl: float,
-                  id_cols=("chunk_id", "doc_id", "start"), broadcast_queries: bool = False) -> DataFrame:
-    """``(query_id, *id_cols, units)``: one row per (query, chunk, shared token).
-
-    ``broadcast_queries`` marks the query-token side as size-checked small, so
-    the postings stream through a broadcast hash join and keep their
-    partitioning.
-    """
-    qv = qtok.join(vocab.select("token", "idf"), "token")
-    joined = post.join(F.broadcast(qv) if broadcast_queries else qv, "token")
-    tf = F.col("tf").cast("double")
-    norm = F.lit(K1) * (F.lit(1 - B) + F.lit(B) * F.col("dl") / F.lit(float(avgdl)))
-    contrib = F.col("qtf") * F.col("idf") * (tf * (K1 + 1) / (tf + norm))
-    return joined.select("query_id", *id_cols, F.floor(contrib * SCORE_SCALE).alias("units"))
-
-
-def _sum_units(rows: DataFrame, id_cols) -> DataFrame:
-    return rows.groupBy("query_id", *id_cols).agg(
-        (F.sum("units") / F.lit(SCORE_SCALE)).alias("score"))
-
-
-def first_chunks(chunks: DataFrame, k: int, order_cols=("doc_id", "start")) -> list:
-    """The first k chunks in corpus order (a distributed top-k, k rows to the driver)."""
-    return chunks.select("chunk_id", *order_cols).orderBy(*order_cols).limit(k).collect()
-
-
-BROADCAST_BYTES = 16 << 20
-
-
-def search(chunks: DataFrame, queries: DataFrame, k: int = 10,
-           order_cols=("doc_id", "start"), broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
-    """Whole BM25 search: ``(query_id, chunk_id, doc_id, start, score, rank)``.
-
-    Scoring runs on the numeric chunk position ``order_cols``; the sums per query and
-    chunk are partial-aggregated, then shuffled.  The query side and the winners are
-    broadcast only while their bytes, measured first, are within ``broadcast_bytes``;
-    beyond that Spark joins by shuffle.  Ids are attached to the k winners per query only.
-    """
-    keys = tuple(order_cols)
-    post = postings(chunks, id_cols=keys)
-    stats = corpus_stats(chunks).collect()[0]
-    vocab = vocabulary(post, stats["n_docs"])
-    qtok = query_tokens(queries)
-    need = qtok.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("token") + 64), F.lit(0))).first()
-    small = need[1] <= broadcast_bytes and queries.count() * k * 64 <= broadcast_bytes
-    contrib = contributions(post, vocab, qtok, stats["avgdl"], id_cols=keys, broadcast_queries=small)
-    first = first_chunks(chunks, k, keys)
-    if first:
-        # the k filler positions (a proven bound) as a literal array on every query row
-        fill = F.array(*[F.struct(*[F.lit(r[c]).alias(c) for c in keys]) for r in first])
-        pads = queries.select("query_id", F.explode(fill).alias("_p")) \
-            .select("query_id", *[F.col(f"_p.{c}").alias(c) for c in keys])
-        contrib = contrib.unionByName(pads.withColumn("units", F.lit(0).cast("bigint")))
-    scored = _sum_units(contrib, keys)
-    w = W.partitionBy("query_id").orderBy(F.desc("score"), *keys)
-    top = scored.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
-    # the winners are at most (queries x k) rows
-    return (F.broadcast(top) if small else top).join(chunks.select("chunk_id", *keys), list(keys))

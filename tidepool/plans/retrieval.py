@@ -11,8 +11,9 @@ from pyspark.sql import functions as F
 from tidepool.functions.embed import with_hashed_embedding
 from tidepool.functions.text import WS_CLASS, tokenize, tokenize_collapsed
 from tidepool.operators import bm25, chunking, fusion, vector
+from tidepool.operators.search_index import SearchIndex
 from tidepool.session import scratch_path
-from tidepool.sources.tables import append_new_by_key, driver_table, spread
+from tidepool.sources.tables import driver_table, spread
 
 TOP_K = 10
 RERANK_K = 3
@@ -31,27 +32,25 @@ def chunks(spark: SparkSession, sf: str) -> DataFrame:
     return chunking.chunk(documents(spark, sf))
 
 
-def chunk_vectors(spark: SparkSession, sf: str) -> DataFrame:
-    """Chunks with default embeddings, written once under the checkpoint folder:
-    BM25, dense search and rerank all read the same materialised set.
+_INDEXES: dict[tuple, SearchIndex] = {}
 
-    Rebalanced by chunk position (doc_id, start): one huge document is spread over
-    tasks, and partitions are cut by their size, whatever the corpus'.  Tokens are not stored: they are one split of
-    the (already collapsed) chunk text, cheaper to redo on read than to write.
-    """
-    from tidepool.session import materialize
-    ch = chunks(spark, sf).hint("rebalance", F.col("doc_id"), F.col("start")) \
-        .withColumn("c_tokens", tokenize_collapsed(F.col("text")))
-    vec = with_hashed_embedding(ch, "c_tokens", "cvec").drop("c_tokens")
-    stored = materialize(vec, "chunk-vectors")
-    return stored.withColumn("c_tokens", tokenize_collapsed(F.col("text")))
 
+def corpus_index(spark: SparkSession, sf: str) -> SearchIndex:
+    """The search index of ``documents``, written once per application and state of the table's files."""
+    files = spark.read.parquet(f"{sf.rstrip('/')}/documents.parquet").select(
+        "_metadata.file_path", "_metadata.file_size", "_metadata.file_modification_time").distinct()
+    state = files.agg(F.count(F.lit(1)), F.sum(F.xxhash64(*files.columns).cast("decimal(38,0)"))).first()
+    key = (spark.sparkContext.applicationId, sf, *state)
+    if key not in _INDEXES:
+        index = SearchIndex(spark, scratch_path(spark, "search-index"))
+        index.add(chunks(spark, sf))
+        _INDEXES[key] = index
+    return _INDEXES[key]
 
-def chunk_tokens(spark: SparkSession, sf: str) -> DataFrame:
-    """The chunk corpus for keyword search, materialised once (BM25 reads it four times)."""
-    from tidepool.session import materialize
-    stored = materialize(chunks(spark, sf).hint("rebalance", F.col("doc_id"), F.col("start")), "chunk-text")
-    return stored.withColumn("c_tokens", tokenize_collapsed(F.col("text")))
+
+def tokenised(chunk_table: DataFrame) -> DataFrame:
+    """Tokens are not stored: they are one split of the (already collapsed) chunk text, cheaper to redo than to read."""
+    return chunk_table.withColumn("c_tokens", tokenize_collapsed(F.col("text")))
 
 
 def query_vectors(spark: SparkSession, sf: str) -> DataFrame:
@@ -60,10 +59,11 @@ def query_vectors(spark: SparkSession, sf: str) -> DataFrame:
 
 
 class Retrieval:
-    """The whole funnel for one corpus and query table: dense + BM25 -> RRF -> rerank."""
+    """The whole funnel for one corpus and query table: dense + BM25 -> RRF -> rerank, all from one written index."""
 
     def __init__(self, spark: SparkSession, sf: str, k: int = TOP_K, rerank_k: int = RERANK_K):
-        self.cv = chunk_vectors(spark, sf)
+        self.index = corpus_index(spark, sf)
+        self.cv = self.index.chunks()
         self.qv = query_vectors(spark, sf)
         self.k, self.rerank_k = k, rerank_k
         self._dense = self._keyword = None
@@ -76,7 +76,7 @@ class Retrieval:
 
     def keyword(self) -> DataFrame:
         if self._keyword is None:
-            self._keyword = self._keep(bm25.search(self.cv, self.qv, self.k), "bm25")
+            self._keyword = self._keep(self.index.keyword_top_k(self.qv, self.k), "bm25")
         return self._keyword
 
     def _keep(self, shortlist: DataFrame, name: str) -> DataFrame:
@@ -98,13 +98,20 @@ class Retrieval:
 
 def q_index_add(spark, sf):
     """The chunk index built in two adds that overlap, and added to once more without effect."""
-    path = scratch_path(spark, "index")
+    index = SearchIndex(spark, scratch_path(spark, "index"))
     whole = chunks(spark, sf)
     english = driver_table(spark, sf, "documents", "doc_id", "lang").where("lang = 'en'").select("doc_id")
-    append_new_by_key(whole.join(english, "doc_id", "left_semi").select(*whole.columns), path, ["chunk_id"])
-    append_new_by_key(whole, path, ["chunk_id"])
-    append_new_by_key(whole, path, ["chunk_id"])
-    return spark.read.parquet(path)
+    index.add(whole.join(english, "doc_id", "left_semi").select(*whole.columns))
+    index.add(whole)
+    index.add(whole)
+    return index.chunks().select(*whole.columns)
+
+
+def q_index_build(spark, sf):
+    """The whole index written anew; its totals."""
+    index = SearchIndex(spark, scratch_path(spark, "index"))
+    index.add(chunks(spark, sf))
+    return index.totals()
 
 
 def q_doc_concat(spark, sf):
@@ -125,14 +132,11 @@ def q_tokens(spark, sf):
 
 
 def q_bm25_stats(spark, sf):
-    ch = chunk_tokens(spark, sf)
-    post = bm25.postings(ch, id_cols=("chunk_id",))
-    n = bm25.corpus_stats(ch).collect()[0]["n_docs"]
-    return bm25.vocabulary(post, n).select("token", "df_t", F.round("idf", 6).alias("idf"))
+    return corpus_index(spark, sf).vocabulary().select("token", "df_t", F.round("idf", 6).alias("idf"))
 
 
 def bm25_hits(spark, sf, k=TOP_K):
-    return bm25.search(chunk_tokens(spark, sf), query_table(spark, sf), k)
+    return corpus_index(spark, sf).keyword_top_k(query_table(spark, sf), k)
 
 
 def q_bm25_topk(spark, sf):
@@ -140,7 +144,7 @@ def q_bm25_topk(spark, sf):
 
 
 def q_embed_hash(spark, sf):
-    cv = chunk_vectors(spark, sf)
+    cv = corpus_index(spark, sf).chunks()
     return cv.select("chunk_id", F.posexplode("cvec").alias("dim", "value")) \
         .where(F.col("value") != 0).withColumn("value", F.round(F.col("value").cast("double"), 6))
 
@@ -214,6 +218,7 @@ QUERIES = {
     "sentences": q_sentences,
     "chunks": q_chunks,
     "index_add": q_index_add,
+    "index_build": q_index_build,
     "tokens": q_tokens,
     "bm25_stats": q_bm25_stats,
     "bm25_topk": q_bm25_topk,
@@ -238,21 +243,20 @@ chunks AS (
   SELECT printf('%s_chunk_%04d', CAST(doc_id AS VARCHAR), start) AS chunk_id, doc_id,
          CAST(start AS INTEGER) AS start, array_to_string(list_slice(s, start + 1, start + 5), ' ') AS text
   FROM starts),
-ctoks AS (SELECT chunk_id, doc_id, start, list_filter(string_split(lower(text), ' '), lambda t: t <> '') AS t
+ctoks AS MATERIALIZED (SELECT chunk_id, doc_id, start, list_filter(string_split(lower(text), ' '), lambda t: t <> '') AS t
           FROM chunks),
-post AS (
+post AS MATERIALIZED (
   SELECT chunk_id, doc_id, start, CAST(len(t) AS INTEGER) AS dl, tok AS token, count(*) AS tf
   FROM (SELECT chunk_id, doc_id, start, t, unnest(t) AS tok FROM ctoks) x
   GROUP BY chunk_id, doc_id, start, dl, token),
 stats AS (SELECT count(*) AS n_docs, sum(len(t)) / count(*) AS avgdl FROM ctoks),
-vocab0 AS (
-  SELECT token, count(*) AS df_t,
-         ln((SELECT n_docs FROM stats) - count(*) + 0.5) - ln(count(*) + 0.5) AS idf_raw
-  FROM post GROUP BY token),
+frequencies AS (SELECT token, count(*) AS df_t FROM post GROUP BY token),
+vocab0 AS MATERIALIZED (
+  SELECT token, df_t, ln(n_docs - df_t + 0.5) - ln(df_t + 0.5) AS idf_raw FROM frequencies, stats),
+means AS (SELECT avg(idf_raw) AS mean_idf FROM vocab0),
 vocab AS (
-  SELECT token, df_t, idf_raw,
-         CASE WHEN idf_raw < 0 THEN (SELECT avg(idf_raw) FROM vocab0) * 0.25 ELSE idf_raw END AS idf
-  FROM vocab0),
+  SELECT token, df_t, idf_raw, CASE WHEN idf_raw < 0 THEN mean_idf * 0.25 ELSE idf_raw END AS idf
+  FROM vocab0, means),
 queries AS (SELECT item_id AS query_id, text FROM benchmark),
 qtok AS (
   SELECT query_id, tok AS token, count(*) AS qtf FROM (
@@ -391,3 +395,4 @@ FROM (SELECT doc_id, s, generate_subscripts(s, 1) AS i FROM sents)""",
     "bm25_topk": _R + "SELECT query_id, chunk_id, CAST(rank AS INTEGER) AS rank, round(score, 6) AS score FROM bm25",
 }
 ORACLE["index_add"] = ORACLE["chunks"]
+ORACLE["index_build"] = _R + "SELECT n_docs, sum(len(t))::BIGINT AS n_tokens, round(any_value(mean_idf), 6) AS mean_idf FROM ctoks, stats, means GROUP BY n_docs"
