@@ -232,15 +232,54 @@ ORACLE = {
 
 def q_stream_route_counts(spark, sf):
     """The route as a Structured Streaming query over the order table, drained
-    with ``availableNow``; counts read back from the two sink tables."""
+    with ``availableNow``; the rows sent are observed while the sinks are written."""
     from tidepool.session import scratch_path
-    from tidepool.streaming.route import order_file_source, route_counts, start_route
+    from tidepool.streaming.route import observed_counts, order_file_source, start_route
     base = scratch_path(spark, "stream-route")
-    q = start_route(order_file_source(spark, sf), f"{base}/valid", f"{base}/quarantine", f"{base}/_checkpoint")
+    q = start_route(order_file_source(spark, sf), f"{base}/valid", f"{base}/quarantine", f"{base}/_checkpoint", counts_path=f"{base}/counts")
     q.awaitTermination()
-    return route_counts(spark, f"{base}/valid", f"{base}/quarantine")
+    return observed_counts(spark, f"{base}/counts")
 
 
+POLL = 1_000_000
+
+
+def q_consume_polls(spark, sf):
+    """A consumer group drains the feed in polls of exactly ``POLL`` records (the last one fewer); what each took."""
+    from tidepool.session import scratch_path
+    from tidepool.streaming import consume, topic
+    base = scratch_path(spark, "consume")
+    topic.append(raw_feed(spark, sf), f"{base}/topic")
+
+    def sink(records, poll):
+        records.groupBy("partition").agg(F.count(F.lit(1)).alias("n_records"), F.min("offset").alias("first_offset"), F.max("offset").alias("last_offset")) \
+            .write.mode("overwrite").parquet(f"{base}/sink/poll={poll}")
+
+    n = spark.read.parquet(f"{base}/topic").count()
+    consume.consume(lambda: topic.scan(spark, f"{base}/topic"), f"{base}/group", sink, poll_records=min(POLL, -(-n // 3)), wait=0)
+    return spark.read.parquet(f"{base}/sink").select("poll", "partition", "n_records", "first_offset", "last_offset")
+
+
+def q_topic_gaps(spark, sf):
+    """S3: the feed's topic read back from offset 100 on, up to the last; the offsets that no order had."""
+    from tidepool.session import scratch_path
+    from tidepool.streaming import topic
+    path = scratch_path(spark, "topic")
+    topic.append(raw_feed(spark, sf), path)
+    ends = {r["partition"]: (100, r["last"] + 1) for r in raw_feed(spark, sf).groupBy("partition").agg(F.max("offset").alias("last")).collect()}
+    return topic.gaps(topic.between(spark, path, ends), ends)
+
+
+QUERIES["consume_polls"] = q_consume_polls
+QUERIES["topic_gaps"] = q_topic_gaps
+_TOPIC = f"WITH feed AS (SELECT o_orderkey % {N_PARTITIONS} AS p, o_orderkey // {N_PARTITIONS} AS o FROM orders)"
+ORACLE["consume_polls"] = _TOPIC + f"""
+SELECT poll::INT AS poll, p::INT AS partition, count(*) AS n_records, min(o) AS first_offset, max(o) AS last_offset FROM (
+  SELECT *, (row_number() OVER (ORDER BY o, p) - 1) // least({POLL}, (count(*) OVER () + 2) // 3) AS poll FROM feed)
+GROUP BY poll, p"""
+ORACLE["topic_gaps"] = _TOPIC + """,
+edges AS (SELECT p, o FROM feed WHERE o >= 100 UNION ALL SELECT DISTINCT p, 99 FROM feed)
+SELECT p::INT AS partition, o + 1 AS first, n AS after FROM (SELECT p, o, lead(o) OVER (PARTITION BY p ORDER BY o) AS n FROM edges) WHERE n > o + 1"""
 QUERIES["stream_route_counts"] = q_stream_route_counts
 ORACLE["stream_route_counts"] = _V + """SELECT 'valid' AS route, CAST(count_if(rejection_reason = '') AS BIGINT) AS n_rows
 FROM validated UNION ALL SELECT 'quarantine', CAST(count_if(rejection_reason <> '') AS BIGINT) FROM validated"""

@@ -129,7 +129,7 @@ def q_stream_upsert(spark, sf):
     update rows -> foreachBatch upsert into versioned Silver."""
     from tidepool.streaming import upsert as su
     base = scratch_path(spark, "stream-upsert")
-    su.init_table(dv.silver(spark, sf), base)
+    su.init_table(dv.silver(spark, sf), base, KEY)
     cols = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority"]
     schema = driver_table(spark, sf, "orders", *cols).schema
     stream = spark.readStream.schema(schema).option("pathGlobFilter", "orders.parquet") \

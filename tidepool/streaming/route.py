@@ -5,15 +5,15 @@ installed, a file stream of the order table turned into the same
 ``(topic, partition, offset, value)`` shape (``order_file_source``).
 
 Sink: ``foreachBatch`` validates each micro-batch once (persisted), appends
-accepted rows to the valid table and rejects to the quarantine table; batch
-counts are read back from the tables.  Offsets live in the query checkpoint, so a restarted query resumes exactly where it stopped; both
+accepted rows to the valid table and rejects to the quarantine table; the rows
+sent are counted by ``observe`` while they are written.  Offsets live in the query checkpoint, so a restarted query resumes exactly where it stopped; both
 file sinks are idempotent per batch id (``txnVersion`` style: each batch
 writes under its own ``batch_id`` partition and overwrites it on replay).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tidepool.operators import contract as ct
@@ -42,29 +42,43 @@ def order_file_source(spark: SparkSession, sf_dir: str, max_files_per_trigger: i
     return feed_from_orders(stream.select(*ORDER_COLUMNS))
 
 
-def _route_batch(valid_path: str, quarantine_path: str):
+def _route_batch(valid_path: str, quarantine_path: str, counts_path: str | None):
     def run(batch: DataFrame, batch_id: int) -> None:
         v = ct.validate(spread(batch)).persist()
         try:
-            tag = F.lit(batch_id).cast("bigint").alias("batch_id")
-            ct.accepted(v).select("*", tag).write.mode("overwrite") \
-                .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(valid_path)
-            ct.quarantined(v).select("*", tag).write.mode("overwrite") \
-                .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(quarantine_path)
+            tag, counts = F.lit(batch_id).cast("bigint").alias("batch_id"), []
+            for name, rows, path in (("valid", ct.accepted(v), valid_path), ("quarantine", ct.quarantined(v), quarantine_path)):
+                seen = Observation(name)
+                rows.select("*", tag).observe(seen, F.count(F.lit(1)).alias("n")).write.mode("overwrite") \
+                    .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(path)
+                counts.append((name, seen.get["n"], batch_id))
         finally:
             v.unpersist()
+        if counts_path:
+            # the batch's own folder, written over by a replay
+            batch.sparkSession.createDataFrame(counts, COUNTS).coalesce(1).write.mode("overwrite") \
+                .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(counts_path)
     return run
 
 
+COUNTS = "route string, n_rows bigint, batch_id bigint"
+
+
 def start_route(source: DataFrame, valid_path: str, quarantine_path: str, checkpoint: str,
-                available_now: bool = True):
-    """Start the routing query (``availableNow`` drains what is there and stops)."""
-    w = source.writeStream.foreachBatch(_route_batch(valid_path, quarantine_path)) \
+                available_now: bool = True, counts_path: str | None = None):
+    """Start the routing query (``availableNow`` drains what is there and stops).  ``counts_path`` gets the rows
+    sent to each route by batch, observed while they are written (V17, S4)."""
+    w = source.writeStream.foreachBatch(_route_batch(valid_path, quarantine_path, counts_path)) \
         .option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="10 seconds")
     return w.start()
 
 
+def observed_counts(spark: SparkSession, counts_path: str) -> DataFrame:
+    """``(route, n_rows)`` over all batches, from the observed counts: no sink is read."""
+    return spark.read.schema(COUNTS).parquet(counts_path).groupBy("route").agg(F.sum("n_rows").alias("n_rows"))
+
+
 def kafka_route_sink(validated: DataFrame, valid_topic: str, quarantine_topic: str) -> DataFrame:
     """S4/S5 for Kafka: one frame with a computed ``topic`` and JSON ``value`` column."""
     ok = F.size("errors") == 0
