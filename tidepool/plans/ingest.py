@@ -261,11 +261,12 @@ def q_consume_polls(spark, sf):
 
 
 def q_topic_gaps(spark, sf):
-    """S3: the feed's topic read back from offset 100 on, up to the last; the offsets that no order had."""
+    """S3: a topic without the orders in process, read back from offset 100 on up to the feed's last; the offsets that are missing."""
     from tidepool.session import scratch_path
     from tidepool.streaming import topic
     path = scratch_path(spark, "topic")
-    topic.append(raw_feed(spark, sf), path)
+    orders = driver_table(spark, sf, "orders", "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority")
+    topic.append(feed_from_orders(orders.where("o_orderstatus <> 'P'")), path)
     ends = {r["partition"]: (100, r["last"] + 1) for r in raw_feed(spark, sf).groupBy("partition").agg(F.max("offset").alias("last")).collect()}
     return topic.gaps(topic.between(spark, path, ends), ends)
 
@@ -278,7 +279,8 @@ SELECT poll::INT AS poll, p::INT AS partition, count(*) AS n_records, min(o) AS
   SELECT *, (row_number() OVER (ORDER BY o, p) - 1) // least({POLL}, (count(*) OVER () + 2) // 3) AS poll FROM feed)
 GROUP BY poll, p"""
 ORACLE["topic_gaps"] = _TOPIC + """,
-edges AS (SELECT p, o FROM feed WHERE o >= 100 UNION ALL SELECT DISTINCT p, 99 FROM feed)
+there AS (SELECT o_orderkey % 8 AS p, o_orderkey // 8 AS o FROM orders WHERE o_orderstatus <> 'P'),
+edges AS (SELECT p, o FROM there WHERE o >= 100 UNION ALL SELECT DISTINCT p, 99 FROM feed UNION ALL SELECT p, max(o) + 1 FROM feed GROUP BY p)
 SELECT p::INT AS partition, o + 1 AS first, n AS after FROM (SELECT p, o, lead(o) OVER (PARTITION BY p ORDER BY o) AS n FROM edges) WHERE n > o + 1"""
 QUERIES["stream_route_counts"] = q_stream_route_counts
 ORACLE["stream_route_counts"] = _V + """SELECT 'valid' AS route, CAST(count_if(rejection_reason = '') AS BIGINT) AS n_rows
