@@ -15,11 +15,13 @@ import re
 from hashlib import sha1
 from uuid import NAMESPACE_URL, uuid5
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidepool.llm.common import map_slices
 from tidepool.llm.html_layout import Node, parse, render
+from tidepool.session import ship_package
 
 VERSION = "WARC/1.1"
 CRLF = "\r\n"
@@ -138,19 +140,68 @@ def write(records: DataFrame, path: str, compression: str = "none") -> None:
     records.select(text.alias("value")).write.option("lineSep", CRLF * 2).option("compression", compression).text(path)
 
 
+_SEPARATOR = f"{CRLF}{CRLF}{VERSION}{CRLF}"
+_STATED = re.compile(r"(?:^|\n)Content-Length: ([0-9]{1,18})(?:\r|$)")
+
+
+def _rejoined(batches):
+    """Record texts of files whose pieces come in order: a piece that lacks bytes of its stated length takes the next ones."""
+    file, held, lacking = None, [], 0  # pieces of the record so far, and the bytes of its block that are still to come
+    for batch in batches:
+        out = []
+        for name, piece in zip(*(batch.column(c).to_pylist() for c in ("file", "value"))):
+            first = name != file
+            if first:
+                out += held  # a file that ends in the middle of a record: what came of it, piece by piece
+                file, held = name, []
+                piece = piece.removeprefix(VERSION + CRLF)
+            if held:
+                lacking -= len(_SEPARATOR) + len(piece.encode("utf-8"))
+                held.append(piece)
+                if lacking < 0 and not (lacking == -4 and piece.endswith(CRLF * 2)):
+                    out += held  # the stated length was wrong: every piece is taken for a record
+                    held = []
+                elif lacking <= 0:
+                    out.append(_SEPARATOR.join(held))
+                    held = []
+                continue
+            head, _, block = piece.partition(CRLF * 2)
+            stated = _STATED.search(head)
+            lacking = int(stated[1]) - len(block.encode("utf-8")) if stated else 0
+            if lacking > 0:
+                held = [piece]
+            else:
+                out.append(piece)
+        yield pa.RecordBatch.from_pydict({"v": pa.array(out, pa.string())})
+    yield pa.RecordBatch.from_pydict({"v": pa.array(held, pa.string())})
+
+
 def read(spark: SparkSession, path: str) -> DataFrame:
-    """Records of uncompressed WARC files, split at record starts; page_id is not stored and comes back null.
+    """Records of WARC files, plain or compressed (by the file's ending); page_id is not stored and comes back null.
 
-    ``whole`` tells whether the block has its stated length: false where a block held the
-    text of a record start and was cut there.
+    Files are split at record starts.  Where a block holds the text of a record start, its
+    record is cut there and lacks bytes of its stated length; only the files that hold
+    such a piece are put in order and their records joined again by the stated lengths.
+    ``whole`` tells whether the block has its stated length: false in a damaged file.
     """
-    rows = spark.read.option("lineSep", f"{CRLF}{CRLF}{VERSION}{CRLF}").text(path)
-    rows = rows.select(F.regexp_replace("value", rf"^{VERSION}{CRLF}", "").alias("v")).select(
-        F.substring_index("v", CRLF * 2, 1).alias("head"), "v")
+    ship_package(spark)
+    pieces = spark.read.option("lineSep", _SEPARATOR).text(path).select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("at"), F.monotonically_increasing_id().alias("nth"), "value")
+    plain = pieces.select("file", F.regexp_replace("value", rf"^{VERSION}{CRLF}", "").alias("v"))
+    odd = _parsed(plain).where("not coalesce(whole, false)").select("file").distinct()
+    joined = (pieces.join(odd, "file", "left_semi").repartition("file").sortWithinPartitions("file", "at", "nth")
+              .select("file", "value").mapInArrow(_rejoined, "v string"))
+    return _parsed(plain.join(odd, "file", "left_anti").select("v").unionByName(joined)).select(*_FIELDS, F.coalesce("whole", F.lit(False)).alias("whole"))
+
+
+def _parsed(records: DataFrame) -> DataFrame:
+    """The fields of record texts (v), with what else the rows have."""
+    rows = records.withColumn("head", F.substring_index("v", CRLF * 2, 1))
     block = F.expr("substring(v, length(head) + 5)")
     # the last record of a file still has the two line ends that close it
-    size = F.regexp_extract("head", r"Content-Length: (\d+)", 1).cast("long")
+    size = F.regexp_extract("head", r"(?:^|\n)Content-Length: ([0-9]{1,18})(?:\r|$)", 1).try_cast("long")
     block = F.when((F.octet_length(block) == size + 4) & block.endswith(CRLF * 2), F.expr("substring(v, length(head) + 5, length(v) - length(head) - 8)")).otherwise(block)
     value = {c: F.regexp_extract("head", rf"(?:^|\n){n}: ([^\r]*)", 1) for n, c in _HEADERS.items()}
-    return rows.select(F.lit(None).cast("long").alias("page_id"), *[F.when(x != "", x).alias(c) for c, x in value.items()],
-                       size.alias("content_length"), block.alias("block")).select(*_FIELDS, (F.octet_length("block") == F.col("content_length")).alias("whole"))
+    rows = rows.select("*", F.lit(None).cast("long").alias("page_id"), *[F.when(x != "", x).alias(c) for c, x in value.items()],
+                       size.alias("content_length"), block.alias("block"))
+    return rows.withColumn("whole", F.octet_length("block") == F.col("content_length"))
