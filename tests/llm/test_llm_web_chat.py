@@ -144,6 +144,41 @@ def test_layout_of_hostile_pages(page):
     assert isinstance(html_layout.render(page), str)
 
 
+@pytest.mark.parametrize("page,text", [
+    ('<style>.x{display:none}</style><p class="x" style="display:block">hi</p>', "hi"), ("<style>.x{display:none} #y{display:block}</style><p class=x id=y>hi", "hi"),
+    ("<style>#y{display:block} .x{display:none}</style><p class=x id=y>hi", "hi"), ("<style>.x{display:none !important} #y{display:block}</style><p class=x id=y>hi", ""),
+    ('<style>.x{display:none!important}</style><p class=x style="display:block">hi', ""), ("<style>div.ad{display:none}</style><div class=ad>no</div><p class=ad>yes", "yes"),
+    ("<style>.a.b{display:none}</style><p class='b a'>no<p class=a>yes", "yes"), ("<style>*{visibility:hidden} b{visibility:visible}</style><p>no <b>yes</b>", "yes"),
+    ("<style>nav .ad{display:none}</style><p class=ad>yes", "yes"), ("<style>.x{.y{display:none}}</style><p class=y>yes", "yes"),
+    ("<style>p{color:red;display:none}</style><p>no<div>yes", "yes"), ("<p hidden style='display:block'>yes", "yes"), ("<style>p{display:block}</style><p hidden>yes", "yes"),
+    ("a<!-->b<!-- c -->d", "abd"), ("a<!--->b<!-- c -->d", "abd"), ("a<!-- x --!>b", "ab"), ("a<!-- x", "a"), ("a<!--x--->b", "ab"),
+    ("<ol reversed><li>c<li>b<li>a</ol>", "3. c\n2. b\n1. a"), ("<ol><li value=5>x<li>y<li value=-2>z<li>w</ol>", "5. x\n6. y\n-2. z\n-1. w"),
+    ("<ol start=" + "9" * 5000 + "><li>x</ol>", "1000000000. x"), ("<ul><li>a<ul><li>b</ul></ul>", "- a\n  - b"),
+])
+def test_probed_pages(page, text):
+    assert html_layout.render(page) == text
+
+
+def test_columns_line_up():
+    """Long cells are wrapped, so that the next column begins at one place; no word is lost; wide spans keep later cells in place."""
+    long = " ".join(["lorem"] * 9)
+    lines = html_layout.render(f"<table><tr><td>{long}<td>b<tr><td>s<td>c</table>").split("\n")
+    assert lines[0].index("b") == lines[-1].index("c") and " ".join(" ".join(lines).replace("b", "").replace("c", "").split()) == f"{long} s"
+    one = "x" * 60
+    assert html_layout.render(f"<table><tr><td>{one}<td>b<tr><td>s<td>c</table>") == f"{one}  b\n" + "s".ljust(42) + "c"
+    assert html_layout.render(f"<table><tr><td>{long}</table>") == long  # the only column is left as it is
+    rows = html_layout.render("<table><tr>" + "<td>a" * 120 + "<tr><td colspan=119>w<td>z</table>").split("\n")
+    assert rows[0].rindex("a") == rows[1].index("z")
+
+
+def test_open_braces_take_linear_time():
+    import time
+    start = time.process_time()
+    for css in ("a{" * 100_000, "a{;" * 100_000 + "}" * 100_000, "@media screen{" * 50_000, "{}" * 100_000):
+        html_layout.render(f"<style>{css}</style><p>x")
+    assert time.process_time() - start < 20
+
+
 def test_extract_rows(spark):
     df = spark.createDataFrame([(1, "u", "<p>a"), (None, None, None), (1, "u", "<p>a")], "page_id long, text string, html string")
     assert sorted(map(str, html_layout.extract(df).collect())) == sorted(map(str, [

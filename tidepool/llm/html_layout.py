@@ -5,10 +5,13 @@ head) and nests at most ``DEEPEST`` levels, as browsers do.  The renderer walks
 tree without recursion.  It leaves out what is not shown: head, scripts, templates,
 what noscript, iframe, object, audio, video, canvas, datalist, noembed and noframes
 hold in place of their content, of svg all but its text elements, the annotations of
-math, the options of a select that are not shown at first, closed details, ``hidden``, and ``display:none`` / ``visibility:hidden`` from style
-attributes or from simple rules (one tag, class or id) of the page's own styles.
+math, the options of a select that are not shown at first, closed details, and what ``hidden``, ``display`` or ``visibility`` take away,
+from style attributes and from rules of the page's own styles for tags, classes, ids and several of them on one element;
+important values come before others, a style attribute before rules, ids before classes before tags, and later rules before
+earlier ones.  Rules for an element's place in the tree (as ``nav .ad``) are passed over.
 Blocks begin on lines of their own, paragraphs and the like stand apart by an empty
-line, list items have markers and indents, and table cells are padded to columns.
+line, list items have markers and indents, and table cells are padded to columns; a cell with others to its right is
+wrapped between words at ``COLUMN`` characters.
 """
 
 from __future__ import annotations
@@ -21,8 +24,8 @@ from pyspark.sql import DataFrame
 
 from tidepool.llm.common import map_slices
 
-DEEPEST, INDENTS, WIDEST = 512, 20, 40  # nesting; list indents drawn; cells up to this length are padded
-MOST_SPAN = 100  # columns or rows that one cell may span
+DEEPEST, COLUMN = 512, 40  # nesting; characters after which a cell is wrapped
+MOST_SPAN = {"colspan": 1000, "rowspan": 65534}  # as in the standard of HTML
 
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 RAW = frozenset("script style title textarea xmp iframe noembed noframes".split())
@@ -44,12 +47,11 @@ CLOSES = {
 _TABLE_PARTS = frozenset("table thead tbody tfoot tr td th caption".split())
 
 _TAG = re.compile(r"""<(/?)([A-Za-z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*+)>|<(/?)([A-Za-z][^\s/>]*)([^>]*)>""")
-_OTHER = re.compile(r"<!--(?:(?s:.*?)-->|(?s:.*)\Z)|<[!?/][^>]*>")
+_OTHER = re.compile(r"<!--(?:-?>|(?s:.*?)--!?>|(?s:.*)\Z)|<[!?/][^>]*>")
 _ATTRIBUTE = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 _SPACE = re.compile(r"[ \t\n\r\f]+")
 _DECLARED = re.compile(r"(?:^|(?<=[;\s]))(display|visibility)\s*:\s*([\w-]+)[^;!]*(!\s*important)?", re.I)
-_GONE = re.compile(r"display\s*:\s*none", re.I)
-_HIDDEN, _SHOWN = re.compile(r"visibility\s*:\s*(?:hidden|collapse)", re.I), re.compile(r"visibility\s*:\s*visible", re.I)
+_SELECTOR = re.compile(r"(?:\*|[a-z][\w-]*)?((?:[.#][\w-]+)*)", re.I)
 
 
 class Node:
@@ -124,7 +126,8 @@ def parse(source: str) -> Node:
     while True:
         i = source.find("<", at)
         if i < 0 or i > last:
-            add(source[at:])
+            cut = source.find("<!--", at)  # a comment that nothing closes
+            add(source[at:cut] if cut >= 0 else source[at:])
             return root
         found = _TAG.match(source, i)
         if not found:
@@ -163,7 +166,7 @@ class Flow:
             if self.gap > 1 and self.lines:
                 self.lines.append("")
             self.gap = 0
-            self.line.append("  " * min(self.indent, INDENTS) + self.marker)
+            self.line.append("  " * self.indent + self.marker)
             if self.marker:
                 self.marker = " " * len(self.marker)
 
@@ -207,9 +210,33 @@ class Flow:
         return self.lines
 
 
+def _number(text: str | None, least: int, most: int, otherwise: int) -> int:
+    """A whole number held between two bounds, whatever its number of digits."""
+    found = re.match(r"\s*([+-]?)0*([0-9]+)", text or "")
+    if not found:
+        return otherwise
+    value = int(found[2]) if len(found[2]) < 10 else 10 ** 10
+    return min(max(-value if found[1] == "-" else value, least), most)
+
+
 def _span(node: Node, name: str) -> int:
-    value = node.get(name) or ""
-    return min(max(int(value), 1), MOST_SPAN) if value.isascii() and value.isdigit() and len(value) < 6 else 1
+    return _number(node.get(name), 1, MOST_SPAN[name], 1)
+
+
+def _wrapped(lines: list[str]) -> list[str]:
+    """Lines cut between words so that they have at most ``COLUMN`` characters, or one word."""
+    out = []
+    for line in lines:
+        while len(line) > COLUMN:
+            cut = line.rfind(" ", 1, COLUMN + 1)
+            if cut < 0 or not line[:cut].strip(" "):
+                cut = line.find(" ", len(line) - len(line.lstrip(" ")))
+                if cut < 0:
+                    break
+            out.append(line[:cut].rstrip(" "))
+            line = line[cut + 1:]
+        out.append(line)
+    return out
 
 
 def draw_table(rows: list[list[tuple[list[str], int, int]]]) -> list[str]:
@@ -217,10 +244,10 @@ def draw_table(rows: list[list[tuple[list[str], int, int]]]) -> list[str]:
     placed, busy = [], {}  # busy: columns still taken by a cell of an earlier row
     for row in rows:
         out, col = [], 0
-        for lines, wide, high in row:
+        for nth, (lines, wide, high) in enumerate(row, 1):
             while busy.get(col, 0) > 0:
                 col += 1
-            out.append((col, wide, lines))
+            out.append((col, wide, _wrapped(lines) if nth < len(row) else lines))
             for c in range(col, col + wide):
                 busy[c] = busy.get(c, 0) + high
             col += wide
@@ -228,11 +255,12 @@ def draw_table(rows: list[list[tuple[list[str], int, int]]]) -> list[str]:
         busy = {c: n - 1 for c, n in busy.items() if n > 1}
     widths: dict[int, int] = {}
     for row in placed:
-        for col, wide, lines in row:
+        for nth, (col, wide, lines) in enumerate(row, 1):
             size = max(map(len, lines), default=0)
             widths.setdefault(col, 0)
-            if wide == 1 and size <= WIDEST:
-                widths[col] = max(widths[col], size)
+            # a last cell needs no width; a longer word than the column pushes only its own row
+            if wide == 1 and (nth < len(row) or size <= COLUMN):
+                widths[col] = max(widths[col], min(size, COLUMN))
     starts, at = {}, 0
     for col in range(max(widths, default=-1) + 1):
         starts[col] = at
@@ -288,46 +316,89 @@ def _on_screen(media: str) -> bool:
 def _rules(css: str):
     """(selectors, declarations) of the rules that hold without a condition, in order; blocks are found by brace depth."""
     css = re.sub(r"/\*.*?(?:\*/|\Z)", " ", css, flags=re.S)
-    held, at = [], 0  # of each open block, whether rules within it hold
+    held, at = [], 0  # of each open block: whether rules within it hold, its selectors if it is a rule itself, its declarations
     for brace in re.finditer(r"[{};]", css):
         text, sign = css[at:brace.start()], brace.group()
+        at = brace.end()
         if sign == "{":
             head = text.strip()
             rule = re.match(r"@([\w-]+)(.*)", head, re.S)
             inner = rule and (rule[1].lower() == "layer" or rule[1].lower() == "media" and _on_screen(rule[2]))
-            held.append((all(h for h, _, _ in held) and (not rule or bool(inner)), None if rule else head, brace.end()))
-        elif sign == "}":
-            if held:
-                holds, head, begin = held.pop()
+            around = not held or held[-1][0] and held[-1][1] is None  # a rule within a rule is one for a place in the tree
+            held.append((around and (not rule or bool(inner)), None if rule else head, []))
+        elif held:
+            held[-1][2].append(text)
+            if sign == "}":
+                holds, head, declared = held.pop()
                 if holds and head is not None:
-                    yield head, css[begin:brace.start()]
-        elif held and held[-1][1] is not None:
-            continue
-        at = brace.end()
+                    yield head, ";".join(declared)
 
 
-def _style_rules(root: Node) -> tuple[set[str], set[str]]:
-    """Simple selectors (tag, .class, #id) of the page's styles that take boxes away, and that hide them.
+class Styles:
+    """What a page's own rules say of display and visibility, found by the last name of a selector."""
 
-    Of several values for one selector the last counts, or the last important one;
-    rules under a condition that a screen need not meet are passed over.
-    """
-    values: dict[tuple[str, str], tuple[bool, str]] = {}
-    nodes = [root]
-    while nodes:
-        node = nodes.pop()
-        if isinstance(node, str):
-            continue
-        if node.tag == "style" and _on_screen(node.get("media") or ""):
-            for names, body in _rules("".join(c for c in node.children if isinstance(c, str))):
-                for name, value, important in _DECLARED.findall(body):
-                    for n in names.split(","):
-                        key = (n.strip(), name.lower())
-                        if re.fullmatch(r"[.#]?[\w-]+", key[0]) and (important or not values.get(key, (False, ""))[0]):
-                            values[key] = (bool(important), value.lower())
-        nodes.extend(reversed(node.children))
-    return ({n for (n, name), (_, v) in values.items() if name == "display" and v == "none"},
-            {n for (n, name), (_, v) in values.items() if name == "visibility" and v in ("hidden", "collapse")})
+    def __init__(self, root: Node):
+        self.by_name: dict[str, list[tuple]] = {}
+        nodes: list = [root]
+        count = 0
+        while nodes:
+            node = nodes.pop()
+            if isinstance(node, str):
+                continue
+            if node.tag == "style" and _on_screen(node.get("media") or ""):
+                for selectors, body in _rules("".join(c for c in node.children if isinstance(c, str))):
+                    declared = _DECLARED.findall(body)
+                    for selector in selectors.split(",") if declared else ():
+                        names = self._names(selector.strip())
+                        for name, value, important in declared if names else ():
+                            count += 1
+                            weight = (bool(important), sum(n[0] == "#" for n in names), sum(n[0] == "." for n in names), sum(n[0] not in ".#*" for n in names), count)
+                            self.by_name.setdefault(names[-1], []).append((frozenset(names), name.lower(), value.lower(), weight))
+            nodes.extend(reversed(node.children))
+
+    @staticmethod
+    def _names(selector: str) -> list[str]:
+        """Tag, classes and ids that a selector asks of one element; none for selectors of other kinds."""
+        found = _SELECTOR.fullmatch(selector) if selector else None
+        if not found:
+            return []
+        tag = selector[:found.start(1)].lower()
+        return ([tag] if tag else []) + re.findall(r"[.#][\w-]+", found[1])
+
+    def of(self, node: Node) -> dict[str, str]:
+        """display and visibility of an element, where its rules, its style attribute or ``hidden`` give them."""
+        best: dict[str, tuple] = {}
+
+        def say(name, value, weight):
+            if name not in best or weight > best[name][0]:
+                best[name] = (weight, value)
+
+        if node.attributes and node.get("hidden") is not None:
+            say("display", "none", (False, -1, 0, 0, 0))
+        if self.by_name:
+            names = {node.tag, "*"}
+            if node.attributes:
+                names.update("." + c for c in (node.get("class") or "").split())
+                if node.get("id"):
+                    names.add("#" + node.get("id"))
+            for last in names & self.by_name.keys():
+                for needed, name, value, weight in self.by_name[last]:
+                    if needed <= names:
+                        say(name, value, weight)
+        if node.attributes and (style := node.get("style")):
+            for nth, (name, value, important) in enumerate(_DECLARED.findall(style)):
+                say(name.lower(), value.lower(), (bool(important), 1 << 20, 0, 0, nth))
+        return {name: value for name, (_, value) in best.items()}
+
+
+_FAR = 10 ** 9
+
+
+def _numbering(node: Node) -> tuple[int, int]:
+    """First number and step of a numbered list; a reversed one counts down to 1."""
+    down = node.get("reversed") is not None
+    items = sum(isinstance(c, Node) and c.tag == "li" for c in node.children)
+    return _number(node.get("start"), -_FAR, _FAR, items if down else 1), -1 if down else 1
 
 
 def render(source: str | None) -> str:
@@ -335,15 +406,7 @@ def render(source: str | None) -> str:
     if not source:
         return ""
     root = parse(source)
-    gone, hidden = _style_rules(root)
-
-    def names(node):
-        yield node.tag
-        for c in (node.get("class") or "").split():
-            yield "." + c
-        if node.get("id"):
-            yield "#" + node.get("id")
-
+    styles = Styles(root)
     flow = Flow()
     flows, tables, lists = [], [], []
     todo: list = [(root, False, False, True)]  # node, hidden, preformatted, entering
@@ -357,14 +420,12 @@ def render(source: str | None) -> str:
         if entering:
             if tag in UNSEEN:
                 continue
-            if node.attributes or gone or hidden:
-                style = node.get("style") or ""
-                if node.get("hidden") is not None or _GONE.search(style) or gone and any(n in gone for n in names(node)):
+            if node.attributes or styles.by_name:
+                said = styles.of(node)
+                if said.get("display") == "none":
                     continue
-                if _HIDDEN.search(style) or hidden and any(n in hidden for n in names(node)):
-                    unseen = True
-                if _SHOWN.search(style):
-                    unseen = False
+                if "visibility" in said and said["visibility"] != "inherit":
+                    unseen = said["visibility"] in ("hidden", "collapse")
             if tag == "br":
                 flow.turn(1, not flow.line)
                 continue
@@ -376,14 +437,15 @@ def render(source: str | None) -> str:
             if tag == "details" and node.get("open") is None:
                 children = [c for c in children if isinstance(c, Node) and c.tag == "summary"][:1]
             if tag in ("ul", "ol", "menu", "dir"):
-                begin = node.get("start") or ""
-                lists.append((flow, int(begin) if tag == "ol" and begin.isascii() and begin.isdigit() and len(begin) < 9 else 1 if tag == "ol" else 0))
+                lists.append(_numbering(node) if tag == "ol" else None)
             elif tag == "li":
                 flow.indent = max(len(lists) - 1, 0)
                 flow.marker = "- "
-                if lists and lists[-1][1]:
-                    flow.marker = f"{lists[-1][1]}. "
-                    lists[-1] = (lists[-1][0], lists[-1][1] + 1)
+                if lists and lists[-1]:
+                    number, step = lists[-1]
+                    number = _number(node.get("value"), -_FAR, _FAR, number) if node.attributes else number
+                    flow.marker = f"{number}. "
+                    lists[-1] = (number + step, step)
             elif tag == "table":
                 tables.append([])
             elif tag == "tr" and tables:
