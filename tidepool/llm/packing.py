@@ -60,7 +60,7 @@ class WordTokenizer:
     def _pieces(self, text: str) -> tuple[bool, list[str]]:
         """Whether the pieces are single ones, and the pieces."""
         low = text.lower()  # some letters of the range have lower-case forms outside
-        if OTHER_LETTERS.search(text) or OTHER_LETTERS.search(low) or self.special.search(text):
+        if OTHER_LETTERS.search(text) or not text.isascii() and OTHER_LETTERS.search(low) or self.special.search(text):
             return False, text.replace("\n", " ").split(" ")
         return True, LATIN_PIECES.findall(low)
 
