@@ -403,9 +403,11 @@ def _numbering(node: Node) -> tuple[int, int]:
 
 def render(source: str | None) -> str:
     """The visible text of a page; '' for none."""
-    if not source:
-        return ""
-    root = parse(source)
+    return render_tree(parse(source)) if source else ""
+
+
+def render_tree(root: Node) -> str:
+    """The visible text of a parsed page; takes what is not shown out of the tree."""
     styles = Styles(root)
     flow = Flow()
     flows, tables, lists = [], [], []

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidepool.llm.common import map_slices
-from tidepool.llm.html_layout import Node, parse, render
+from tidepool.llm.html_layout import Node, parse, render_tree
 from tidepool.session import ship_package
 
 VERSION = "WARC/1.1"
@@ -63,9 +63,9 @@ def _line(value: str | None) -> str | None:
     return None if value is None else _BREAK.sub(" ", value)
 
 
-def title_links(page: str) -> tuple[str, list[str]]:
-    """Title and link targets of a page, in page order."""
-    title, links, todo = "", [], [parse(page)]
+def title_links(page: Node) -> tuple[str, list[str]]:
+    """Title and link targets of a parsed page, in page order."""
+    title, links, todo = "", [], [page]
     while todo:
         node = todo.pop()
         if node.tag == "title" and not title:
@@ -83,12 +83,13 @@ def derive(source: dict) -> list[tuple]:
     shared = {"page_id": source["page_id"], "refers_to": source["record_id"], "target_uri": source["target_uri"],
               "warc_date": source["warc_date"], "payload_digest": source["payload_digest"]}
     text_id, data_id = record_id("conversion", source["record_id"]), record_id("metadata", source["record_id"])
-    title, links = title_links(body)
+    page = parse(body)
+    title, links = title_links(page)
     fields = [("http-status", status), *(("http-header", h) for h in headers if h), ("source-payload-digest", source["payload_digest"]),
               ("source-block-digest", source["block_digest"]), ("conversion-record", text_id), ("title", title), *(("outlink", x) for x in links)]
     block = "".join(f"{k}: {v}{CRLF}" for k, v in fields if v)
     return [_record(**shared, record_type="conversion", record_id=text_id, concurrent_to=data_id, content_type="text/plain; charset=utf-8",
-                    block=render(body)),
+                    block=render_tree(page)),
             _record(**shared, record_type="metadata", record_id=data_id, concurrent_to=text_id, content_type="application/warc-fields", block=block)]
 
 
