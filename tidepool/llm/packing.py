@@ -30,7 +30,9 @@ BUCKETS, DIMENSIONS, BITS, SPREAD = 512, 3, 16, 4.0  # hashed vector, projection
 
 # Fixed value: the split of lower-cased text into pieces that the word tokenizer never joins, in classes for ASCII and Latin letters.
 LATIN_PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zA-ZÀ-ÖØ-öø-ɏ]+|[0-9]|[^\sa-zA-ZÀ-ÖØ-öø-ɏ0-9]+")
-OTHER_LETTERS = re.compile(r"[^\t\n\r -~À-ɏ]")
+# Letters that those classes do not cover: beyond the range, or with a lower-case form beyond it.
+_COVERED = "".join(c for c in map(chr, range(0xC0, 0x250)) if re.fullmatch("[a-zÀ-ɏ]", c.lower()))
+OTHER_LETTERS = re.compile(rf"[^\t\n\r -~{_COVERED}]")
 
 
 class WordTokenizer:
@@ -50,8 +52,7 @@ class WordTokenizer:
         self.tokenizer.no_padding()
         self.size = self.tokenizer.get_vocab_size()
         self.dtype = np.dtype("<u2" if self.size <= 1 << 16 else "<u4")
-        special = [re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.special = re.compile("|".join(special or ["(?!)"]))
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.ends_word = np.zeros(self.size, bool)
         self.ends_word[[i for word, i in self.tokenizer.get_vocab().items() if word.endswith("</w>")]] = True
         self.known: dict[str, bytes] = {}
@@ -59,10 +60,9 @@ class WordTokenizer:
 
     def _pieces(self, text: str) -> tuple[bool, list[str]]:
         """Whether the pieces are single ones, and the pieces."""
-        low = text.lower()  # some letters of the range have lower-case forms outside
-        if OTHER_LETTERS.search(text) or not text.isascii() and OTHER_LETTERS.search(low) or self.special.search(text):
+        if OTHER_LETTERS.search(text) or any(s in text for s in self.special):
             return False, text.replace("\n", " ").split(" ")
-        return True, LATIN_PIECES.findall(low)
+        return True, LATIN_PIECES.findall(text.lower())
 
     def _learn(self, pieces: list[str]) -> None:
         """Keep the ids of single pieces, encoded as one text: each piece's last token, and no other, ends a word."""
