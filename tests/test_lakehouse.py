@@ -132,3 +132,19 @@ def test_unique_counts_every_duplicate(spark):
 
 def test_empty_table_passes(spark):
     assert quality.run_suite(spark.createDataFrame([], DELIVERY_SCHEMA), quality.SILVER_FULL).where("not success").count() == 0
+
+
+def test_suite_with_several_unique_columns_reads_the_table_once(spark):
+    rows = [("a", 1, 5.0), ("a", 2, None), (None, 2, -1.0), (None, 3, 2.0), ("b", None, 0.5)]
+    df = spark.createDataFrame(rows, "id string, n int, x double")
+    rules = [quality.Rule("unique", "id"), quality.Rule("not_null", "x"), quality.Rule("unique", "n"), quality.Rule("min", "x", 1), quality.Rule("unique", "id")]
+    found = quality.run_suite(df, rules).orderBy("rule_index").collect()
+    assert [(r.element_count, r.unexpected_count) for r in found] == [(5, 2), (5, 1), (5, 2), (5, 2), (5, 2)]
+    empty = quality.run_suite(df.limit(0), rules).collect()
+    assert [(r.element_count, r.unexpected_count, r.success) for r in empty] == [(0, 0, True)] * 5
+
+
+def test_suite_plan_scans_once(spark, tmp_path):
+    spark.createDataFrame([("a", 1), ("b", 1)], "id string, n int").write.parquet(str(tmp_path / "t"))
+    out = quality.run_suite(spark.read.parquet(str(tmp_path / "t")), [quality.Rule("unique", "id"), quality.Rule("unique", "n"), quality.Rule("min", "n", 1)])
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("Relation [") == 1

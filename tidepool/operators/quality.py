@@ -2,8 +2,8 @@
 
 Rule semantics: nulls are skipped by every rule except not-null; bounds are
 inclusive; a rule passes when no row is unexpected (an empty table passes).
-A whole suite is one Spark aggregation over the table (plus one grouped
-aggregation per uniqueness rule), never a pandas copy of it.
+A whole suite evaluates the table once, in a two-level aggregation, never as a
+pandas copy of it.
 """
 
 from __future__ import annotations
@@ -67,33 +67,40 @@ class QualityGateFailed(Exception):
 
 
 def run_suite(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
-    """Q8: all rules -> (rule_index, rule, column, element_count, unexpected_count, success)."""
+    """Q8: all rules -> (rule_index, rule, column, element_count, unexpected_count, success), in one evaluation of ``df``.
+
+    Uniqueness needs one group per key, so the rows are grouped by the keys of all
+    unique columns and every group carries its counters of the row rules; a second
+    aggregation sums them.  With several unique columns each row is repeated once per
+    column (a slot number and that column's key); only slot 0 counts the row rules.
+    Without unique columns the groups are left out.  Both steps combine before their
+    shuffle, so a hot key (or many null keys) is one row per task.
+    """
+    keys = list(dict.fromkeys(r.column for r in rules if r.kind == "unique"))
     row_rules = [(i, r) for i, r in enumerate(rules) if r.kind != "unique"]
-    parts = []
-    if row_rules:
-        aggs = [F.count(F.lit(1)).alias("_n")] + [
-            F.count_if(r.unexpected()).alias(f"_u{i}") for i, r in row_rules]
-        one = df.agg(*aggs)
-        parts.append(one.select(F.explode(F.array(*[
-            F.struct(F.lit(i).alias("rule_index"), F.lit(r.name).alias("rule"),
-                     F.lit(r.column).alias("column"), F.col("_n").alias("element_count"),
-                     F.col(f"_u{i}").alias("unexpected_count"))
-            for i, r in row_rules])).alias("r")).select("r.*"))
-    for i, r in enumerate(rules):
-        if r.kind != "unique":
-            continue
-        c = F.col(r.column)
-        groups = df.groupBy(c.alias("_k")).agg(F.count(F.lit(1)).alias("_n"))
-        parts.append(groups.agg(
-            F.lit(i).alias("rule_index"), F.lit(r.name).alias("rule"),
-            F.lit(r.column).alias("column"),
-            F.coalesce(F.sum("_n"), F.lit(0)).cast("bigint").alias("element_count"),
-            F.coalesce(F.sum(F.when(F.col("_k").isNotNull() & (F.col("_n") > 1), F.col("_n"))),
-                       F.lit(0)).cast("bigint").alias("unexpected_count")))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out.withColumn("success", F.col("unexpected_count") == 0)
+    narrow = df.select(*[r.unexpected().alias(f"_f{i}") for i, r in row_rules],
+                       *[F.col(c).alias(f"_k{j}") for j, c in enumerate(keys)], F.lit(0).alias("_slot"))
+    if len(keys) > 1:
+        slots = F.explode(F.array(*[F.lit(j) for j in range(len(keys))]))
+        narrow = narrow.withColumn("_slot", slots)
+        narrow = narrow.withColumns({f"_k{j}": F.when(F.col("_slot") == j, F.col(f"_k{j}")) for j in range(len(keys))})
+    first = F.col("_slot") == 0
+    flags = {f"_u{i}": F.count_if(F.col(f"_f{i}") & first) for i, _ in row_rules}
+    if keys:
+        groups = narrow.groupBy("_slot", *[f"_k{j}" for j in range(len(keys))]) \
+            .agg(F.count(F.lit(1)).alias("_n"), *[c.alias(name) for name, c in flags.items()])
+
+        def total(n, cond=F.lit(True)):
+            return F.coalesce(F.sum(F.when(cond, F.col(n))), F.lit(0).cast("bigint"))
+
+        one = groups.agg(total("_n", first).alias("_n"), *[total(name).alias(name) for name in flags], *[
+            total("_n", (F.col("_slot") == j) & F.col(f"_k{j}").isNotNull() & (F.col("_n") > 1)).alias(f"_d{j}") for j in range(len(keys))])
+    else:
+        one = narrow.agg(F.count(F.lit(1)).alias("_n"), *[c.alias(name) for name, c in flags.items()])
+    found = [f"_d{keys.index(r.column)}" if r.kind == "unique" else f"_u{i}" for i, r in enumerate(rules)]
+    rows = F.array(*[F.struct(F.lit(i).alias("rule_index"), F.lit(r.name).alias("rule"), F.lit(r.column).alias("column"),
+                              F.col("_n").alias("element_count"), F.col(found[i]).alias("unexpected_count")) for i, r in enumerate(rules)])
+    return one.select(F.explode(rows).alias("r")).select("r.*").withColumn("success", F.col("unexpected_count") == 0)
 
 
 def failed_rules(results: DataFrame) -> DataFrame:
