@@ -12,7 +12,7 @@ from tidepool.functions.embed import with_hashed_embedding
 from tidepool.functions.text import WS_CLASS, tokenize, tokenize_collapsed
 from tidepool.operators import bm25, cells, chunking, fusion, vector
 from tidepool.operators.search_index import SearchIndex
-from tidepool.session import scratch_path
+from tidepool.session import scratch_path, ship_package
 from tidepool.sources.tables import driver_table, spread
 
 TOP_K = 10
@@ -88,12 +88,12 @@ class Retrieval:
     def fused(self) -> DataFrame:
         return fusion.rrf(self.dense(), self.keyword(), top_k=self.k)
 
-    def reranked(self) -> DataFrame:
+    def reranked(self, scorer=fusion.overlap_scorer) -> DataFrame:
         # only the winners are tokenised
         cand = self.fused().join(self.cv.select("chunk_id", "text", "cvec"), "chunk_id") \
             .withColumn("c_tokens", tokenize_collapsed(F.col("text"))) \
             .join(self.qv.select("query_id", "q_tokens", "qvec"), "query_id")
-        return fusion.rerank(cand, self.rerank_k)
+        return fusion.rerank(cand, self.rerank_k, scorer)
 
 
 def q_index_add(spark, sf):
@@ -195,6 +195,13 @@ def q_rerank_topk(spark, sf):
         "query_id", "chunk_id", "rerank_rank", F.round("rerank_score", 6).alias("rerank_score"))
 
 
+def q_rerank_model(spark, sf):
+    """R13 through the model hook: a numpy scorer asked in Arrow batches, set up once per worker."""
+    ship_package(spark)
+    return Retrieval(spark, sf).reranked(fusion.model_scorer(fusion.overlap_model)).select(
+        "query_id", "chunk_id", "rerank_rank", F.round("rerank_score", 6).alias("rerank_score"))
+
+
 def q_prompts(spark, sf):
     r = Retrieval(spark, sf)
     return fusion.prompts(r.reranked(), r.qv)
@@ -231,6 +238,7 @@ QUERIES = {
     "knn_cells_recall": q_knn_cells_recall,
     "rrf": q_rrf,
     "rerank_topk": q_rerank_topk,
+    "rerank_model": q_rerank_model,
     "prompts": q_prompts,
     "retrieval_metrics": q_retrieval_metrics,
     "low_precision": q_low_precision,
@@ -430,3 +438,4 @@ FROM (SELECT doc_id, s, generate_subscripts(s, 1) AS i FROM sents)""",
 }
 ORACLE["index_add"] = ORACLE["chunks"]
 ORACLE["index_build"] = _R + "SELECT n_docs, sum(len(t))::BIGINT AS n_tokens, round(any_value(mean_idf), 6) AS mean_idf FROM ctoks, stats, means GROUP BY n_docs"
+ORACLE["rerank_model"] = ORACLE["rerank_topk"]
