@@ -68,6 +68,14 @@ def test_coerced_values(spark):
     assert list(row.asDict()) == [n for n, _ in ct.FIELDS]
 
 
+@pytest.mark.parametrize(("text", "reason"), [
+    ("", "value: invalid JSON"), ('{"order_id": "T-1"', "value: invalid JSON"), ("tea", "value: invalid JSON"),
+    ("null", ct.MSG_NOT_OBJECT), ("[{}]", ct.MSG_NOT_OBJECT), ("7", ct.MSG_NOT_OBJECT), ('"tea"', ct.MSG_NOT_OBJECT),
+])
+def test_messages_that_are_no_object(spark, text, reason):
+    assert [r.rejection_reason for r in ct.quarantined(checked(spark, text)).collect()] == [reason]
+
+
 def test_routes_every_message_once(spark):
     v = checked(spark, message(), message(order_id="T-9", status="LOST"), "nothing", message(order_id="T-3"))
     row = ct.route_summary(v).collect()[0]
@@ -82,6 +90,8 @@ def test_routes_every_message_once(spark):
     "2025-W53-1", "2020-W53-1", "2026W30-1", "2026-W301", "2026W301", "2026-W00", "2026-07-22T10:00:00+25:00", "0000-01-01", "2026-07-22T10:0000",
     "2026-07-22T1000:00", "2026-07-22T100000", "2026-07-22T10", "2026-02-29", "2024-02-29", "2026-07-22T24:00:00", "2026-07", "20260722", "2026-07-22T10:00+23:59:59",
     "2026-07-22T10:00+24:00", "2026-07-22T10:00+0100", "2026-07-22x10:00", "2026-07-22T", "2026-13-01", "", "Z", "2026-07-22T10:61", "2026-07-22T10:00:00,5", "9999-W52-5",
+    "2026-07-22T10:26.5", "2026-07-22T10.5", "2026-07-22T10,5Z", "2026-07-22T1026,25+01", "2026-07-22T10.", "2026-07-22T10:26.", "2026-07-22T25.5", "2026-07-22T.5",
+    "2026-07-22T10.5:26", "2026-07-22T10:26+01:30.5", "2026-07-22T10:60.5",
 ])
 def test_iso_forms_as_python_takes_them(spark, text):
     try:

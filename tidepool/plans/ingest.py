@@ -5,6 +5,9 @@ value)`` with ``partition = o_orderkey % 8`` and ``offset = o_orderkey div 8``.
 Orders with ``o_orderkey % 7`` in 1..6 each carry one defect kind, and those with
 ``o_orderkey % 11`` in 1..4 another: minutes, total or distance over their bounds, or
 a number for a name.  So messages have none, one or two defects on every scale factor.
+With ``o_orderkey % 13`` in 1..4 the whole message is broken: cut off, a list, ``null`` or
+plain text.  ``o_orderkey % 17`` in 1..4 gives fractions of minutes and hours in the
+timestamp, two of them wrong.
 """
 
 from __future__ import annotations
@@ -44,6 +47,9 @@ def feed_from_orders(orders: DataFrame) -> DataFrame:
         F.when(c == 3, F.lit("   ")).otherwise(F.concat(F.lit("Kitchen "), F.substring("o_orderpriority", 3, 40)))))
     area_j = F.when(c == 5, F.lit("")).otherwise(F.concat(
         F.lit('"customer_area": "Area '), (F.col("o_custkey") % 10).cast("string"), F.lit('", ')))
+    day, t = F.date_format("o_orderdate", "yyyy-MM-dd"), k % 17
+    ts = F.when(t == 1, F.concat(day, F.lit("T10:26.5Z"))).when(t == 2, F.concat(day, F.lit("T10,5"))) \
+        .when(t == 3, F.concat(day, F.lit("T10:26."))).when(t == 4, F.concat(day, F.lit("T25.5Z"))).otherwise(ts)
     ts_j = _q(F.when(c == 6, F.lit("2026-07")).otherwise(ts))
     promo = F.when(k % 14 == 0, F.lit(', "promo": "FREE5"')).otherwise(F.lit(""))
     value = F.concat(
@@ -55,6 +61,10 @@ def feed_from_orders(orders: DataFrame) -> DataFrame:
         F.lit(', "estimated_delivery_minutes": '), min_j,
         F.lit(', "status": '), status_j,
         F.lit(', "event_ts": '), ts_j, promo, F.lit("}"))
+    w = k % 13
+    ends = [F.when(w == 2, F.lit(mark)).otherwise(F.lit("")) for mark in "[]"]
+    value = F.when(w == 1, F.concat(F.lit('{"order_id": "ORD-'), k.cast("string"))).when(w == 3, F.lit("null")) \
+        .when(w == 4, F.concat(F.lit("order "), k.cast("string"))).otherwise(F.concat(ends[0], value, ends[1]))
     return orders.select(
         F.lit(RAW_TOPIC).alias("topic"),
         (k % N_PARTITIONS).cast("int").alias("partition"),
@@ -81,7 +91,7 @@ def q_contract_quarantine(spark, sf):
 
 
 def q_contract_reasons(spark, sf):
-    return ct.quarantined(validated(spark, sf), with_time=False) \
+    return ct.quarantined(ct.route(spread(raw_feed(spark, sf))), with_time=False) \
         .groupBy("rejection_reason").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
@@ -90,7 +100,7 @@ def q_route_summary(spark, sf):
 
 
 def q_quarantine_order_ids(spark, sf):
-    q = ct.quarantined(validated(spark, sf), with_time=False)
+    q = ct.quarantined(ct.route(spread(raw_feed(spark, sf))), with_time=False)
     return q.select(ct.original_order_id(q).alias("order_id"), "source_partition", "source_offset")
 
 
@@ -119,11 +129,12 @@ o AS (
          CAST(CAST(CAST(o_custkey % 500 AS DECIMAL(18,0)) / 10 AS DECIMAL(18,1)) AS VARCHAR) AS dist,
          CAST(5 + o_orderkey % 176 AS VARCHAR) AS minutes,
          CASE o_orderstatus WHEN 'F' THEN 'DELIVERED' WHEN 'O' THEN 'PICKED_UP' ELSE 'PREPARING' END AS st,
-         strftime(o_orderdate, '%Y-%m-%dT%H:%M:%SZ') AS ts, o_orderkey % 7 AS c, o_orderkey % 11 AS m
+         strftime(o_orderdate, '%Y-%m-%dT%H:%M:%SZ') AS ts, o_orderkey % 7 AS c, o_orderkey % 11 AS m,
+         strftime(o_orderdate, '%Y-%m-%d') AS day, o_orderkey % 17 AS t
   FROM orders),
-feed AS (
+whole AS (
   SELECT 'food_orders_raw' AS topic, CAST(o_orderkey % 8 AS INTEGER) AS "partition",
-         o_orderkey // 8 AS "offset",
+         o_orderkey // 8 AS "offset", o_orderkey AS k,
          '{"order_id": "ORD-' || CAST(o_orderkey AS VARCHAR) || '", "customer_id": "CUS-' ||
          CAST(o_custkey AS VARCHAR) || '", "restaurant_name": ' ||
          CASE WHEN m = 4 THEN '12' WHEN c = 3 THEN '"   "' ELSE '"Kitchen ' || substr(o_orderpriority, 3, 40) || '"' END || ', ' ||
@@ -135,9 +146,15 @@ feed AS (
          CASE WHEN m = 1 THEN '181' WHEN c = 5 THEN minutes || '.5' WHEN o_orderkey % 14 = 0 THEN '"' || minutes || '.0"' ELSE minutes END ||
          ', "status": "' ||
          CASE WHEN c = 2 THEN 'ON_THE_MOON' WHEN o_orderkey % 14 = 0 THEN ' ' || lower(st) || ' ' ELSE st END ||
-         '", "event_ts": "' || CASE WHEN c = 6 THEN '2026-07' ELSE ts END || '"' ||
-         CASE WHEN o_orderkey % 14 = 0 THEN ', "promo": "FREE5"' ELSE '' END || '}' AS value
-  FROM o)
+         '", "event_ts": "' || CASE WHEN c = 6 THEN '2026-07' WHEN t = 1 THEN day || 'T10:26.5Z' WHEN t = 2 THEN day || 'T10,5'
+           WHEN t = 3 THEN day || 'T10:26.' WHEN t = 4 THEN day || 'T25.5Z' ELSE ts END || '"' ||
+         CASE WHEN o_orderkey % 14 = 0 THEN ', "promo": "FREE5"' ELSE '' END || '}' AS message
+  FROM o),
+feed AS (
+  SELECT topic, "partition", "offset",
+         CASE k % 13 WHEN 1 THEN '{"order_id": "ORD-' || k WHEN 2 THEN '[' || message || ']' WHEN 3 THEN 'null'
+              WHEN 4 THEN 'order ' || k ELSE message END AS value
+  FROM whole)
 """
 
 
@@ -165,8 +182,10 @@ def _field_sql() -> tuple[str, list[str], dict[str, str]]:
             else:
                 vals[name] = s
                 # the forms that the feed has, told without the contract's own pattern
-                shape = r"\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}Z"
-                ok = f"coalesce(regexp_full_match({s}, '{shape}') AND try_strptime({s}, '%Y-%m-%dT%H:%M:%SZ') IS NOT NULL, false)"
+                # a date, then hours with optional minutes and seconds, a fraction of the last of them, and Z or nothing
+                shape = r"\d{4}-\d{2}-\d{2}T[012]\d(:[0-5]\d){0,2}([.,]\d+)?Z?"
+                ok = (f"coalesce(regexp_full_match({s}, '{shape}') AND TRY_CAST(substr({s}, 1, 10) AS DATE) IS NOT NULL "
+                      f"AND substr({s}, 12, 2) < '24', false)")
                 rule = f"WHEN NOT {ok} THEN '{name}: {ct.MSG_TS}'"
             errs.append(f"CASE {req} {notstr} {rule} END")
         elif kind == "float":
@@ -202,11 +221,12 @@ def _validated_sql() -> str:
     coerced = ",\n  ".join(
         f"CAST({vals[n]} AS {'DOUBLE' if k == 'float' else 'INTEGER' if k == 'int' else 'VARCHAR'}) AS {n}"
         for n, k in ct.FIELDS)
-    reason = "concat_ws('; ', " + ", ".join(errs) + ")"
+    reason = (f"CASE WHEN j IS NULL THEN '{ct.MSG_BAD_JSON}' WHEN json_type(j) <> 'OBJECT' THEN '{ct.MSG_NOT_OBJECT}' "
+              "ELSE concat_ws('; ', " + ", ".join(errs) + ") END")
     return _FEED.strip() + f""",
-parsed AS (SELECT *, CAST(value AS JSON) AS j FROM feed),
+parsed AS (SELECT *, CASE WHEN json_valid(value) THEN CAST(value AS JSON) END AS j FROM feed),
 typed AS (SELECT *, {cols} FROM parsed),
-validated AS (SELECT topic, "partition", "offset", value, {coerced},
+validated AS (SELECT topic, "partition", "offset", value, j, {coerced},
   {reason} AS rejection_reason FROM typed)
 """
 
@@ -224,7 +244,7 @@ ORACLE = {
   CAST(count_if(rejection_reason <> '') AS BIGINT) AS quarantined,
   coalesce(bool_and(CASE WHEN rejection_reason <> '' THEN rejection_reason <> '' END), true)
     AS all_rejects_have_reason FROM validated""",
-    "quarantine_order_ids": _V + """SELECT json_extract_string(value, '$.order_id') AS order_id,
+    "quarantine_order_ids": _V + """SELECT json_extract_string(j, '$.order_id') AS order_id,
   "partition" AS source_partition, "offset" AS source_offset FROM validated WHERE rejection_reason <> ''""",
     "json_props": "SELECT event_id, event_type, CAST(json_extract(props, '$.k') AS BIGINT) AS prop_k FROM events",
 }
