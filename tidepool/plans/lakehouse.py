@@ -8,6 +8,7 @@ from tidepool.operators import gold, quality, silver as sv
 from tidepool.plans import deliveries as dv
 from tidepool.schemas import DELIVERY_SCHEMA
 from tidepool.session import materialize, scratch_path
+from tidepool.sources import clustered
 from tidepool.sources.tables import driver_table, guarded_scan, write_append, write_overwrite
 
 KEY = ["delivery_id"]
@@ -120,6 +121,13 @@ def q_sorted_silver(spark, sf):
     return sv.sort_by_key(dv.silver(spark, sf), *KEY)
 
 
+def q_clustered_silver(spark, sf):
+    """Silver written in files clustered by key, read back with every row's place in the order."""
+    path = scratch_path(spark, "clustered")
+    clustered.write(dv.silver(spark, sf), path, KEY[0])
+    return clustered.positions(spark, path, KEY[0])
+
+
 def q_corrupt_suite(spark, sf):
     return quality.run_suite(quality.corrupt_first_rows(dv.silver(spark, sf)), quality.SILVER_FULL)
 
@@ -171,6 +179,7 @@ QUERIES = {
     "dq_faulty": q_dq_faulty,
     "table_append": q_table_append,
     "sorted_silver": q_sorted_silver,
+    "clustered_silver": q_clustered_silver,
 }
 
 # ---------------------------------------------------------------------------
@@ -332,6 +341,7 @@ FROM res WHERE NOT success""".replace("WITH ,", "WITH ")),
 }
 ORACLE["table_append"] = ORACLE["schema_append"]
 ORACLE["sorted_silver"] = ORACLE["silver_standardise"]
+ORACLE["clustered_silver"] = _with("SELECT *, row_number() OVER (ORDER BY delivery_id) AS position FROM silver")
 ORACLE["dq_faulty"] = _with(""", faulty AS (
   SELECT * FROM silver UNION ALL SELECT * FROM badrows UNION ALL SELECT * FROM silver WHERE delivery_minutes > 100)
 """ + _rule_rows("faulty", list(enumerate(quality.SILVER_FULL + quality.SILVER_MIN))))
