@@ -119,6 +119,12 @@ def q_doc_concat(spark, sf):
     return chunking.concat_pages(conv, doc_col="conv_id", page_col="turn")
 
 
+def q_page_chunks(spark, sf):
+    """Sentence windows over a conversation's turns as pages, no conversation in one row."""
+    conv = driver_table(spark, sf, "conversations", "conv_id", "turn", "text")
+    return chunking.chunk_pages(conv, doc_col="conv_id", page_col="turn")
+
+
 def q_sentences(spark, sf):
     return chunking.sentences(documents(spark, sf))
 
@@ -245,6 +251,7 @@ QUERIES = {
     "stage_counts": q_stage_counts,
     "preview": q_preview,
     "doc_concat": q_doc_concat,
+    "page_chunks": q_page_chunks,
     "sentences": q_sentences,
     "chunks": q_chunks,
     "index_add": q_index_add,
@@ -429,6 +436,10 @@ SELECT conv_id, string_agg(coalesce(text, ''), chr(10) ORDER BY turn) || chr(10)
        CAST(count(*) AS BIGINT) AS n_pages,
        CAST(length(string_agg(coalesce(text, ''), chr(10) ORDER BY turn) || chr(10)) AS BIGINT) AS n_chars
 FROM conversations GROUP BY conv_id""",
+    "page_chunks": f"""
+WITH whole AS (SELECT conv_id AS doc_id, string_agg(coalesce(text, ''), chr(10) ORDER BY turn, text) AS text FROM conversations GROUP BY conv_id),
+{_CHUNKS.split("ctoks AS")[0].replace("FROM documents", "FROM whole").strip().rstrip(",")}
+SELECT chunk_id, doc_id, start, text FROM chunks""",
     "sentences": _R + """SELECT doc_id, CAST(i - 1 AS INTEGER) AS sent_no, s[i] AS sentence
 FROM (SELECT doc_id, s, generate_subscripts(s, 1) AS i FROM sents)""",
     "chunks": _R + "SELECT chunk_id, doc_id, start, text FROM chunks",
