@@ -65,6 +65,16 @@ def test_minhash_equals_all_pairs(spark, documents):
     assert all(r.kept == (r.doc_id == r.component_id) for r in got)
 
 
+@pytest.mark.parametrize("share", [1, 7])
+def test_minhash_of_buckets_in_parts(spark, documents, share):
+    """Buckets dealt in parts of a few members: a large family, one whose members only resemble each other, and copies."""
+    alike = [" ".join(f"c{i}" for i in range(40)) + " " + " ".join(f"x{k}y{i}" for i in range(6, 22)) for k in range(30)]
+    texts = family(9, 60) + alike + alike[:3] * 2
+    pairs = [(5 * i % 997, t) for i, t in enumerate(texts)]
+    got = minhash.near_duplicates(documents(pairs), share=share).collect()
+    assert {r.doc_id: r.component_id for r in got} == brute(pairs)
+
+
 def test_minhash_awkward_rows(spark, documents, awkward):
     docs = documents(awkward).withColumnRenamed("lang", "component_id").withColumnRenamed("source", "bands")  # clashing names
     got = minhash.near_duplicates(docs).collect()

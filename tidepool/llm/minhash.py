@@ -17,6 +17,11 @@ sets only if 1024-bit sketches allow the similarity: each bit that one document
 and the other lacks is a shingle not shared, so this loses nothing.  A family of
 similar documents so costs pairs in proportion to its size, not its square.
 
+A bucket of any size is dealt in parts of about ``SHARE`` members: the part is a hash of the
+id, and what is known of the whole bucket (its hubs, whether it is mixed) is copied to each
+part, so copies stay below one for each ``SHARE`` members.  Hubs are found by aggregating
+twice, per component and then per bucket, before anything is sent by the bucket alone.
+
 Probability that two documents at similarity 0.75 share none of the 64 buckets of
 six bins: (1 - 0.75 ** 6) ** 64, below 4 in a million.
 """
@@ -29,6 +34,7 @@ import numpy as np
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 from tidepool.llm.common import Memo, map_slices, mix64
 from tidepool.llm.components import components
@@ -39,6 +45,7 @@ BANDS, ROWS = 64, 6
 PROBES = 1024
 FROM_LARGEST = (1, 8)  # hubs of a bucket in the first rounds; afterwards 1024, 1024 squared and so on
 WIDTH = 16  # 64-bit words of a sketch
+SHARE = 1024  # members of a bucket that are dealt to one task; a larger bucket is dealt in parts, its hubs copied to each
 
 _MUL = np.uint64(0x9E3779B97F4A7C15)
 
@@ -163,14 +170,21 @@ def only(words: list[str], here: str, there: str) -> Column:
     return F.expr(" + ".join(f"bit_count({here}{w} & ~{there}{w})" for w in words))
 
 
+def to_parts(buckets: DataFrame) -> DataFrame:
+    """Rows per bucket (key, parts, ...) copied to each of its parts."""
+    return buckets.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).drop("parts")
+
+
 def near_links(docs: DataFrame, signed: DataFrame, bands: int = BANDS, rows: int = ROWS, words: int = WORDS,
-               similarity: int = SIMILARITY) -> DataFrame:
-    """(node, component) over class representatives that are linked with another one."""
+               similarity: int = SIMILARITY, share: int = SHARE) -> DataFrame:
+    """(node, component) over class representatives that are linked with another one; ``share``: see ``SHARE``."""
     classes = signed.where("set_hash is not null and doc_id is not null").groupBy("set_hash").agg(F.min("doc_id").alias("doc_id"))
     heads = signed.join(classes, ["set_hash", "doc_id"], "left_semi")
     rows_ = heads.select(F.explode("bands").alias("key"), F.col("doc_id").alias("id"), F.col("n_shingles").alias("n"))
-    shared = rows_.groupBy("key").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low <> high").select("key")
-    members = materialize(rows_.join(shared, "key").distinct(), "buckets")
+    parts = F.ceil(F.count("*") / share).cast("int").alias("parts")
+    shared = (rows_.groupBy("key").agg(F.min("id").alias("low"), F.max("id").alias("high"), parts)
+              .where("low <> high").select("key", "parts"))
+    members = materialize(rows_.join(shared, "key").repartition("key", "id").distinct(), "buckets")
     ids = members.select(F.col("id").alias("doc_id")).distinct()
     sets = materialize(map_slices(docs.select("doc_id", "text").join(ids, "doc_id", "left_semi"), _shingling(words),
                                   "id long, shingles binary"), "shingles")
@@ -181,17 +195,22 @@ def near_links(docs: DataFrame, signed: DataFrame, bands: int = BANDS, rows: int
     words = [f"s{i}" for i in range(WIDTH)]
     common = F.least(F.col("n") - only(words, "", "hub_"), F.col("hub_n") - only(words, "hub_", ""))
     possible = (100 + similarity) * common >= similarity * (F.col("n") + F.col("hub_n"))
+    part = F.pmod(F.xxhash64("id", F.lit(-1)), F.col("parts")).cast("int")
     while not members.isEmpty():
         largest = turn < len(FROM_LARGEST)
         slots = FROM_LARGEST[turn] if largest else 1024 ** (turn - len(FROM_LARGEST) + 1)
-        ranked = members.withColumn("many", F.lit(1))  # nothing is linked before the first round
-        if turn:
-            ranked = members.join(members.groupBy("key", "component").agg(F.count("*").alias("many")), ["key", "component"])
-        rank = F.struct(F.col("many") if largest else -F.col("many"), F.xxhash64("id", F.lit(turn)), "id", "component", "n", *words)
-        hubs = materialize((ranked.groupBy("key", F.pmod(F.xxhash64("id"), F.lit(slots)).alias("slot")).agg(F.max(rank).alias("hub"))
-                            .select("key", F.col("hub.id").alias("hub"), F.col("hub.component").alias("hub_component"),
-                                    F.col("hub.n").alias("hub_n"), *[F.col(f"hub.{w}").alias(f"hub_{w}") for w in words])), "hubs")
-        pairs = (members.join(hubs, "key")
+        slot = F.pmod(F.xxhash64("id"), F.lit(slots)).alias("slot")
+        best = F.max(F.struct(F.xxhash64("id", F.lit(turn)), "id", "component", "n", *words)).alias("best")
+        if turn:  # the best member of each component, then that of the component that comes first
+            own = members.groupBy("key", "parts", "component", slot).agg(best, F.count("*").alias("held"))
+            many = F.sum("held").over(W.partitionBy("key", "component"))
+            ranked = own.withColumn("many", many if largest else -many).groupBy("key", "parts", "slot").agg(
+                F.max(F.struct("many", "best"))["best"].alias("best"))
+        else:  # nothing is linked yet
+            ranked = members.groupBy("key", "parts", slot).agg(best)
+        hubs = materialize(ranked.select("key", "parts", F.col("best.id").alias("hub"), F.col("best.component").alias("hub_component"),
+                                         F.col("best.n").alias("hub_n"), *[F.col(f"best.{w}").alias(f"hub_{w}") for w in words]), "hubs")
+        pairs = (members.withColumn("part", part).join(to_parts(hubs), ["key", "part"])
                  .where((F.col("component") != F.col("hub_component")) & possible)
                  .select(F.least("id", "hub").alias("a"), F.greatest("id", "hub").alias("b")).distinct())
         if failed is not None:
@@ -204,15 +223,15 @@ def near_links(docs: DataFrame, signed: DataFrame, bands: int = BANDS, rows: int
         members = (members.drop("component").join(hubs.select("key", F.col("hub").alias("id")), ["key", "id"], "left_anti")
                    .join(found.select(F.col("node").alias("id"), "component"), "id", "left")
                    .withColumn("component", F.coalesce("component", "id")))
-        mixed = (members.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-                 .where("low <> high").select("key"))
-        members = materialize(members.join(mixed, "key", "left_semi"), "buckets")
+        mixed = (members.groupBy("key", "parts").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+                 .where("low <> high").select("key", "parts"))
+        members = materialize(members.withColumn("part", part).join(to_parts(mixed), ["key", "part"], "left_semi").drop("part"), "buckets")
         turn += 1
     return found
 
 
 def near_duplicates(docs: DataFrame, bands: int = BANDS, rows: int = ROWS, words: int = WORDS,
-                    similarity: int = SIMILARITY) -> DataFrame:
+                    similarity: int = SIMILARITY, share: int = SHARE) -> DataFrame:
     """Near-duplicate groups of ``docs`` (doc_id, text; other columns are not read).
 
     Returns one row per input row: doc_id, n_shingles (size of the set), component_id
@@ -223,7 +242,7 @@ def near_duplicates(docs: DataFrame, bands: int = BANDS, rows: int = ROWS, words
     gives an empty result.
     """
     signed = materialize(signatures(docs, bands, rows, words), "signatures")
-    found = near_links(docs, signed, bands, rows, words, similarity)
+    found = near_links(docs, signed, bands, rows, words, similarity, share)
     whole = signed.where("set_hash is not null and doc_id is not null")
     classes = whole.groupBy("set_hash").agg(F.min("doc_id").alias("node"))
     # a doc_id with several texts ties their classes together, as copies do
