@@ -68,6 +68,15 @@ def test_bpe_long_runs():
         assert ours.encode(text).tolist() == LIBRARY.encode(text, add_special_tokens=False).ids
 
 
+def test_one_scan_finds_the_longest_token_of_every_place():
+    ours = bpe.byte_bpe(BYTES)
+    for raw in ("the theatre's  1234 ====----~~ \u00e9\u4e2d\U0001f600".encode(), bytes(range(256)), b"-" * 200, b"a"):
+        letters = raw.decode("latin-1")
+        want = [max((ours.token_of[letters[i:j]] for j in range(i + 1, len(letters) + 1) if letters[i:j] in ours.token_of),
+                    key=lambda t: ours.size_of[t]) for i in range(len(letters))]
+        assert ours.longest_matches(letters).tolist() == want
+
+
 def test_bpe_pairs_by_merging():
     """The pair table against merging by rank, for the tokens of some words and random pairs."""
     ours = bpe.byte_bpe(BYTES)

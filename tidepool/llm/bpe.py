@@ -2,17 +2,19 @@
 
 A token sequence is what merging by rank gives exactly if every two neighbours are
 compatible: merging their joined bytes gives these two tokens again.  So the encoder
-takes the longest token at each place, looked up in an automaton's trie.  Where two
-neighbours are not compatible it tries the next shorter token of that place, and
-steps back over a place from which no way on is left.  A place given up is never
-tried again, so the time is linear in the text.  Decoding joins byte strings through
-an offset table.
+takes the longest token at each place, found for all places in one scan of the piece
+by an Aho-Corasick automaton.  Where two neighbours are not compatible it tries the
+next shorter token of that place, and steps back over a place from which no way on is
+left.  A place given up is never tried again, so the time is linear in the text (the
+scan meets, at each place, the tokens that end there).  Decoding joins byte strings
+through an offset table.
 """
 
 from __future__ import annotations
 
 import json
 import re
+from array import array
 from hashlib import sha256
 
 import ahocorasick
@@ -66,7 +68,6 @@ class ByteBPE:
         self.compatible = Memo(self._compatible, 500_000)
         self.token_of = {raw.decode("latin-1"): i for i, raw in enumerate(self.bytes)
                          if len(raw) == 1 or i in self.parts and self._whole(i)}
-        self.longest = max(map(len, self.token_of))
         self.matches = ahocorasick.Automaton()
         for letters_, i in self.token_of.items():
             self.matches.add_word(letters_, i)
@@ -113,20 +114,19 @@ class ByteBPE:
         """Whether merging the token's own bytes gives the token."""
         return self._crossing(*self.parts[token]) == self.made[token]
 
-    def _longest(self, letters: str, at: int) -> int:
-        """The longest token that begins at ``at``; the automaton's trie bounds the search."""
-        get = self.token_of.get
-        n = self.matches.longest_prefix(letters[at:at + self.longest])
-        while (token := get(letters[at:at + n])) is None:
-            n -= 1
-        return token
+    def longest_matches(self, letters: str) -> array:
+        """The longest token that begins at each place, by one scan; every single byte is a token."""
+        found, size = array("i", bytes(4 * len(letters))), self.size_of
+        for end, token in self.matches.iter(letters):
+            found[end + 1 - size[token]] = token  # of matches that begin alike the longest ends last
+        return found
 
     def encode_bytes(self, raw: bytes) -> list[int]:
         """Ids of one piece."""
         if not raw:
             return []
-        letters, size, shorter, compatible = raw.decode("latin-1"), self.size_of, self.shorter, self.compatible
-        blocked, tokens, at, token = set(), [], 0, self._longest(letters, 0)
+        longest, size, shorter, compatible = self.longest_matches(raw.decode("latin-1")), self.size_of, self.shorter, self.compatible
+        blocked, tokens, at, token = set(), [], 0, longest[0]
         while True:
             after = at + size[token]
             if after not in blocked and (not tokens or compatible[tokens[-1], token]):
@@ -134,7 +134,7 @@ class ByteBPE:
                 at = after
                 if at == len(raw):
                     return tokens
-                token = self._longest(letters, at)
+                token = longest[at]
                 continue
             token = shorter[token]
             while token < 0:  # no way on from here
