@@ -218,6 +218,22 @@ def test_url_rules_and_reputation(spark):
     assert urls.judge(df.limit(0), spark.createDataFrame(labels, "page_id long, bad boolean"), rules).collect() == []
 
 
+@pytest.mark.parametrize("host,domain,suffix", [
+    ("a.b.co.uk", "b.co.uk", "co.uk"), ("co.uk", "co.uk", "co.uk"), ("b.uk", "b.uk", "uk"), ("xco.uk", "xco.uk", "uk"),
+    ("a.b.c.ck", "b.c.ck", "c.ck"), ("c.ck", "c.ck", "c.ck"), ("ck", "ck", "ck"), ("www.ck", "www.ck", "ck"), ("a.www.ck", "www.ck", "ck"),
+    ("x.city.kobe.jp", "city.kobe.jp", "kobe.jp"), ("x.y.z.kobe.jp", "y.z.kobe.jp", "z.kobe.jp"), ("a.b.leeds.sch.uk", "b.leeds.sch.uk", "leeds.sch.uk"),
+    ("sch.uk", "sch.uk", "uk"), ("n.example.org", "n.example.org", "example.org"), ("localhost", "localhost", "localhost"), ("", "", ""),
+    ("a..co.uk", ".co.uk", "co.uk"), ("a." * 50_000 + "com", "a.com", "com")])
+def test_registered_domains(spark, host, domain, suffix):
+    row = spark.createDataFrame([(host,)], "host string").select(*urls.domain_suffix(urls.SUFFIXES)).first()
+    assert (row.domain, row.suffix) == (domain, suffix)
+
+
+def test_registered_domains_without_rules(spark):
+    row = spark.createDataFrame([("a.co.uk",)], "host string").select(*urls.domain_suffix(())).first()
+    assert (row.domain, row.suffix) == ("co.uk", "uk")
+
+
 def strength(p, n):
     """The prior's strength, read back from how far the host's mean was drawn to its domain's (sub.bad has the prior's mean)."""
     mean, prior = p["bad.example.com"][0], p["sub.bad.example.com"][0]

@@ -147,11 +147,15 @@ outcome AS (
 counted AS (
   SELECT host, count(bad) AS n, coalesce(sum(bad), 0)::BIGINT AS b FROM named LEFT JOIN outcome ON page_id = doc_id GROUP BY host),
 parts AS (SELECT *, string_split(host, '.') AS p FROM counted),
-suffixed AS (
-  SELECT *, CASE WHEN array_to_string(p[-2:], '.') IN ('example.com', 'example.net', 'example.org')
-    THEN array_to_string(p[-2:], '.') ELSE p[-1] END AS suffix FROM parts),
+rules AS (SELECT unnest([SUFFIX_RULES]) AS fit),
+tails AS (SELECT host, p, unnest(generate_series(1, len(p))) AS k FROM parts),
+fitting AS (
+  SELECT host, coalesce(max(k - 1) FILTER (fit[1] = '!'), max(k)) AS size FROM tails
+  JOIN rules ON fit = array_to_string(p[-k:], '.') OR fit = '!' || array_to_string(p[-k:], '.')
+    OR k > 1 AND fit = '*.' || array_to_string(p[-(k - 1):], '.') GROUP BY host),
 hosts AS (
-  SELECT host, n, b, suffix, array_to_string(CASE WHEN strpos(suffix, '.') > 0 THEN p[-3:] ELSE p[-2:] END, '.') AS domain FROM suffixed),
+  SELECT parts.host, n, b, array_to_string(p[-coalesce(size, 1):], '.') AS suffix, array_to_string(p[-(coalesce(size, 1) + 1):], '.') AS domain
+  FROM parts LEFT JOIN fitting ON parts.host = fitting.host),
 seen AS (SELECT * FROM hosts WHERE n > 0),
 domains AS (SELECT domain, suffix, sum(n)::BIGINT AS n, sum(b)::BIGINT AS b FROM seen GROUP BY ALL),
 tops AS (SELECT suffix, sum(n)::BIGINT AS n, sum(b)::BIGINT AS b FROM seen GROUP BY ALL),
@@ -188,7 +192,7 @@ SELECT page_id, host, path, rule,
   CASE WHEN rule IN ('org/', 'com/fr/') THEN 'allow' WHEN rule IS NOT NULL THEN 'block' WHEN low > 0.5 THEN 'block' ELSE 'allow' END AS verdict,
   round(mean, 6) AS p_bad, round(low, 6) AS bound
 FROM ruled JOIN bounds USING (host)
-"""
+""".replace("SUFFIX_RULES", ", ".join(f"'{rule}'" for rule in urls.SUFFIXES))
 
 
 @query

@@ -20,7 +20,43 @@ from tidepool.session import materialize
 
 Z, CUTOFF = 1.645, 0.5
 WEAKEST, STRONGEST = 1.0, 1000.0  # bounds of a prior's strength, in pages
-SUFFIXES = ("example.com", "example.net", "example.org")  # suffixes of two labels under which strangers have names
+# Suffixes under which strangers register names, in the form of the public list: a name; ``*.name`` for
+# every label under it; ``!name`` for a name that such a rule does not cover.  A host that none fits has its last label.
+SUFFIXES = (
+    "example.com", "example.net", "example.org",
+    "com.ar", "edu.ar", "gob.ar", "net.ar", "org.ar",
+    "ac.at", "co.at", "gv.at", "or.at",
+    "asn.au", "com.au", "edu.au", "gov.au", "id.au", "net.au", "org.au",
+    "com.br", "edu.br", "gov.br", "net.br", "org.br",
+    "*.ck", "!www.ck",
+    "ac.cn", "com.cn", "edu.cn", "gov.cn", "net.cn", "org.cn",
+    "com.co", "edu.co", "gov.co", "net.co", "org.co",
+    "com.eg", "edu.eg", "gov.eg", "org.eg",
+    "com.hk", "edu.hk", "gov.hk", "net.hk", "org.hk",
+    "ac.id", "co.id", "go.id", "or.id", "web.id",
+    "ac.il", "co.il", "gov.il", "net.il", "org.il",
+    "ac.in", "co.in", "edu.in", "firm.in", "gov.in", "net.in", "org.in", "res.in",
+    "ac.jp", "ad.jp", "co.jp", "ed.jp", "go.jp", "gr.jp", "lg.jp", "ne.jp", "or.jp", "*.kobe.jp", "!city.kobe.jp",
+    "ac.ke", "co.ke", "go.ke", "or.ke",
+    "ac.kr", "co.kr", "go.kr", "ne.kr", "or.kr", "pe.kr", "re.kr",
+    "com.mx", "edu.mx", "gob.mx", "net.mx", "org.mx",
+    "com.my", "edu.my", "gov.my", "net.my", "org.my",
+    "com.ng", "edu.ng", "gov.ng", "org.ng",
+    "ac.nz", "co.nz", "geek.nz", "govt.nz", "net.nz", "org.nz", "school.nz",
+    "com.pe", "edu.pe", "gob.pe", "org.pe",
+    "com.ph", "edu.ph", "gov.ph", "org.ph",
+    "com.pk", "edu.pk", "gov.pk", "org.pk",
+    "com.pl", "edu.pl", "gov.pl", "net.pl", "org.pl",
+    "com.sa", "edu.sa", "gov.sa", "org.sa",
+    "com.sg", "edu.sg", "gov.sg", "net.sg", "org.sg",
+    "ac.th", "co.th", "go.th", "in.th", "or.th",
+    "com.tr", "edu.tr", "gov.tr", "net.tr", "org.tr",
+    "com.tw", "edu.tw", "gov.tw", "net.tw", "org.tw",
+    "com.ua", "edu.ua", "gov.ua", "net.ua", "org.ua",
+    "ac.uk", "co.uk", "gov.uk", "ltd.uk", "me.uk", "net.uk", "nhs.uk", "org.uk", "plc.uk", "*.sch.uk",
+    "com.vn", "edu.vn", "gov.vn", "net.vn", "org.vn",
+    "ac.za", "co.za", "gov.za", "net.za", "org.za", "web.za",
+)
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -43,12 +79,27 @@ def matching_rule(rules: list[tuple[str, str]]) -> tuple[Column, Column]:
 
 
 def domain_suffix(suffixes: tuple[str, ...]) -> tuple[Column, Column]:
-    """Registered domain and suffix of a host: the suffix is its last label, or a listed one of two labels."""
-    two = F.substring_index("host", ".", -2)
-    suffix = F.when(two.isin(*suffixes), two).otherwise(F.substring_index("host", ".", -1))
-    labels = F.size(F.split(suffix, "\\.")) + 1
-    domain = F.when(labels == 3, F.substring_index("host", ".", -3)).otherwise(two)
-    return domain.alias("domain"), suffix.alias("suffix")
+    """Registered domain and suffix of a host by suffix rules: an exception goes before all others, then the longest rule
+    that fits; without one the suffix is the last label.  The domain is the suffix with one label more, or the host
+    itself where it has none.  Each length of rules is one set lookup on the host's last labels."""
+    def tail(k: int) -> Column:
+        return F.substring_index("host", ".", -k)
+
+    labels = F.length("host") - F.length(F.replace(F.col("host"), F.lit("."))) + 1
+    longest, spared = F.lit(1), F.lit(None).cast("int")
+    for k in range(1, 1 + max((r.count(".") + 1 for r in suffixes), default=0)):
+        same = [r for r in suffixes if r.count(".") + 1 == k]
+        fits = F.lit(False)
+        if plain := [r for r in same if r[0] not in "*!"]:
+            fits = tail(k).isin(*plain)
+        if under := [r[2:] for r in same if r.startswith("*.")]:
+            fits = fits | tail(k - 1).isin(*under)
+        longest = F.when(fits & (labels >= k), F.lit(k)).otherwise(longest)
+        if but := [r[1:] for r in same if r[0] == "!"]:
+            spared = F.when(tail(k).isin(*but), F.lit(k - 1)).otherwise(spared)
+    size = F.coalesce(spared, longest)
+    return (F.call_function("substring_index", F.col("host"), F.lit("."), -(size + 1)).alias("domain"),
+            F.call_function("substring_index", F.col("host"), F.lit("."), -size).alias("suffix"))
 
 
 def strength(groups: DataFrame) -> float:
@@ -71,7 +122,8 @@ def judge(pages: DataFrame, labels: DataFrame, rules: list[tuple[str, str]], suf
 
     Returns page_id, host, path, rule (null where none fits), verdict (allow or block),
     p_bad (posterior mean of the host) and bound (lower bound that is held against
-    ``cutoff``).  A url that is null or has no ``://`` has an empty host and path, and the
+    ``cutoff``).  ``suffixes`` are the rules of ``domain_suffix`` (a few thousand at most, as they are part of the plan);
+    a prior's strength is held between ``WEAKEST`` and ``STRONGEST`` pages.  A url that is null or has no ``://`` has an empty host and path, and the
     empty host is judged like any other.  Labels with a null page_id or outcome say
     nothing; a page labelled more than once is bad if any of them says so; a page_id on
     several rows gives its label to each; an empty label table leaves even odds; an
