@@ -115,3 +115,46 @@ def test_bounds_by_brute_force(negative):
         search_segment(words, doc_id, start, fillers, top)
         every.merge(units[hit], doc_id[hit], start[hit])
         assert (top.rows == every.rows).all()
+
+
+def test_segments_hold_all_postings_and_vectors(spark, tmp_path, monkeypatch):
+    """One row per segment, ended early by long chunks, holds the postings and vectors that the column expressions give."""
+    from tidepool.functions.embed import with_hashed_embedding
+    from tidepool.functions.text import tokenize_collapsed
+    monkeypatch.setattr("tidepool.operators.search_index.SEGMENT_POSTINGS", 40)
+    texts = ["Red fish  red", "", None, "İstanbul ΣΑΣ ñandú", " outer blanks ", "fish " * 30] + [f"w{i} w{i % 7} Fish fish x{i}" for i in range(200)]
+    rows = [(f"c{i}", i // 3, i % 3, t) for i, t in enumerate(texts)] + [("n", None, 0, "red no document")]
+    chunks = spark.createDataFrame(rows, CHUNKS)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "10")
+    try:
+        index = SearchIndex(spark, str(tmp_path / "index"))
+        assert index.add(chunks) == len(rows)
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    segments = index._read("segments").collect()
+    assert len(segments) > 1 and len({s.segment for s in segments}) == len(segments)
+    assert sum(len(s.doc_id) for s in segments) == len(rows)
+    tokens = chunks.withColumn("c_tokens", tokenize_collapsed(F.col("text")))
+    place = {(h.segment, n): (d, s) for h in index._read("heads").collect() for n, d, s in zip(h.number, h.doc_id, h.start)}
+    stored = sorted((*(-1 if x is None else x for x in place[p.segment, n]), dl, p.token, tf) for p in index._read("postings").collect() for n, tf, dl in zip(p.number, p.tf, p.dl))
+    assert stored == sorted((-1 if r.doc_id is None else r.doc_id, r.start, r.dl, r.token, r.tf) for r in bm25.postings(tokens).collect())
+    vectors = {r.chunk_id: r.cvec for r in with_hashed_embedding(tokens, "c_tokens", "cvec").collect()}
+    assert {r.chunk_id: r.cvec for r in index.chunks().collect()} == vectors
+
+
+def test_neither_add_nor_search_shuffles_postings(spark, tmp_path, monkeypatch):
+    """Segments are written from the chunks, and searched, without an exchange."""
+    plans = []
+
+    def kept(self, rows, table, gen, options=None, write=SearchIndex._write):
+        plans.append((table, rows._jdf.queryExecution().executedPlan().toString()))
+        write(self, rows, table, gen, *([options] if options else []))
+
+    monkeypatch.setattr(SearchIndex, "_write", kept)
+    index = SearchIndex(spark, str(tmp_path / "index"))
+    index.add(spark.createDataFrame([(f"c{i}", i, 0, f"red w{i} fish") for i in range(50)], CHUNKS))
+    postings = [p for t, p in plans if t in ("postings", "segments")]
+    assert postings and not any("Exchange" in p for p in postings)
+    hits = index.keyword_top_k(spark.createDataFrame([(1, "red w7")], "query_id long, text string"), 3)
+    assert [r.chunk_id for r in hits.orderBy("rank").collect()] == ["c7", "c0", "c1"]
+    assert "hashpartitioning(segment" not in hits._jdf.queryExecution().toString()
