@@ -100,3 +100,16 @@ def test_iso_forms_as_python_takes_them(spark, text):
     except ValueError:
         want = False
     assert spark.range(1).select(ct.iso_timestamp_ok(F.lit(text)).alias("ok")).first().ok == want
+
+
+def test_rules_run_on_more_tasks_than_the_file_has_row_groups(spark, tmp_path):
+    """One file of one row group is dealt evenly before the rules, and every order is counted."""
+    from tidepool.plans import ingest
+    orders = spark.range(400).selectExpr("id as o_orderkey", "id % 9 as o_custkey", "'F' as o_orderstatus", "cast(id as double) as o_totalprice",
+                                         "timestamp'2024-01-05' as o_orderdate", "'1-URGENT' as o_orderpriority")
+    orders.coalesce(1).write.parquet(str(tmp_path / "orders.parquet"))
+    checked = ingest.validated(spark, str(tmp_path))
+    sizes = [len(p) for p in checked.select("offset").rdd.glom().collect()]
+    assert len(sizes) == 8 and max(sizes) <= 2 * 400 / 8
+    summary = ingest.q_route_summary(spark, str(tmp_path)).first()
+    assert summary.produced == 400 == summary.accepted + summary.quarantined

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from tidepool.operators import contract as ct
 from tidepool.plans.ingest import feed_from_orders
-from tidepool.sources.tables import spread
+from tidepool.sources.tables import deal
 
 ORDER_COLUMNS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate",
                  "o_orderpriority"]
@@ -44,7 +44,7 @@ def order_file_source(spark: SparkSession, sf_dir: str, max_files_per_trigger: i
 
 def _route_batch(valid_path: str, quarantine_path: str, counts_path: str | None):
     def run(batch: DataFrame, batch_id: int) -> None:
-        v = ct.validate(spread(batch)).persist()
+        v = ct.validate(deal(batch)).persist()
         try:
             tag, counts = F.lit(batch_id).cast("bigint").alias("batch_id"), []
             for name, rows, path in (("valid", ct.accepted(v), valid_path), ("quarantine", ct.quarantined(v), quarantine_path)):
