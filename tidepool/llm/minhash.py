@@ -191,7 +191,8 @@ def near_links(docs: DataFrame, signed: DataFrame, bands: int = BANDS, rows: int
     sketch = [F.col("sketch")[i].alias(f"s{i}") for i in range(WIDTH)]
     members = materialize(members.join(heads.select(F.col("doc_id").alias("id"), *sketch).dropDuplicates(["id"]), "id")
                           .withColumn("component", F.col("id")), "buckets")
-    failed, found, turn = None, docs.sparkSession.createDataFrame([], "node long, component long"), 0
+    nothing = docs.sparkSession.range(0)  # not from Python rows, which would start a second Python daemon on every executor
+    failed, found, turn = None, nothing.select(F.col("id").alias("node"), F.col("id").alias("component")), 0
     words = [f"s{i}" for i in range(WIDTH)]
     common = F.least(F.col("n") - only(words, "", "hub_"), F.col("hub_n") - only(words, "hub_", ""))
     possible = (100 + similarity) * common >= similarity * (F.col("n") + F.col("hub_n"))

@@ -21,7 +21,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidepool.llm.common import map_slices, mix64, running_start
+from tidepool.llm.common import map_slices, mix64, model, running_start
 from tidepool.session import materialize
 
 LENGTH, END_ID = 2048, 1
@@ -87,14 +87,9 @@ class WordTokenizer:
         return [b"".join(map(self.known.__getitem__, pieces)) for _, pieces in split]
 
 
-_TOKENIZERS: dict[str, WordTokenizer] = {}
-
-
 def word_tokenizer(path: str) -> WordTokenizer:
-    """The tokenizer of ``path``, loaded once per Python worker."""
-    if path not in _TOKENIZERS:
-        _TOKENIZERS[path] = WordTokenizer(path)
-    return _TOKENIZERS[path]
+    """The tokenizer of ``path``, loaded once per Python worker and kept while its tasks take it."""
+    return model(("words", path), lambda: WordTokenizer(path))
 
 
 def hilbert(points: np.ndarray, bits: int) -> np.ndarray:
