@@ -79,20 +79,20 @@ def _contract(edges: DataFrame, blocks: int) -> DataFrame:
     return edges.coalesce(blocks).mapInArrow(run, edges.schema)
 
 
-def components(edges: DataFrame, u: str = "u", v: str = "v") -> DataFrame:
+def components(edges: DataFrame, u: str = "u", v: str = "v", files: int | None = None) -> DataFrame:
     """(node, component) for every node with an edge; component is the smallest node reachable.
 
     Self loops and rows with a null end are ignored; repeated edges count once.
-    An empty edge table gives an empty result.
+    An empty edge table gives an empty result.  ``files``: see ``materialize``.
     """
-    cur = materialize(edges.select(F.col(u).alias("u"), F.col(v).alias("v")).where("u <> v").distinct(), "edges")
+    cur = materialize(edges.select(F.col(u).alias("u"), F.col(v).alias("v")).where("u <> v").distinct(), "edges", files)
     blocks = -(-cur.count() // BLOCK)
     if blocks:
         cur = materialize(_contract(cur if blocks == 1 else cur.repartition(blocks), blocks), "edges")
     if blocks > 1:
         before = _state(cur)
         while True:
-            cur = materialize(_small_star(_large_star(cur)), "edges")
+            cur = materialize(_small_star(_large_star(cur)), "edges", files)
             now = _state(cur)
             if now == before:
                 break

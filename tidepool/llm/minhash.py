@@ -38,13 +38,14 @@ from pyspark.sql import Window as W
 
 from tidepool.llm.common import Memo, map_slices, mix64
 from tidepool.llm.components import components
-from tidepool.session import materialize
+from tidepool.session import files_for, materialize
 
 WORDS, SIMILARITY = 5, 75  # words of a shingle; least similarity in hundredths
 BANDS, ROWS = 64, 6
 PROBES = 1024
 FROM_LARGEST = (1, 8)  # hubs of a bucket in the first rounds; afterwards 1024, 1024 squared and so on
 WIDTH = 16  # 64-bit words of a sketch
+FILE_ROWS, TEXT_ROWS = 65536, 8192  # rows of a file: of members of buckets and narrower tables, of texts and their shingles
 SHARE = 1024  # members of a bucket that are dealt to one task; a larger bucket is dealt in parts, its hubs copied to each
 
 _MUL = np.uint64(0x9E3779B97F4A7C15)
@@ -184,14 +185,16 @@ def near_links(docs: DataFrame, signed: DataFrame, bands: int = BANDS, rows: int
     parts = F.ceil(F.count("*") / share).cast("int").alias("parts")
     shared = (rows_.groupBy("key").agg(F.min("id").alias("low"), F.max("id").alias("high"), parts)
               .where("low <> high").select("key", "parts"))
-    members = materialize(rows_.join(shared, "key").repartition("key", "id").distinct(), "buckets")
+    spark, dealt = docs.sparkSession, signed.count()
+    members = materialize(rows_.join(shared, "key").repartition("key", "id").distinct(), "buckets", files_for(spark, dealt, TEXT_ROWS))
+    files, texts = files_for(spark, members.count(), FILE_ROWS), files_for(spark, dealt, TEXT_ROWS)
     ids = members.select(F.col("id").alias("doc_id")).distinct()
     sets = materialize(map_slices(docs.select("doc_id", "text").join(ids, "doc_id", "left_semi"), _shingling(words),
-                                  "id long, shingles binary"), "shingles")
+                                  "id long, shingles binary"), "shingles", texts)
     sketch = [F.col("sketch")[i].alias(f"s{i}") for i in range(WIDTH)]
     members = materialize(members.join(heads.select(F.col("doc_id").alias("id"), *sketch).dropDuplicates(["id"]), "id")
-                          .withColumn("component", F.col("id")), "buckets")
-    nothing = docs.sparkSession.range(0)  # not from Python rows, which would start a second Python daemon on every executor
+                          .withColumn("component", F.col("id")), "buckets", files)
+    nothing = spark.range(0)  # not from Python rows, which would start a second Python daemon on every executor
     failed, found, turn = None, nothing.select(F.col("id").alias("node"), F.col("id").alias("component")), 0
     words = [f"s{i}" for i in range(WIDTH)]
     common = F.least(F.col("n") - only(words, "", "hub_"), F.col("hub_n") - only(words, "hub_", ""))
@@ -210,23 +213,23 @@ def near_links(docs: DataFrame, signed: DataFrame, bands: int = BANDS, rows: int
         else:  # nothing is linked yet
             ranked = members.groupBy("key", "parts", slot).agg(best)
         hubs = materialize(ranked.select("key", "parts", F.col("best.id").alias("hub"), F.col("best.component").alias("hub_component"),
-                                         F.col("best.n").alias("hub_n"), *[F.col(f"best.{w}").alias(f"hub_{w}") for w in words]), "hubs")
+                                         F.col("best.n").alias("hub_n"), *[F.col(f"best.{w}").alias(f"hub_{w}") for w in words]), "hubs", files)
         pairs = (members.withColumn("part", part).join(to_parts(hubs), ["key", "part"])
                  .where((F.col("component") != F.col("hub_component")) & possible)
                  .select(F.least("id", "hub").alias("a"), F.greatest("id", "hub").alias("b")).distinct())
         if failed is not None:
             pairs = pairs.join(failed, ["a", "b"], "left_anti")
-        tested = materialize(confirm(pairs, sets, similarity), "pairs")
+        tested = materialize(confirm(pairs, sets, similarity), "pairs", max(files, texts))
         fresh, missed = tested.where("linked").select("a", "b"), tested.where("not linked").select("a", "b")
         failed = missed if failed is None else failed.union(missed)
         if not fresh.isEmpty():
-            found = components(found.select(F.col("node").alias("a"), F.col("component").alias("b")).union(fresh), "a", "b")
+            found = components(found.select(F.col("node").alias("a"), F.col("component").alias("b")).union(fresh), "a", "b", files)
         members = (members.drop("component").join(hubs.select("key", F.col("hub").alias("id")), ["key", "id"], "left_anti")
                    .join(found.select(F.col("node").alias("id"), "component"), "id", "left")
                    .withColumn("component", F.coalesce("component", "id")))
         mixed = (members.groupBy("key", "parts").agg(F.min("component").alias("low"), F.max("component").alias("high"))
                  .where("low <> high").select("key", "parts"))
-        members = materialize(members.withColumn("part", part).join(to_parts(mixed), ["key", "part"], "left_semi").drop("part"), "buckets")
+        members = materialize(members.withColumn("part", part).join(to_parts(mixed), ["key", "part"], "left_semi").drop("part"), "buckets", files)
         turn += 1
     return found
 
@@ -242,19 +245,25 @@ def near_duplicates(docs: DataFrame, bands: int = BANDS, rows: int = ROWS, words
     doc_id cannot be linked: its component_id is null and it is kept.  An empty table
     gives an empty result.
     """
-    signed = materialize(signatures(docs, bands, rows, words), "signatures")
+    return _grouped(docs, materialize(signatures(docs, bands, rows, words), "signatures"), bands, rows, words, similarity, share)
+
+
+def _grouped(docs: DataFrame, signed: DataFrame, bands: int = BANDS, rows: int = ROWS, words: int = WORDS,
+             similarity: int = SIMILARITY, share: int = SHARE) -> DataFrame:
+    """``near_duplicates`` of documents whose signatures are written."""
+    files = files_for(docs.sparkSession, signed.count(), FILE_ROWS)
     found = near_links(docs, signed, bands, rows, words, similarity, share)
     whole = signed.where("set_hash is not null and doc_id is not null")
     classes = whole.groupBy("set_hash").agg(F.min("doc_id").alias("node"))
     # a doc_id with several texts ties their classes together, as copies do
     several = whole.groupBy("doc_id").agg(F.min("set_hash").alias("x"), F.max("set_hash").alias("y")).where("x <> y")
     ties = materialize(whole.join(several.select("doc_id"), "doc_id", "left_semi").join(classes, "set_hash")
-                       .select("node", F.col("doc_id").alias("component")), "ties")
+                       .select("node", F.col("doc_id").alias("component")), "ties", files)
     if not ties.isEmpty():
-        found = components(found.union(ties), "node", "component")
+        found = components(found.union(ties), "node", "component", files)
     # written, so that a class of very many copies can be split in the join below
     by_class = materialize(classes.join(found, "node", "left")
-                           .select("set_hash", F.coalesce("component", "node").alias("class_component")), "classes")
+                           .select("set_hash", F.coalesce("component", "node").alias("class_component")), "classes", files)
     return (signed.join(by_class, "set_hash", "left")
             .select("doc_id", "n_shingles", F.coalesce("class_component", "doc_id").alias("component_id"), "text_hash")
             .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
@@ -264,6 +273,7 @@ def near_duplicates(docs: DataFrame, bands: int = BANDS, rows: int = ROWS, words
 def kept_rows(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` whose document ``near_duplicates`` keeps, with all their columns: one document of each
     group.  Rows that repeat a doc_id with the same text stay or go together."""
-    kept = near_duplicates(docs).where("kept").select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).distinct()
+    signed = materialize(signatures(docs), "signatures")
+    kept = _grouped(docs, signed).where("kept").select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).distinct()
     same = docs["doc_id"].eqNullSafe(kept["_id"]) & (F.xxhash64(docs["text"]) == kept["_hash"])
-    return docs.join(kept, same, "left_semi")
+    return docs.join(kept, same, "left_semi").coalesce(files_for(docs.sparkSession, signed.count(), TEXT_ROWS))

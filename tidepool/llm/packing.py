@@ -22,9 +22,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidepool.llm.common import map_slices, mix64, model, running_start
-from tidepool.session import materialize
+from tidepool.session import files_for, materialize
 
 LENGTH, END_ID = 2048, 1
+FILE_ROWS = 8192  # documents of a file of pieces
 BUCKETS, DIMENSIONS, BITS, SPREAD = 512, 3, 16, 4.0  # hashed vector, projection, bits and half width of an axis
 
 
@@ -176,7 +177,8 @@ def pack(docs: DataFrame, path: str, length: int = LENGTH, end_id: int = END_ID)
     """
     rows = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text")
     coded = materialize(map_slices(rows, _tokenizing(path), "row long, doc_id long, key long, tokens long, ids binary"), "token-ids")
-    starts = running_start(coded.select("key", "row", "tokens"), ["key", "row"], "tokens", "curve")
+    files = files_for(docs.sparkSession, coded.count(), FILE_ROWS)
+    starts = running_start(coded.select("key", "row", "tokens"), ["key", "row"], "tokens", "curve", files)
     placed = coded.select("row", "doc_id", "ids", "tokens").join(starts.select("row", "start"), "row")
     return map_slices(placed.select("doc_id", "ids", "start", "tokens"), _cutting(length, end_id),
-                      "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long")
+                      "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long").coalesce(files)
