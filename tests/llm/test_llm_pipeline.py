@@ -13,7 +13,7 @@ from tidepool.llm import minhash, packing, pii, quality, queries
 @pytest.mark.parametrize("name", sorted(queries.ORACLE))
 def test_queries_equal_their_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "embeddings", "pages", "labels", "conversations"):
+    for t in ("documents", "embeddings", "pages", "labels", "conversations", "benchmark"):
         con.sql(f"create view {t} as select * from '{SF001}/{t}.parquet'")
     df = queries.QUERIES[name](spark, SF001)
     columns = sorted(df.columns)
