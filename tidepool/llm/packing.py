@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidepool.llm.common import map_slices, mix64, model, running_start
+from tidepool.llm.rank_bpe import WordRanks
 from tidepool.session import files_for, materialize
 
 LENGTH, END_ID = 2048, 1
@@ -39,9 +40,9 @@ OTHER_LETTERS = re.compile(rf"[^\t\n\r -~{_COVERED}]")
 class WordTokenizer:
     """Ids of whole texts from the word tokenizer, which lower-cases and never joins characters over white space.
 
-    Distinct pieces are encoded once and their ids kept as bytes, so that a text's
-    ids are its pieces' bytes joined.  Pieces are letter runs, digits and sign runs for
-    texts of ASCII and Latin letters, and what lies between spaces for others.
+    Texts of ASCII and Latin letters are cut into letter runs, digits and sign runs, and
+    these are merged by rank, each text on its own.  What lies between spaces of other
+    texts goes to the tokenizers library, distinct strings once; their ids are kept as bytes.
     """
 
     def __init__(self, path: str, limit: int = 300_000):
@@ -51,41 +52,33 @@ class WordTokenizer:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
+        self.ranks = WordRanks(path)
         self.size = self.tokenizer.get_vocab_size()
         self.dtype = np.dtype("<u2" if self.size <= 1 << 16 else "<u4")
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.ends_word = np.zeros(self.size, bool)
-        self.ends_word[[i for word, i in self.tokenizer.get_vocab().items() if word.endswith("</w>")]] = True
         self.known: dict[str, bytes] = {}
         self.limit = limit
 
-    def _pieces(self, text: str) -> tuple[bool, list[str]]:
-        """Whether the pieces are single ones, and the pieces."""
+    def _latin(self, text: str) -> bytes | None:
+        """Ids of a text of ASCII and Latin letters; of any other None."""
         if OTHER_LETTERS.search(text) or any(s in text for s in self.special):
-            return False, text.replace("\n", " ").split(" ")
-        return True, LATIN_PIECES.findall(text.lower())
-
-    def _learn(self, pieces: list[str]) -> None:
-        """Keep the ids of single pieces, encoded as one text: each piece's last token, and no other, ends a word."""
-        for at in range(0, len(pieces), 1000):
-            some = pieces[at:at + 1000]
-            ids = np.array(self.tokenizer.encode(" ".join(some), add_special_tokens=False).ids, self.dtype)
-            ends = ((np.flatnonzero(self.ends_word[ids]) + 1) * ids.itemsize).tolist()
-            raw = ids.tobytes()
-            self.known.update(zip(some, [raw[a:b] for a, b in zip([0, *ends], ends)], strict=True))
+            return None
+        return self.ranks.encode(LATIN_PIECES.findall(text.lower())).astype(self.dtype).tobytes()
 
-    def encode(self, texts: list[str | None]) -> list[bytes]:
+    def _others(self, texts: list[str]) -> list[bytes]:
         if len(self.known) > self.limit:
             self.known.clear()
-        split = [self._pieces(t or "") for t in texts]
-        fresh: dict[bool, set] = {True: set(), False: set()}
-        for single, pieces in split:
-            fresh[single].update(p for p in set(pieces) if p not in self.known)
-        self._learn(list(fresh[True]))
-        chunks = list(fresh[False].difference(fresh[True]))
-        for p, e in zip(chunks, self.tokenizer.encode_batch_fast(chunks, add_special_tokens=False)):
+        split = [t.replace("\n", " ").split(" ") for t in texts]
+        fresh = list({p for chunks in split for p in chunks if p not in self.known})
+        for p, e in zip(fresh, self.tokenizer.encode_batch_fast(fresh, add_special_tokens=False)):
             self.known[p] = np.array(e.ids, self.dtype).tobytes()
-        return [b"".join(map(self.known.__getitem__, pieces)) for _, pieces in split]
+        return [b"".join(map(self.known.__getitem__, chunks)) for chunks in split]
+
+    def encode(self, texts: list[str | None]) -> list[bytes]:
+        coded = [self._latin(t or "") for t in texts]
+        rest = [t for t, ids in zip(texts, coded) if ids is None]
+        others = iter(self._others(rest) if rest else ())
+        return [next(others) if ids is None else ids for ids in coded]
 
 
 def word_tokenizer(path: str) -> WordTokenizer:

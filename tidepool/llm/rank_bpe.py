@@ -1,4 +1,4 @@
-"""Ids of whole texts from a byte-level BPE file, by merging byte pairs in order of rank (the tiktoken library)."""
+"""Ids of whole texts or of their words from a byte-level BPE file, by merging byte pairs in order of rank (the tiktoken library)."""
 
 from __future__ import annotations
 
@@ -47,6 +47,35 @@ class RankEncoder:
         return ranks if self.in_order else self.id_of[ranks]
 
 
+class WordRanks:
+    """Ids of words from one tokenizer file (JSON, byte-level BPE whose last symbol of a word has the suffix ``</w>``).
+
+    The suffix becomes the byte 0 after each word.  Its merges with single bytes come
+    first, as the library sets it before it merges; the file's merges follow.  A merge
+    is told by the bytes it makes, which is right as each token is made by one merge of
+    the file and merging its own bytes gives it (a test checks the file for both).
+    """
+
+    SUFFIX = "</w>"
+
+    def __init__(self, path: str):
+        with open(path, encoding="utf-8") as f:
+            spec = json.load(f)
+        letters, vocabulary = byte_letters(), spec["model"]["vocab"]
+        words = [*letters, *(c + self.SUFFIX for c in letters)]
+        words += ["".join(m if isinstance(m, list) else m.split(" ")) for m in spec["model"]["merges"]]
+        ranks = {bytes(letters[c] for c in w.removesuffix(self.SUFFIX)) + b"\0" * w.endswith(self.SUFFIX): r for r, w in enumerate(words)}
+        self.id_of = np.array([vocabulary[w] for w in words], dtype=np.uint32)
+        # two bytes 0 never meet; without a special token the library would look for one at every character
+        self.encoding = tiktoken.Encoding("words", pat_str="[^\0]+\0", mergeable_ranks=ranks, special_tokens={"\0\0": len(words)})
+
+    def encode(self, words: list[str]) -> np.ndarray:
+        """The words' ids, one after the other; no word is empty or holds the character 0."""
+        if not words:
+            return self.id_of[:0]
+        return self.id_of[self.encoding.encode_to_numpy("\0".join(words) + "\0", disallowed_special=())]
+
+
 _LOADED: dict[tuple, RankEncoder] = {}
 
 
